@@ -226,12 +226,12 @@ BAND_RULES = [
     ("score_band", "ext_source_mean", 4, "0.60-0.79", 0.6, 0.8, True, False, False, "External score mean from 0.60 to less than 0.80"),
     ("score_band", "ext_source_mean", 5, "0.80+", 0.8, None, True, False, False, "External score mean of 0.80 or more"),
     ("score_band", "ext_source_mean", 99, "Unknown", None, None, False, False, True, "Missing external score mean"),
-    ("annuity_income_band", "annuity_income_ratio", 1, "Risco Baixo", None, 0.35, True, False, False, ""),
-    ("annuity_income_band", "annuity_income_ratio", 2, "Risco Moderado", 0.35, 0.41, True, False, False, ""),
-    ("annuity_income_band", "annuity_income_ratio", 3, "Risco Alto", 0.41, 0.5, True, False, False, ""),
-    ("annuity_income_band", "annuity_income_ratio", 4, "Risco Muito Alto", 0.5, 1.0, True, False, False, ""),
-    ("annuity_income_band", "annuity_income_ratio", 5, "Outlier", 1.0, None, True, False, False, ""),
-    ("annuity_income_band", "annuity_income_ratio", 99, "Unknown", None, None, False, False, True, ""),
+    ("annuity_income_band", "annuity_income_ratio", 1, "Risco Baixo", None, 0.35, True, False, False, None),
+    ("annuity_income_band", "annuity_income_ratio", 2, "Risco Moderado", 0.35, 0.41, True, False, False, None),
+    ("annuity_income_band", "annuity_income_ratio", 3, "Risco Alto", 0.41, 0.5, True, False, False, None),
+    ("annuity_income_band", "annuity_income_ratio", 4, "Risco Muito Alto", 0.5, 1.0, True, False, False, None),
+    ("annuity_income_band", "annuity_income_ratio", 5, "Outlier", 1.0, None, True, False, False, None),
+    ("annuity_income_band", "annuity_income_ratio", 99, "Unknown", None, None, False, False, True, None),
 ]
 BANDS_OUTSIDE_ORDER = ["Unknown", "Outlier"]
 
