@@ -39,7 +39,7 @@ def settle_sql(sql: str, doubles: list[str], others: bool = True) -> str:
     pick = f"COLUMNS(lambda c: c IN ({names}))"
     rest = f"COLUMNS(lambda c: c NOT IN ({names})), " if others else ""
     return (
-        f"SELECT {rest}CASE WHEN abs({pick}) >= {LARGE} "
-        f"THEN round({pick} + {LARGE_SHIFT:.6f}e0, {LARGE_DIGITS}) "
-        f"ELSE round({pick} + {SMALL_SHIFT:.10f}e0, {SMALL_DIGITS}) END + 0.0e0 FROM ({sql})"
+        f"SELECT {rest}list_transform([{pick}], lambda x: CASE WHEN abs(x) >= {LARGE} "
+        f"THEN round(x + {LARGE_SHIFT:.6f}e0, {LARGE_DIGITS}) "
+        f"ELSE round(x + {SMALL_SHIFT:.10f}e0, {SMALL_DIGITS}) END + 0.0e0)[1] FROM ({sql})"
     )
