@@ -12,7 +12,7 @@ from creditloom.plans import gold
 from creditloom.sources import adapter, rules
 
 from .precision import settle_sql
-from .queries import SEGMENT_MIN_CLIENTS
+from .queries import RAW_NAMES, SEGMENT_MIN_CLIENTS
 
 
 def _quoted(text: str | None) -> str:
@@ -491,12 +491,16 @@ _AUDITED = {
 }
 
 
+def _raw_names(file: str, columns: list[str]) -> list[str]:
+    return [RAW_NAMES.get((file, c), c.upper()) for c in columns]
+
+
 def _audit_rows() -> str:
     parts = []
     for table, file in vocab.RAW_FILES:
         if table in _AUDITED:
             source, columns = _AUDITED[table]
-            names = ",".join(c.upper() for c in columns)
+            names = ",".join(_raw_names(file, columns))
             parts.append(
                 f"SELECT '{table}' AS table_name, '{file}' AS file_name, true AS exists, "
                 f"true AS read_success, 'valid' AS validation_status, count(*) AS row_count, "
@@ -517,7 +521,7 @@ def _schema_rows() -> str:
     parts = []
     for table, file in vocab.RAW_FILES:
         source, columns = _AUDITED.get(table, (None, []))
-        actual = {c.upper() for c in columns}
+        actual = set(_raw_names(file, columns))
         expected = set(column_rules.expected[file])
         required = set(vocab.REQUIRED_COLUMNS[file])
         missing_required = sorted(required - actual)

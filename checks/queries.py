@@ -31,9 +31,18 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
+        self._views: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = storage.read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     def view(self, name: str) -> DataFrame:
-        return adapter.spark_view(self.spark, self.sf_dir, name)
+        if name not in self._views:
+            self._views[name] = adapter.spark_view(name, self.table)
+        return self._views[name]
 
     @cached_property
     def train(self) -> DataFrame:
@@ -108,7 +117,10 @@ class Inputs:
         return self.view("event_log")
 
 
-def raw_text(df: DataFrame) -> DataFrame:
+RAW_NAMES = {(file, bronze_name): raw for file, raw, _, bronze_name in vocab.RENAMES}
+
+
+def raw_text(df: DataFrame, file: str = "") -> DataFrame:
     """A bronze-typed table as the raw files hold it: upper-case names, everything text."""
 
     def as_text(f: T.StructField):
@@ -118,7 +130,7 @@ def raw_text(df: DataFrame) -> DataFrame:
             column = F.when(column, F.lit(yes)).when(~column, F.lit(no))
         elif f.name == "days_employed":
             column = F.coalesce(column, F.lit(365243)).cast("string")
-        return column.cast("string").alias(f.name.upper())
+        return column.cast("string").alias(RAW_NAMES.get((file, f.name), f.name.upper()))
 
     return df.select(*[as_text(f) for f in df.schema.fields])
 
@@ -209,7 +221,7 @@ def write_raw_files(t: Inputs) -> str:
     }
     for table, file in vocab.RAW_FILES:
         if table in views:
-            raw_text(views[table]).write.csv(f"{target}/{file}", header=True, escape='"')
+            raw_text(views[table], file).write.csv(f"{target}/{file}", header=True, escape='"')
     return target
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .rows import ieee_divide
+from .rows import ieee_divide, quoted
 
 
 def rows() -> Column:
@@ -18,22 +18,22 @@ def rows() -> Column:
 
 def any_true(flag: str) -> Column:
     """True if any row is; NULLs are ignored, NULL if there is nothing else."""
-    return F.max(F.col(flag))
+    return F.bool_or(flag)
 
 
 def true_rows(flag: str) -> Column:
     """Number of true rows as a sum: NULLs are ignored, NULL if there is nothing else."""
-    return F.sum(F.col(flag).cast("long"))
+    return F.expr(f"sum(bigint({quoted(flag)}))")
 
 
-def tally(condition: Column) -> Column:
+def tally(condition: str) -> Column:
     """Number of rows that satisfy the condition; NULL counts as no, the result is never NULL."""
-    return F.count(F.when(condition, F.lit(1)))
+    return F.expr(f"count_if({condition})")
 
 
-def share(condition: Column) -> Column:
+def share(condition: str) -> Column:
     """Share of rows that satisfy the condition; NULL counts as no."""
-    return F.avg(F.when(condition, F.lit(1.0)).otherwise(F.lit(0.0)))
+    return F.expr(f"avg(double(coalesce({condition}, false)))")
 
 
 def ratio_of_sums(numerator: str, denominator: str) -> Column:
@@ -49,7 +49,7 @@ def ratio_of_positive_sums(numerator: str, denominator: str) -> Column:
 
 def default_rate(target: str = "target") -> Column:
     """Mean of a boolean label over the labelled rows."""
-    return F.avg(F.col(target).cast("int"))
+    return F.expr(f"avg(int({quoted(target)}))")
 
 
 def safe_corr(x: Column, y: Column) -> Column:

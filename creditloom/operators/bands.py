@@ -12,6 +12,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from ..functions.rows import literal, quoted
+
 MAX_RULES = 1000
 
 
@@ -47,24 +49,24 @@ def check_rules(rows: Iterable[Row]) -> None:
                 raise ValueError(f"{group}: overlapping bands")
 
 
-def band_label(value: Column, rows: Iterable[Row], group: str) -> Column:
-    """Label of ``value`` by the rules of one group, as a single expression."""
+def band_label(value: str, rows: Iterable[Row], group: str) -> Column:
+    """Label of the column ``value`` by the rules of one group, as a single expression."""
     members = [r for r in rows if r.band_group == group]
     if not members:
         raise ValueError(f"no band rules for {group}")
-    chain = None
+    v, arms = quoted(value), []
     for r in members:
         if r.is_null_band:
-            hit = value.isNull()
+            hit = f"{v} IS NULL"
         else:
-            hit = value.isNotNull()
+            bounds = [f"{v} IS NOT NULL"]
             if r.lower_bound is not None:
-                hit = hit & (value >= F.lit(r.lower_bound))
+                bounds.append(f"{v} >= {float(r.lower_bound)!r}D")
             if r.upper_bound is not None:
-                hit = hit & (value < F.lit(r.upper_bound))
-        label = F.lit(r.band_label)
-        chain = F.when(hit, label) if chain is None else chain.when(hit, label)
-    return chain
+                bounds.append(f"{v} < {float(r.upper_bound)!r}D")
+            hit = " AND ".join(bounds)
+        arms.append(f"WHEN {hit} THEN {literal(r.band_label)}")
+    return F.expr(f"CASE {' '.join(arms)} END")
 
 
 def band_join(df: DataFrame, rules: DataFrame, group: str, value: str, label: str) -> DataFrame:

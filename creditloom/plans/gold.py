@@ -168,7 +168,7 @@ def segment_external() -> dict[str, Column]:
 def feature_external() -> dict[str, Column]:
     return {
         "bureau_total_loans": aggs.rows(),
-        **{name: aggs.tally(F.col(flag)) for name, flag in EXTERNAL_TALLIES.items()},
+        **{name: aggs.tally(flag) for name, flag in EXTERNAL_TALLIES.items()},
         "bureau_avg_credit": F.avg("amt_credit_sum"),
         "bureau_max_credit": F.max("amt_credit_sum"),
         "bureau_avg_debt": F.avg("amt_credit_sum_debt"),
@@ -193,8 +193,8 @@ def fact_external() -> dict[str, Column]:
         "bureau_bad_debt_loans": aggs.true_rows("flag_bad_debt"),
         "bureau_total_credit": F.sum("amt_credit_sum"),
         "bureau_avg_credit": F.avg("amt_credit_sum"),
-        "bureau_total_loans_with_dpd": aggs.tally(F.col("flag_has_dpd_agg")),
-        "bureau_total_loans_with_severe_dpd": aggs.tally(F.col("flag_severe_dpd_agg")),
+        "bureau_total_loans_with_dpd": aggs.tally("flag_has_dpd_agg"),
+        "bureau_total_loans_with_severe_dpd": aggs.tally("flag_severe_dpd_agg"),
         "bureau_recent_credit_count": F.sum(
             F.when(observed, F.col("flag_recent_credit").cast("long"))
         ),
@@ -215,8 +215,8 @@ def feature_internal() -> dict[str, Column]:
     since_decision = F.abs("days_decision")
     return {
         "prev_applications_total": aggs.rows(),
-        **{name: aggs.share(F.col(flag)) for name, flag in PREVIOUS_SHARES.items()},
-        **{name: aggs.share(~F.col(flag)) for name, flag in PREVIOUS_AVAILABLE.items()},
+        **{name: aggs.share(flag) for name, flag in PREVIOUS_SHARES.items()},
+        **{name: aggs.share(f"NOT {flag}") for name, flag in PREVIOUS_AVAILABLE.items()},
         **{name: aggs.any_true(flag) for name, flag in PREVIOUS_ANY.items()},
         **{name: F.avg(column) for name, column in PREVIOUS_AVERAGES.items()},
         **{name: F.max(column) for name, column in PREVIOUS_MAXIMA.items()},
@@ -278,10 +278,8 @@ def client_internal(internal_behavior: DataFrame) -> DataFrame:
 def consumer_view(rollup: DataFrame, consumer: str) -> DataFrame:
     """The columns of one consumer under their published names."""
     prefix = f"{consumer}__"
-    return rollup.select(
-        CLIENT,
-        *[F.col(c).alias(c.removeprefix(prefix)) for c in rollup.columns if c.startswith(prefix)],
-    )
+    own = [c for c in rollup.columns if c.startswith(prefix)]
+    return rollup.select(CLIENT, *own).withColumnsRenamed({c: c.removeprefix(prefix) for c in own})
 
 
 # --- bands ----------------------------------------------------------------------------------
@@ -293,19 +291,17 @@ def ref_band_rules(spark: SparkSession) -> DataFrame:
 
 def requester_bands(rules: Sequence[Row]) -> dict[str, Column]:
     return {
-        "age_band": band_label(F.col("age_years"), rules, "age_band"),
-        "income_band": band_label(F.col("amt_income_total"), rules, "income_band"),
-        "employment_tenure_band": band_label(
-            F.col("employment_years"), rules, "employment_tenure_band"
+        "age_band": band_label("age_years", rules, "age_band"),
+        "income_band": band_label("amt_income_total", rules, "income_band"),
+        "employment_tenure_band": band_label("employment_years", rules, "employment_tenure_band"
         ),
     }
 
 
 def risk_bands(rules: Sequence[Row]) -> dict[str, Column]:
     return {
-        "mean_score_band": band_label(F.col("ext_source_mean"), rules, "score_band"),
-        "annuity_income_band": band_label(
-            F.col("annuity_income_ratio"), rules, "annuity_income_band"
+        "mean_score_band": band_label("ext_source_mean", rules, "score_band"),
+        "annuity_income_band": band_label("annuity_income_ratio", rules, "annuity_income_band"
         ),
     }
 

@@ -54,13 +54,10 @@ def portfolio(
     base = base.select(*wanted)
 
     def both(rollup: DataFrame) -> DataFrame:
-        fact = gold.consumer_view(rollup, "fact").columns[1:]
-        segment = gold.consumer_view(rollup, "segment").columns[1:]
-        return rollup.select(
-            CLIENT,
-            *[F.col(f"fact__{c}").alias(c) for c in fact],
-            *[F.col(f"segment__{c}").alias(c) for c in segment if c not in fact],
-        )
+        names = {
+            c: c.split("__", 1)[1] for c in rollup.columns if c.startswith(("fact__", "segment__"))
+        }
+        return rollup.select(CLIENT, *names).withColumnsRenamed(names)
 
     joined = attach(base, both(external), CLIENT, gold.NO_BUREAU)
     return attach(joined, both(internal), CLIENT, gold.NO_PREVIOUS)
@@ -74,7 +71,7 @@ def _clients() -> Column:
 
 
 def _defaults() -> Column:
-    return aggs.tally(F.col("target"))
+    return aggs.tally("target")
 
 
 def _defaulted_amount() -> Column:
@@ -224,7 +221,7 @@ def risk_buckets(lift: DataFrame) -> DataFrame:
 def dti_lift(base: DataFrame) -> DataFrame:
     """Lift over income band and annuity/income band."""
     # Here an absent label counts as not defaulted, unlike in the portfolio's own rate.
-    rate = aggs.share(F.col("target"))
+    rate = aggs.share("target")
     return (
         base.where(_within_order("annuity_income_band"))
         .groupBy("income_band", "annuity_income_band")

@@ -268,7 +268,6 @@ def _named(columns: dict[str, Column]) -> list[Column]:
 
 def bureau_balance_rollup(balance: DataFrame) -> DataFrame:
     """One row per bureau credit over its monthly statuses."""
-    status = F.col("status_numeric")
     overdue, severe = aggs.true_rows("flag_has_dpd"), aggs.true_rows("flag_severe_dpd")
     return balance.groupBy("sk_bureau_id").agg(
         *_named(
@@ -278,15 +277,15 @@ def bureau_balance_rollup(balance: DataFrame) -> DataFrame:
                 "flag_has_recent_dpd": aggs.any_true("flag_recent_dpd"),
                 "total_months": aggs.rows(),
                 "closed_credit_months": aggs.true_rows("flag_closed_credit"),
-                "dpd_1_30_months": aggs.tally(status == 1),
-                "dpd_31_60_months": aggs.tally(status == 2),
-                "dpd_61_90_months": aggs.tally(status == 3),
-                "dpd_90_plus_months": aggs.tally(status >= 4),
+                "dpd_1_30_months": aggs.tally("status_numeric = 1"),
+                "dpd_31_60_months": aggs.tally("status_numeric = 2"),
+                "dpd_61_90_months": aggs.tally("status_numeric = 3"),
+                "dpd_90_plus_months": aggs.tally("status_numeric >= 4"),
                 "total_dpd_months": overdue,
                 "dpd_ratio": F.try_divide(overdue, aggs.rows()),
                 "severe_dpd_months": severe,
                 "severe_dpd_ratio": F.try_divide(severe, aggs.rows()),
-                "max_dpd_status": F.max(status),
+                "max_dpd_status": F.max("status_numeric"),
             }
         )
     )
@@ -328,8 +327,8 @@ def installment_rollup(payments: DataFrame) -> DataFrame:
                 "total_amt_installment": F.sum("amt_instalment"),
                 "wavg_payment_ratio": aggs.ratio_of_sums("amt_payment", "amt_instalment"),
                 "max_payment_ratio": F.max("payment_ratio"),
-                "installment_late_payment_ratio": aggs.share(F.col("flag_late_payment")),
-                "installment_partial_payment_ratio": aggs.share(F.col("flag_partial_payment")),
+                "installment_late_payment_ratio": aggs.share("flag_late_payment"),
+                "installment_partial_payment_ratio": aggs.share("flag_partial_payment"),
                 "installment_total_unpaid_amount": F.sum("unpaid_amount"),
             }
         )
@@ -354,10 +353,10 @@ def card_rollup(card: DataFrame) -> DataFrame:
                 # Kept as published: both counts are plain row counts.
                 "card_high_utilization_count": aggs.rows(),
                 "card_over_utilization_count": aggs.rows(),
-                "card_high_utilization_ratio": aggs.share(F.col("flag_high_utilization")),
-                "card_over_utilization_ratio": aggs.share(F.col("flag_over_utilization")),
-                "card_minimum_payment_ratio": aggs.share(F.col("flag_minimum_payment")),
-                "card_cash_advance_ratio": aggs.share(F.col("flag_cash_advance")),
+                "card_high_utilization_ratio": aggs.share("flag_high_utilization"),
+                "card_over_utilization_ratio": aggs.share("flag_over_utilization"),
+                "card_minimum_payment_ratio": aggs.share("flag_minimum_payment"),
+                "card_cash_advance_ratio": aggs.share("flag_cash_advance"),
             }
         )
     )
@@ -370,8 +369,8 @@ def pos_rollup(pos: DataFrame) -> DataFrame:
                 "flag_pos_dpd": aggs.any_true("flag_has_dpd"),
                 "flag_pos_severe_dpd": aggs.any_true("flag_severe_dpd"),
                 "total_pos_cash_records": aggs.rows(),
-                "pos_dpd_ratio": aggs.share(F.col("flag_has_dpd")),
-                "pos_severe_dpd_ratio": aggs.share(F.col("flag_severe_dpd")),
+                "pos_dpd_ratio": aggs.share("flag_has_dpd"),
+                "pos_severe_dpd_ratio": aggs.share("flag_severe_dpd"),
                 "pos_total_dpd": F.sum("sk_dpd"),
                 "pos_avg_dpd": F.avg("sk_dpd"),
             }

@@ -7,7 +7,10 @@ between the two dialects (days from the order to a fixed date).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .. import vocab
 
@@ -231,13 +234,13 @@ def duckdb_view(name: str) -> str:
     return f"SELECT {items} FROM {source}"
 
 
-def spark_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The adapter view as a DataFrame over the given Parquet tables."""
+def spark_view(name: str, read: Callable[[str], DataFrame]) -> DataFrame:
+    """The adapter view as a DataFrame; ``read`` gives the source table of a name."""
     tables, columns = VIEWS[name]
-    frames = [spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables]
+    frames = [read(t) for t in tables]
     if len(frames) == 2:
         # Instalments carry their order's client: an equi-join on the order key.
-        source = frames[0].join(frames[1], frames[0].l_orderkey == frames[1].o_orderkey)
+        source = frames[0].join(frames[1], F.col("l_orderkey") == F.col("o_orderkey"))
     else:
         source = frames[0]
     return source.selectExpr(
