@@ -20,7 +20,9 @@ from .. import vocab
 from ..functions import aggs, rows
 from ..operators import attach, bands, keys
 from ..operators.events import latest_event, refresh_decision
-from ..operators.fingerprint import content_fingerprint, schema_text
+from ..operators.fingerprint import (
+    content_fingerprint, content_metrics, observed_fingerprint, schema_text,
+)
 from ..sources import rules as rule_tables
 from ..sources import storage
 from ..sources.events import append_events, read_events, utc_now
@@ -225,18 +227,21 @@ def build_layers(
                     )
                 else:
                     built = table.build(*[frame(i) for i in table.inputs])
-                    path = storage.publish(built, warehouse, table.layer, table.name, run_id)
-                    stored = storage.read_parquet(spark, path)
-                    facts = content_fingerprint(
-                        stored, event["definition_fingerprint"], event["source_fingerprint"]
-                    ).first()
+                    path, facts = storage.publish(
+                        built, warehouse, table.layer, table.name, run_id, content_metrics(built)
+                    )
                     event.update(
                         status=BUILT,
                         artifact_path=path,
-                        row_count=facts.row_count,
-                        column_count=facts.column_count,
-                        schema_text=schema_text(stored.schema),
-                        table_fingerprint=facts.table_fingerprint,
+                        row_count=facts["row_count"],
+                        column_count=len(built.columns),
+                        schema_text=schema_text(built.schema),
+                        table_fingerprint=observed_fingerprint(
+                            facts,
+                            built.schema,
+                            event["definition_fingerprint"],
+                            event["source_fingerprint"],
+                        ),
                     )
                 frames[table.key] = storage.read_parquet(spark, event["artifact_path"])
                 fingerprints[table.key] = event["table_fingerprint"]

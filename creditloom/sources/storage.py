@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -62,9 +62,20 @@ def version_path(root: str, layer: str, table: str, run_id: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{table}/version={run_id}"
 
 
-def publish(df: DataFrame, root: str, layer: str, table: str, run_id: str) -> str:
-    """Write one table version; it becomes visible when its success event is appended."""
-    return write_parquet(df, version_path(root, layer, table, run_id))
+def publish(
+    df: DataFrame, root: str, layer: str, table: str, run_id: str, metrics: list[Column] = ()
+) -> tuple[str, dict]:
+    """Write one table version; it becomes visible when its success event is appended.
+
+    ``metrics`` are aggregates over the written rows, taken during the write itself, so that a
+    large table is not read again for its profile.  Returns the path and the metrics.
+    """
+    path = version_path(root, layer, table, run_id)
+    if not metrics:
+        return write_parquet(df, path), {}
+    watched = Observation(f"{layer}.{table}.{run_id}")
+    write_parquet(df.observe(watched, *metrics), path)
+    return path, watched.get
 
 
 def publish_bucketed(

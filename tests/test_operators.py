@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from creditloom import vocab
 from creditloom.operators.attach import attach, hot_keys
 from creditloom.operators.bands import band_join, band_label, check_rules
-from creditloom.operators.fingerprint import content_fingerprint
+from creditloom.operators.fingerprint import content_fingerprint, content_metrics, observed_fingerprint
 from creditloom.operators.keys import dense_key
 from creditloom.sources import rules
+from creditloom.sources.storage import publish
 
 EDGES = [None, -1.0, 0.0, 24.999, 25.0, 34.9999999, 35.0, 65.0, 1e12, float("nan")]
 LABELS = ["Unknown", "<25", "<25", "<25", "25-34", "25-34", "35-44", "65+", "65+", "65+"]
@@ -95,6 +96,15 @@ def test_content_fingerprint_ignores_order_and_sees_changes(spark):
     assert mark(base + [(9, 9.0, "p"), (9, 9.0, "p")]) != reference
 
 
+def test_fingerprint_observed_while_writing_is_the_same(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id", "id / 7 AS x", "if(id % 3 = 0, NULL, string(id)) AS t")
+    path, facts = publish(df, str(tmp_path), "gold", "t", "run", content_metrics(df))
+    stored = spark.read.parquet(path)
+    expected = content_fingerprint(stored, "d", "s").first()
+    assert facts["row_count"] == expected.row_count == 1000
+    assert observed_fingerprint(facts, df.schema, "d", "s") == expected.table_fingerprint
+
+
 def test_schema_has_the_documented_size():
     columns = rules.default_column_rules()
     assert len(columns.types) == 339
