@@ -8,7 +8,6 @@ averages of amounts in cents fall on.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LARGE = 1000.0
@@ -19,18 +18,15 @@ SMALL_DIGITS, SMALL_SHIFT = 6, 0.0000000137
 def settle(df: DataFrame) -> DataFrame:
     """Round every double column."""
 
-    def rounded(name: str):
-        x = F.col(f"`{name}`")
-        large = F.round(x + F.lit(LARGE_SHIFT), LARGE_DIGITS)
-        small = F.round(x + F.lit(SMALL_SHIFT), SMALL_DIGITS)
-        return (F.when(F.abs(x) >= LARGE, large).otherwise(small) + F.lit(0.0)).alias(name)
-
-    return df.select(
-        *[
-            rounded(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        ]
-    )
+    def item(field: T.StructField) -> str:
+        x = f"`{field.name}`"
+        if not isinstance(field.dataType, T.DoubleType):
+            return x
+        large = f"round({x} + {LARGE_SHIFT:.6f}D, {LARGE_DIGITS})"
+        small = f"round({x} + {SMALL_SHIFT:.10f}D, {SMALL_DIGITS})"
+        return f"if(abs({x}) >= {LARGE}D, {large}, {small}) + 0D AS {x}"
+
+    return df.selectExpr(*[item(f) for f in df.schema.fields])
 
 
 def settle_sql(sql: str, doubles: list[str], others: bool = True) -> str:

@@ -20,6 +20,7 @@ from creditloom.operators.keys import dense_key
 from creditloom.functions import rows
 from creditloom.plans import bronze, gold, insights, raw_audit, refresh, silver
 from creditloom.sources import adapter, rules, storage
+from creditloom.tuning import tune
 
 from .precision import settle
 
@@ -30,7 +31,7 @@ class Inputs:
     """The credit inputs as adapter views over one data directory, and the layers above them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir = tune(spark), sf_dir
         self._tables: dict[str, DataFrame] = {}
         self._views: dict[str, DataFrame] = {}
 

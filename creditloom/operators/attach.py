@@ -7,9 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_PRESENT = "__roll_up_present"
-
-
 def attach(
     left: DataFrame,
     rollup: DataFrame,
@@ -24,7 +21,9 @@ def attach(
     below) lists keys so frequent in ``left`` that one task could not hold them: their rows are
     spread over ``salts`` sub-keys and only the few matching roll-up rows are copied.
     """
-    right = rollup.withColumn(_PRESENT, F.lit(True))
+    right = rollup
+    if missing_flag is not None:
+        right = right.withColumn(missing_flag, F.lit(False))
     if hot_keys:
         hot = F.col(key).isin(list(hot_keys))
         left = left.withColumn(
@@ -37,8 +36,8 @@ def attach(
     else:
         joined = left.join(right, key, "left")
     if missing_flag is not None:
-        joined = joined.withColumn(missing_flag, F.col(_PRESENT).isNull())
-    return joined.drop(_PRESENT)
+        joined = joined.withColumn(missing_flag, F.coalesce(missing_flag, F.lit(True)))
+    return joined
 
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
