@@ -26,14 +26,18 @@ CLIENT = gold.CLIENT
 def portfolio_from_star(
     fact: DataFrame, requester: DataFrame, risk_segment: DataFrame
 ) -> DataFrame:
-    """Fact with requester and risk attributes, joined on the surrogate keys."""
+    """Fact with requester and risk attributes.
+
+    Every surrogate key stands for one client, so the tables meet on the client id: one shuffle
+    of the fact for both joins, and client counts downstream find their rows together already.
+    """
     shared = set(fact.columns)
 
-    def extra(dim: DataFrame, key: str) -> DataFrame:
-        return dim.select(key, *[c for c in dim.columns if c != key and c not in shared])
+    def extra(dim: DataFrame) -> DataFrame:
+        return dim.select(CLIENT, *[c for c in dim.columns if c not in shared])
 
-    joined = fact.join(extra(requester, "requester_key"), "requester_key", "left")
-    return joined.join(extra(risk_segment, "risk_segment_key"), "risk_segment_key", "left")
+    joined = fact.join(extra(requester), CLIENT, "left")
+    return joined.join(extra(risk_segment), CLIENT, "left")
 
 
 def portfolio(

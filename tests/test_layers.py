@@ -63,7 +63,9 @@ def test_star_schema_shape_and_keys(inputs):
         assert (low, high, distinct) == (1, n, n)
     assert len(fact.columns) == 67
     assert fact.count() == t.applications.where("NOT flag_test").count()
-    requester = dims["requester_key"][0]
+    star = insights.portfolio_from_star(fact, requester := dims["requester_key"][0], dims["risk_segment_key"][0])
+    direct = insights.behavior_segments(t.portfolio, 1).collect()
+    assert [r.segmento for r in insights.behavior_segments(star, 1).collect()] == [r.segmento for r in direct]
     assert fact.join(requester, ["requester_key", "sk_id_curr"]).count() == fact.count()
 
 
