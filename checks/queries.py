@@ -356,16 +356,25 @@ def _content_fingerprint(t: Inputs) -> DataFrame:
 def _publish_roundtrip(t: Inputs) -> DataFrame:
     """Star schema published, found again through the event log and queried on its keys."""
     warehouse = storage.scratch_path(t.spark, "warehouse")
+    sources = {
+        "silver.applications": t.applications,
+        "silver.agg_bureau_external_credit_behavior": t.external_behavior,
+        "silver.agg_internal_historical_behavior": t.internal_behavior,
+    }
+    star_tables = {
+        f"gold.{name}"
+        for name in (
+            "client_external", "client_internal", "application_spine", "dim_requester",
+            "dim_risk_segment", "fact_credit_risk",
+        )
+    }
     refresh.build_layers(
         t.spark,
         warehouse,
-        refresh.bronze_sources(
-            {
-                "application_train": t.train,
-                "application_test": t.test,
-                **{n: t.view(n) for n in adapter.VIEWS if n not in ("applications", "event_log")},
-            }
-        ),
+        sources,
+        selected=star_tables,
+        # The given tables do not change, so their place identifies them.
+        source_fingerprints={name: f"{t.sf_dir}:{name}" for name in sources},
     )
     star = refresh.published_tables(t.spark, warehouse)
     base = insights.portfolio_from_star(

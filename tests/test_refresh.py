@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from creditloom.operators.events import latest_event, refresh_decision, reuse_valid_result, run_counters
 from creditloom.plans import refresh
 from creditloom.plans.refresh import Table
-from creditloom.sources import storage
+from creditloom.sources import adapter, storage
 from creditloom.sources.events import append_events, event_row, parse_utc, read_events
 
 T0 = datetime(2024, 1, 1, 10)
@@ -82,6 +82,21 @@ def test_only_valid_results_of_the_same_file_are_reused(spark):
     assert found == {"f": (True, 20), "g": (False, None), "h": (False, None)}
 
 
+def test_all_layers_from_bronze(spark, inputs, tmp_path):
+    views = [n for n in adapter.VIEWS if n not in ("applications", "event_log")]
+    bronze = {"application_train": inputs.train, "application_test": inputs.test}
+    sources = refresh.bronze_sources({**bronze, **{n: inputs.view(n) for n in views}})
+    marks = {name: name for name in sources}
+    reports = refresh.build_layers(spark, str(tmp_path), sources, source_fingerprints=marks)
+    assert {r["status"] for r in reports} == {"success"}, [r for r in reports if r["status"] != "success"]
+    assert len(reports) == 18
+    tables = refresh.published_tables(spark, str(tmp_path))
+    assert len(tables["gold.credit_risk_feature_store"].columns) == 159
+    assert tables["gold.fact_credit_risk"].count() == inputs.train.count()
+    assert tables["silver.applications"].count() == inputs.applications.count()
+    assert tables["gold.ref_band_rules"].count() == 32
+
+
 def small_layers(factor=2, broken=False):
     def double(df):
         if broken:
