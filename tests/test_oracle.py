@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks import oracles, queries
 from checks.compare import check, connect
 
 from .conftest import SF_DIR
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = queries.queries(), oracles.oracle_sql()
 ROWS_ONLY = {"content_fingerprint"}
 
 
