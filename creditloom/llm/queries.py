@@ -7,27 +7,39 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, sharding
+from . import ann, bpe, mixing, neardup_vectors, sharding, warc
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 SHARDS = 16
 
 
+def op1_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.record_summary(warc.archive_pages(table(spark, sf_dir, "pages")))
+
+
 def op2_bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(spark, table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op3_collision_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup_vectors.near_duplicates(table(spark, sf_dir, "embeddings"), 0.93)
+
+
 def op8_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op9_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op10_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe_words, op8_kd_shards, op10_pfair_mix)}
+    return {f.__name__: f for f in (op1_warc_chunks, op2_bpe_words, op3_collision_neardup, op8_kd_shards, op9_posting_lists, op10_pfair_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
