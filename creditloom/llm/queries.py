@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, mixing, neardup_vectors, sharding, warc
+from . import ann, bpe, mixing, neardup_vectors, pii, quality, sharding, warc
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +26,14 @@ def op3_collision_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup_vectors.near_duplicates(table(spark, sf_dir, "embeddings"), 0.93)
 
 
+def op5_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.surrogate_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
 
@@ -39,7 +47,7 @@ def op10_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc_chunks, op2_bpe_words, op3_collision_neardup, op8_kd_shards, op9_posting_lists, op10_pfair_mix)}
+    return {f.__name__: f for f in (op1_warc_chunks, op2_bpe_words, op3_collision_neardup, op5_rule_quality, op6_surrogates, op8_kd_shards, op9_posting_lists, op10_pfair_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
