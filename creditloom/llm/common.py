@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ def utf8_bytes(text: Column | str) -> Column:
 
 def byte_slices(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
     """Cut rows ``start .. stop`` so that each slice holds about ``limit`` bytes, one row at least."""
-    ends = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0)))
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0)))
     start = 0
     while start < len(texts):
         base = ends[start - 1] if start else 0

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,7 +55,7 @@ def projected(reps: DataFrame, plan: dict) -> DataFrame:
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lines: dict[int, np.ndarray] = {}
         for batch in batches:
-            sizes = np.asarray(pa.compute.list_value_length(batch.column("vec")))
+            sizes = np.asarray(pc.list_value_length(batch.column("vec")))
             for dim in np.unique(sizes).tolist():
                 own = batch.filter(pa.array(sizes == dim))
                 if dim not in lines:
@@ -105,7 +106,7 @@ def verified(pairs: DataFrame, reps: DataFrame, cosine: float) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, values = [], []
-            sizes = np.asarray(pa.compute.list_value_length(batch.column("va")))
+            sizes = np.asarray(pc.list_value_length(batch.column("va")))
             for dim in np.unique(sizes).tolist():
                 rows = np.flatnonzero(sizes == dim)
                 own = batch.take(pa.array(rows))
