@@ -60,7 +60,7 @@ def pfair_cycle(parts: dict[str | None, int]) -> list[tuple[str | None, int, int
     return rows
 
 
-def tempered_weights(docs: DataFrame, alpha: float = 0.7, most: int = MAX_SOURCES) -> dict[str | None, float]:
+def tempered_weights(docs: DataFrame, alpha: float = 0.9, most: int = MAX_SOURCES) -> dict[str | None, float]:
     """Target weights: document counts to the power ``alpha``, which lifts small sources.
 
     One row per source comes to the driver; more than ``most`` sources are an error.
@@ -129,7 +129,7 @@ def mix(
     )
 
 
-def mix_documents(docs: DataFrame, alpha: float = 0.7) -> DataFrame:
+def mix_documents(docs: DataFrame, alpha: float = 0.9) -> DataFrame:
     """The mix of a document table by tempered weights, in order of doc_id within a source."""
     narrow = staged(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32")),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, mixing, neardup_vectors, pii, quality, sharding, warc
+from . import ann, bpe, jaccard, mixing, neardup_vectors, pii, quality, sharding, suffixes, warc
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +26,10 @@ def op3_collision_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup_vectors.near_duplicates(table(spark, sf_dir, "embeddings"), 0.93)
 
 
+def op4_token_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op5_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -34,6 +38,10 @@ def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.surrogate_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
 
@@ -47,7 +55,19 @@ def op10_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc_chunks, op2_bpe_words, op3_collision_neardup, op5_rule_quality, op6_surrogates, op8_kd_shards, op9_posting_lists, op10_pfair_mix)}
+    found = (
+        op1_warc_chunks,
+        op2_bpe_words,
+        op3_collision_neardup,
+        op4_token_groups,
+        op5_rule_quality,
+        op6_surrogates,
+        op7_suffix_intervals,
+        op8_kd_shards,
+        op9_posting_lists,
+        op10_pfair_mix,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
