@@ -22,14 +22,16 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import byte_slices, staged
 from .components import components
+from .packed import PACKED_KINDS, bucket_count, packed_rows, shared_keys, text_bytes
 from .shingles import mixed, shingle_sets
 
-GROUP_MEMBERS = 32
+GROUP_MEMBERS = 128
 _SLICE_BYTES = 2 << 20
 _PARTS_SALT, _SUM_SALT, _KEY_SALT = 101, 102, 103
 _U = np.uint64
@@ -83,29 +85,36 @@ def _sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[pa.RecordBatch, n
         yield own, *shingle_sets(texts, words)
 
 
-def profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, n, same, alike, own, next): set size, set digest, group hint and part keys per document."""
+def profiles(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
+    """Packed part keys per slice (bucket from 0), and per slice (bucket -1) its documents.
+
+    A document has doc_id, n (set size), same and same2 (set digest) and alike (group hint).  The owner
+    of a part key is twice the document's place, plus 1 where the key is of the document's own class.
+    """
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seq = TaskContext.get().partitionId(), 0
         steps = size_steps(percent)
+        lists = pa.list_(pa.int64())
+        names = ["slice", "bucket", "prints", "owners", "doc_id", "n", "same", "same2", "alike"]
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), lists, lists, lists, lists, lists]
         for batch in batches:
             for own, hashes, text in _sets(batch, words):
                 n = own.num_rows
                 size = np.bincount(text, minlength=n)
                 level = np.searchsorted(steps, np.maximum(size, 1), side="right") - 1
-                ends = np.cumsum(size)
                 filled = np.flatnonzero(size)
                 same = np.zeros((2, n), dtype=np.uint64)
                 alike = np.zeros(n, dtype=np.uint64)
+                keys, owners = [], []
                 if len(filled):
-                    begins = (ends - size)[filled]
+                    begins = (np.cumsum(size) - size)[filled]
                     for i, salt in enumerate((7, 8)):
                         same[i, filled] = np.add.reduceat(mixed(hashes, salt), begins)
                     # Two least hashes agree for most near copies and hardly ever by chance.
                     least = [np.minimum.reduceat(mixed(hashes, salt), begins) for salt in (11, 12)]
                     with np.errstate(over="ignore"):
                         alike[filled] = mixed(least[0] + _U(3) * least[1])
-                keys = []
                 for step in (0, 1):
                     # A class with one part links equal sets only, and these are one class already.
                     wanted = (size > 0) & (parts_of(level + step, percent) > 1)
@@ -113,17 +122,19 @@ def profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     if kept.any():
                         index = np.cumsum(wanted) - 1
                         key, owner = part_keys(hashes[kept], index[text[kept]], (level + step)[wanted], percent)
-                        keys.append(_lists(key, np.flatnonzero(wanted)[owner], n))
-                    else:
-                        keys.append(_lists(np.zeros(0, np.uint64), np.zeros(0, np.int64), n))
-                yield pa.RecordBatch.from_arrays(
-                    [own.column("doc_id"), pa.array(size.astype(np.int64)), pa.array(same[0].view(np.int64)), pa.array(same[1].view(np.int64)), pa.array(alike.view(np.int64)), *keys],
-                    names=["doc_id", "n", "same", "same2", "alike", "own", "next"],
-                )
+                        keys.append(key)
+                        owners.append(2 * np.flatnonzero(wanted)[owner] + (1 - step))
+                number = (part << 32) + seq
+                seq += 1
+                listed = [own.column("doc_id").to_pylist(), size.tolist(), *(x.view(np.int64).tolist() for x in (same[0], same[1], alike))]
+                out = [(number, -1, None, None, *listed)]
+                if keys:
+                    out += [(*r, *[None] * 5) for r in packed_rows(number, np.concatenate(keys), np.concatenate(owners), buckets)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    kinds = "doc_id long, n long, same long, same2 long, alike long, own array<long>, next array<long>"
-    return text.mapInArrow(profile, kinds)
+    lists = ", ".join(f"{c} array<long>" for c in ("doc_id", "n", "same", "same2", "alike"))
+    return text.mapInArrow(profile, f"{PACKED_KINDS}, {lists}")
 
 
 def grouped(classes: DataFrame, members: int) -> DataFrame:
@@ -171,7 +182,7 @@ def group_rows(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 def _group(row: dict, suffix: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     reps, union = np.array(row["reps" + suffix]), np.array(row["union" + suffix])
     bits = np.frombuffer(row["marks" + suffix], np.uint8).reshape(len(reps), -1)
-    return reps, union, np.unpackbits(bits, axis=1, count=len(union)).astype(np.int32)
+    return reps, union, np.unpackbits(bits, axis=1, count=len(union)).astype(np.float32)
 
 
 def opened_links(a: tuple, b: tuple, percent: int) -> list[tuple[int, int]]:
@@ -233,7 +244,11 @@ def join_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
 
     A document without shingles, or without an id, has no rep.
     """
-    known = staged(profiles(docs, words, percent), "jaccard-profiles")
+    # A word takes about 6 bytes; a set of n shingles has n * 2 * (100 - percent) / (100 + percent) parts, twice.
+    per_key = max(1, 6 * (100 + percent) // (5 * (100 - percent) + 1))
+    slices = staged(profiles(docs, words, percent, bucket_count(text_bytes(docs), per_key)), "jaccard-slices")
+    fields = ["doc_id", "n", "same", "same2", "alike"]
+    known = slices.where("bucket < 0").select("slice", F.posexplode(F.arrays_zip(*fields)).alias("place", "d")).select("slice", "place", *[F.col("d")[f].alias(f) for f in fields])
     sets = known.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     digest = ["n", "same", "same2"]
     first = sets.groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.min("alike").alias("alike"))
@@ -241,14 +256,11 @@ def join_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
     members = known.select("doc_id", *digest).join(classes.select(*digest, "rep"), digest, "left").select(
         "doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("rep")).alias("rep")
     )
-    keyed = sets.join(classes.select(F.col("rep").alias("doc_id"), "grp"), "doc_id")
-
-    # Keys of the larger set (own class) meet keys of the smaller one (own or next class).
-    def side(column: str) -> DataFrame:
-        return keyed.select(F.explode(column).alias("key"), "grp")
-
-    posted = side("own").withColumn("home", F.lit(True)).union(side("next").withColumn("home", F.lit(False)))
-    parts = posted.groupBy("key", "grp").agg(F.max("home").alias("home"))
+    # Keys of the larger set (own class) meet keys of the smaller one (own or next class); copies
+    # of a class share all keys and count once.
+    home = sets.join(classes.select(F.col("rep").alias("doc_id"), "grp"), "doc_id").select("slice", "place", "grp")
+    found_keys = shared_keys(slices).select("slice", F.shiftright("owner", 1).cast("int").alias("place"), "key", (F.col("owner") % 2 == 1).alias("home"))
+    parts = staged(found_keys.join(home, ["slice", "place"]).groupBy("key", "grp").agg(F.max("home").alias("home")), "jaccard-keys")
     least = parts.groupBy("key").agg(F.min("grp").alias("least"), F.count(F.lit(1)).alias("many"), F.max("home").alias("any")).where("many > 1 and any")
     shared = staged(parts.join(least.select("key", "least", "many"), "key"), "jaccard-parts")
     tied = shared.where("grp <> least").select(F.col("least").alias("g"), F.col("grp").alias("h"))
