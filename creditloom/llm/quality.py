@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from .common import staged
 
 TRAIN_ROWS = 20_000
-TRAIN_TASKS = 4
-TREES, DEPTH, MAX_RULES = 12, 3, 200
+TRAIN_TASKS = 2
+TREES, DEPTH, MAX_RULES = 8, 3, 100
 LASSO = 0.002
 SEED = 5
 
