@@ -46,18 +46,26 @@ def size_steps(percent: int, most: int = 1 << 40) -> np.ndarray:
     return np.array(steps, dtype=np.int64)
 
 
-def parts_of(size_class: np.ndarray, percent: int) -> np.ndarray:
-    """Parts for a larger set of this class: one more than linked sets can differ in.
+def parts_of(size_class: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(parts, spare) for a larger set of this class: more parts than linked sets can differ in.
 
-    100 * shared >= percent * union gives (|a| + |b|) * (100 - percent) / (100 + percent) at most.
+    100 * shared >= percent * union lets them differ in (|a| + |b|) * (100 - percent) / (100 + percent)
+    shingles and no more parts; the spare parts come on top, so that many equal parts are left.
     """
     largest = size_steps(percent)[size_class + 1] - 1
-    return 2 * largest * (100 - percent) // (100 + percent) + 1
+    differ = 2 * largest * (100 - percent) // (100 + percent)
+    spare = np.where(differ > 0, 1 + -(-differ * 6 // 100), 1)
+    return differ + spare, spare
 
 
 def part_keys(hashes: np.ndarray, text: np.ndarray, size_class: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key, text): one key per part and text, for sets counted as class ``size_class``."""
-    parts = parts_of(size_class, percent)
+    """(key, text): a key per part and text, for sets counted as class ``size_class``.
+
+    Parts without a shingle say little and are left out unless a text has as many as there are
+    spare parts: linked sets have as many equal parts as there are spare ones, so with fewer empty
+    parts in one of them an equal part is not empty; with more in both, both list theirs.
+    """
+    parts, spare = parts_of(size_class, percent)
     first = np.concatenate([[0], np.cumsum(parts)])
     part = (mixed(hashes, _PARTS_SALT) % parts[text].astype(np.uint64)).astype(np.int64)
     slot = first[text] + part
@@ -66,11 +74,14 @@ def part_keys(hashes: np.ndarray, text: np.ndarray, size_class: np.ndarray, perc
     # Halves are summed apart: each sum stays exact in a double.
     low = np.bincount(slot, (value & _U(0xFFFFFFFF)).astype(np.float64), total).astype(np.uint64)
     high = np.bincount(slot, (value >> _U(32)).astype(np.float64), total).astype(np.uint64)
+    filled = np.bincount(slot, minlength=total) > 0
     owner = np.repeat(np.arange(len(parts)), parts)
+    empty = np.bincount(owner[~filled], minlength=len(parts))
+    listed = filled | (empty >= spare)[owner]
     with np.errstate(over="ignore"):
         number = (np.arange(total) - first[owner]).astype(np.uint64)
         key = mixed(mixed(low + (high << _U(32)), _KEY_SALT) + number * _U(1_000_003) + size_class[owner].astype(np.uint64), _KEY_SALT)
-    return key, owner
+    return key[listed], owner[listed]
 
 
 def _lists(values: np.ndarray, owner: np.ndarray, n: int) -> pa.Array:
@@ -117,7 +128,7 @@ def profiles(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFra
                         alike[filled] = mixed(least[0] + _U(3) * least[1])
                 for step in (0, 1):
                     # A class with one part links equal sets only, and these are one class already.
-                    wanted = (size > 0) & (parts_of(level + step, percent) > 1)
+                    wanted = (size > 0) & (parts_of(level + step, percent)[0] > 1)
                     kept = wanted[text]
                     if kept.any():
                         index = np.cumsum(wanted) - 1
