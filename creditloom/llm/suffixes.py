@@ -28,13 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import byte_slices, staged
+from .packed import PACKED_KINDS, bucket_count, packed_keys, packed_rows, shared_keys, text_bytes
 from .shingles import mixed
 
 MIN_BYTES = 50
 ANCHOR_BYTES = 16
 SLICE_BYTES = 2 << 20
-BUCKET_ANCHORS = 1_000_000
-HOT_SEGMENTS = 20_000
+ANCHOR_STRIDE = 17
+HOT_DOCUMENTS = 500_000  # segments of one anchor then take about 40 MB at most
 TRANSFORM_BYTES = 2 << 20
 _CODES = np.random.default_rng(3).integers(1, 1 << 63, 256, dtype=np.uint64)
 _U = np.uint64
@@ -107,80 +108,39 @@ def anchor_slices(docs: DataFrame, buckets: int, least: int) -> DataFrame:
                 seq += 1
                 out = [(number, -1, None, None, own.column("doc_id").to_pylist(), sizes, digests)]
                 if prints:
-                    print_, owner = np.concatenate(prints), np.concatenate(owners)
-                    # The bucket takes the high bits, 32 lower ones tell prints apart inside it.
-                    bucket = ((print_ >> _U(32)) % _U(buckets)).astype(np.int64)
-                    order = np.argsort(bucket, kind="stable")
-                    ends = np.cumsum(np.bincount(bucket, minlength=buckets))
-                    low = (print_ & _U(0xFFFFFFFF)).astype(np.uint32)[order]
-                    owner = owner[order]
-                    begin = 0
-                    for b, end in enumerate(ends.tolist()):
-                        if end > begin:
-                            out.append((number, b, low[begin:end].tobytes(), owner[begin:end].tobytes(), None, None, None))
-                        begin = end
+                    out += [(*r, None, None, None) for r in packed_rows(number, np.concatenate(prints), np.concatenate(owners), buckets)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    kinds = "slice long, bucket int, prints binary, owners binary, doc_ids array<long>, sizes array<long>, digests array<binary>"
-    return text.mapInArrow(cut, kinds)
+    return text.mapInArrow(cut, f"{PACKED_KINDS}, doc_ids array<long>, sizes array<long>, digests array<binary>")
 
 
-def shared_anchors(slices: DataFrame, tasks: int) -> DataFrame:
-    """(slice, owner, anchor): anchors that two documents have, as bucket << 32 | print.
-
-    A bucket is met by one row per slice, holds about BUCKET_ANCHORS prints and is one key of a hash.
-    """
-
-    def find(key, table):
-        prints = [np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("prints")]
-        flat = np.concatenate(prints)
-        order = np.argsort(flat, kind="stable")
-        ranked = flat[order]
-        same = np.zeros(len(flat) + 1, dtype=bool)
-        same[1:-1] = ranked[1:] == ranked[:-1]
-        shared = np.zeros(len(flat), dtype=bool)
-        shared[order] = same[1:] | same[:-1]
-        row = np.repeat(np.arange(len(prints)), [len(x) for x in prints])[shared]
-        owners = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("owners")])[shared]
-        high = int(key[0].as_py()) << 32
-        return pa.table(
-            {
-                "slice": table.column("slice").combine_chunks().take(pa.array(row)),
-                "owner": pa.array(owners.astype(np.int32)),
-                "anchor": pa.array(flat[shared].astype(np.int64) + high),
-            }
-        )
-
-    return slices.where("bucket >= 0").select("bucket", "slice", "prints", "owners").groupBy("bucket").applyInArrow(find, "slice long, owner int, anchor long")
-
-
-def segments(docs: DataFrame, shared: DataFrame, buckets: int, least: int) -> DataFrame:
-    """(anchor, doc_id, start, n, bytes): the strings around each shared anchor, as one segment each."""
+def segments(text: DataFrame, shared: DataFrame, buckets: int, least: int) -> DataFrame:
+    """(anchor, doc_id, start, n, bytes, hot): the strings around each shared anchor, as one segment each."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, stop in byte_slices(batch.column("text"), SLICE_BYTES):
                 own = batch.slice(begin, stop - begin)
-                columns: list[list] = [[], [], [], [], []]
+                columns: list[list] = [[], [], [], [], [], []]
                 ids = own.column("doc_id").to_pylist()
                 for row, data in _texts(own):
                     places, hashes = _long_anchor_places(data, least, ANCHOR_BYTES)
                     first = np.flatnonzero(np.diff(places, prepend=-1))
                     runs = np.diff(np.append(first, len(places)))
                     prints = hashes[places[first]]
-                    packed = (((prints >> _U(32)) % _U(buckets)) << _U(32) | (prints & _U(0xFFFFFFFF))).astype(np.int64)
+                    packed = packed_keys(prints, buckets)
                     wanted = np.isin(packed, np.asarray(own.column("anchors")[row].values))
+                    hot = np.isin(packed, np.asarray(own.column("hot_anchors")[row].values))
                     raw = data.tobytes()
-                    for s, n, a in zip(first[wanted].tolist(), runs[wanted].tolist(), prints[wanted].view(np.int64).tolist()):
-                        for c, v in zip(columns, (a, ids[row], s, n, raw[s : s + n + least - 1])):
+                    for s, n, a, h in zip(first[wanted].tolist(), runs[wanted].tolist(), prints[wanted].view(np.int64).tolist(), hot[wanted].tolist()):
+                        for c, v in zip(columns, (a, ids[row], s, n, raw[s : s + n + least - 1], h)):
                             c.append(v)
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["anchor", "doc_id", "start", "n", "bytes"])
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["anchor", "doc_id", "start", "n", "bytes", "hot"])
 
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    joined = text.join(shared, "doc_id").select("doc_id", "text", "anchors")
-    return joined.mapInArrow(cut, "anchor long, doc_id long, start long, n int, bytes binary")
+    joined = text.join(shared, "doc_id").select("doc_id", "text", "anchors", "hot_anchors")
+    return joined.mapInArrow(cut, "anchor long, doc_id long, start long, n int, bytes binary, hot boolean")
 
 
 def suffix_order(text: np.ndarray) -> np.ndarray:
@@ -250,40 +210,78 @@ def first_documents(strings: list[bytes], docs: np.ndarray, counts: np.ndarray,
     return [first[b : b + c] for b, c in zip(begins.tolist(), counts.tolist())]
 
 
-def resolved_segments(distinct: DataFrame, least: int) -> DataFrame:
-    """Add ``firsts`` to distinct segments (anchor, bytes, n, doc): the first document of each string.
+def resolved_segments(found: DataFrame, least: int) -> DataFrame:
+    """(doc_id, starts): strings of the segments whose first document is a smaller one.
 
-    Rows of one anchor are in one partition.
+    Segments of one anchor come to one task in a row; some megabytes are transformed at a time.
     """
 
+    def solved(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(rows).combine_chunks()
+        anchors, docs = np.asarray(table.column("anchor")), np.asarray(table.column("doc_id"))
+        coded = pc.dictionary_encode(table.column("bytes").combine_chunks())
+        kind = np.asarray(coded.indices).astype(np.int64)
+        counts = np.zeros(len(coded.dictionary), dtype=np.int64)
+        counts[kind] = np.asarray(table.column("n"))
+        doc = np.full(len(counts), np.iinfo(np.int64).max)
+        np.minimum.at(doc, kind, docs)
+        # A segment that is the only one of its anchor has no string in common with another.
+        anchor_of = np.zeros(len(counts), dtype=np.int64)
+        anchor_of[kind] = anchors
+        _, back, kinds = np.unique(anchor_of, return_inverse=True, return_counts=True)
+        several = np.flatnonzero(kinds[back] > 1)
+        firsts: list[np.ndarray | None] = [None] * len(counts)
+        if len(several):
+            strings = coded.dictionary.take(pa.array(several)).to_pylist()
+            for i, f in zip(several.tolist(), first_documents(strings, doc[several], counts[several], least)):
+                firsts[i] = f
+        ids, lists = [], []
+        starts = np.asarray(table.column("start"))
+        for k, d, s in zip(kind.tolist(), docs.tolist(), starts.tolist()):
+            own = firsts[k]
+            at = np.flatnonzero(own < d) if own is not None else np.arange(counts[k] if doc[k] < d else 0)
+            if len(at):
+                ids.append(d)
+                lists.append(at + s)
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lists, pa.list_(pa.int64()))], names=["doc_id", "starts"])
+
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size = 0
-
-        def solved(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-            table = pa.Table.from_batches(rows).combine_chunks()
-            firsts = first_documents(table.column("bytes").to_pylist(), np.asarray(table.column("doc")), np.asarray(table.column("n")).astype(np.int64), least)
-            out = table.drop_columns(["bytes", "n", "doc"]).append_column("firsts", pa.array(firsts, pa.list_(pa.int64())))
-            return out.combine_chunks().to_batches()[0]
-
         for batch in batches:
             anchors = np.asarray(batch.column("anchor"))
-            cuts = [0, *np.flatnonzero(np.diff(anchors) != 0) + 1]
-            for start, stop in zip(cuts, [*cuts[1:], len(anchors)]):
-                if stop == start:
-                    continue
-                same = held and held[-1].column("anchor")[-1].as_py() == anchors[start]
-                if size >= TRANSFORM_BYTES and not same:
+            ends = np.cumsum(np.asarray(pc.binary_length(batch.column("bytes"))))
+            changes = np.flatnonzero(np.diff(anchors) != 0) + 1
+            at = 0
+            if held and len(anchors) and held[-1].column("anchor")[-1].as_py() != anchors[0] and size >= TRANSFORM_BYTES:
+                yield solved(held)
+                held, size = [], 0
+            while at < len(anchors):
+                base = int(ends[at - 1]) if at else 0
+                room = base + max(0, TRANSFORM_BYTES - size)
+                # The first change of anchor after the room is used up.
+                later = changes[(changes > at) & (ends[np.maximum(changes - 1, 0)] >= room)]
+                stop = int(later[0]) if len(later) else len(anchors)
+                held.append(batch.slice(at, stop - at))
+                size += int(ends[stop - 1]) - base
+                if len(later):
                     yield solved(held)
                     held, size = [], 0
-                own = batch.slice(start, stop - start)
-                held.append(own)
-                size += pc.sum(pc.binary_length(own.column("bytes"))).as_py()
+                at = stop
         if held:
             yield solved(held)
 
-    ordered = distinct.repartition("anchor").sortWithinPartitions("anchor").select("anchor", "seg", "bytes", "n", "doc")
-    return ordered.mapInArrow(resolve, "anchor long, seg binary, firsts array<long>")
+    ordered = found.select("anchor", "doc_id", "start", "n", "bytes").repartition("anchor").sortWithinPartitions("anchor")
+    return ordered.mapInArrow(resolve, "doc_id long, starts array<long>")
+
+
+def resolved_strings(found: DataFrame, least: int) -> DataFrame:
+    """(doc_id, starts) as above, with every string as a key of its own: for anchors in very many documents."""
+    strings = found.select(
+        "doc_id", "start", F.posexplode(F.transform(F.sequence(F.lit(1), "n"), lambda i: F.substring("bytes", i, F.lit(least)))).alias("at", "string")
+    )
+    firsts = strings.groupBy("string").agg(F.min("doc_id").alias("least"))
+    return strings.join(firsts, "string").where("least < doc_id").select("doc_id", F.array(F.col("start") + F.col("at")).alias("starts"))
 
 
 def merged_spans(starts: np.ndarray, least: int) -> list[tuple[int, int]]:
@@ -296,55 +294,46 @@ def merged_spans(starts: np.ndarray, least: int) -> list[tuple[int, int]]:
     return list(zip(begins.tolist(), ends.tolist()))
 
 
-def repeated_spans(docs: DataFrame, least: int = MIN_BYTES) -> tuple[DataFrame, DataFrame]:
-    """(all documents: doc_id, n_bytes, digest, first copy; removed strings: doc_id, starts).
+def binary_texts(docs: DataFrame) -> DataFrame:
+    return docs.where(F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text")
+    )
+
+
+def repeated_strings(docs: DataFrame, least: int = MIN_BYTES, hot: int = HOT_DOCUMENTS) -> tuple[DataFrame, DataFrame]:
+    """(known, removed): every document with n_bytes, digest and first copy; (doc_id, starts) of strings.
 
     ``first`` is the least doc_id with the same text.  ``starts`` covers only first copies.
     """
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-size // (BUCKET_ANCHORS * 17)))  # an anchor in about 18 bytes
+    buckets = bucket_count(text_bytes(docs), ANCHOR_STRIDE)
     slices = staged(anchor_slices(docs, buckets, least), "suffix-anchors")
     listed = slices.where("bucket < 0").select("slice", F.posexplode(F.arrays_zip("doc_ids", "sizes", "digests")).alias("owner", "d"))
     known = listed.select("slice", "owner", F.col("d.doc_ids").alias("doc_id"), F.col("d.sizes").alias("n_bytes"), F.col("d.digests").alias("digest"))
     copies = known.groupBy("digest", "n_bytes").agg(F.min("doc_id").alias("first"))
     known = staged(known.join(copies, ["digest", "n_bytes"]), "suffix-docs")
-    reps = known.where("doc_id = first").select("slice", "owner", "doc_id")
-    per_doc = shared_anchors(slices, 0).join(reps, ["slice", "owner"]).groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list(F.array("anchor")))).alias("anchors"))
-    found = segments(docs, per_doc, buckets, least).withColumn("seg", F.unhex(F.md5("bytes")))
-    found = staged(found, "suffix-segments")
-    distinct = found.groupBy("anchor", "seg").agg(F.min("doc_id").alias("doc"), F.min("n").alias("n"), F.first("bytes").alias("bytes"))
-    distinct = staged(distinct, "suffix-distinct")
-    many = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"))
-    kinds = staged(many.where("kinds > 1"), "suffix-kinds")
-    several = distinct.join(kinds, "anchor")
-    solved = resolved_segments(several.where(F.col("kinds") <= HOT_SEGMENTS), least)
-    # Hot anchors: every string is its own key.
-    hot = several.where(F.col("kinds") > HOT_SEGMENTS).select(
-        "anchor", "seg", "doc", F.posexplode(F.transform(F.sequence(F.lit(1), "n"), lambda i: F.substring("bytes", i, F.lit(least)))).alias("at", "string")
-    )
-    hot_first = hot.groupBy("string").agg(F.min("doc").alias("least"))
-    hot_solved = hot.join(hot_first, "string").groupBy("anchor", "seg").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("at", "least"))), lambda x: x["least"]).alias("firsts")
-    )
-    single = distinct.join(kinds, "anchor", "left_anti").select("anchor", "seg", F.array_repeat("doc", F.col("n")).alias("firsts"))
-    firsts = solved.unionByName(hot_solved).unionByName(single)
-    hits = found.select("anchor", "seg", "doc_id", "start").join(firsts, ["anchor", "seg"]).select(
-        "doc_id",
-        F.filter(F.transform("firsts", lambda f, i: F.when(f < F.col("doc_id"), F.col("start") + i)), lambda x: x.isNotNull()).alias("starts"),
+    reps = known.where("doc_id = first").select("slice", F.col("owner").cast("long").alias("owner"), "doc_id")
+    # An anchor counts when two different texts have it; copies were counted as well above.
+    met = staged(shared_keys(slices).join(reps, ["slice", "owner"]).select("doc_id", "key", "many"), "suffix-met")
+    again = met.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("key")
+    per_doc = met.join(again, "key").groupBy("doc_id").agg(
+        F.collect_list("key").alias("anchors"), F.collect_list(F.when(F.col("many") > hot, F.col("key"))).alias("hot_anchors")
     )
-    removed = hits.where(F.size("starts") > 0).groupBy("doc_id").agg(F.sort_array(F.flatten(F.collect_list("starts"))).alias("starts"))
-    return known, removed
+    found = segments(binary_texts(docs), per_doc, buckets, least)
+    if not met.where(F.col("many") > hot).isEmpty():
+        found = staged(found, "suffix-segments")
+        return known, resolved_segments(found.where("not hot"), least).unionByName(resolved_strings(found.where("hot"), least))
+    return known, resolved_segments(found, least)
 
 
-def without_repeats(docs: DataFrame, least: int = MIN_BYTES) -> DataFrame:
+def without_repeats(docs: DataFrame, least: int = MIN_BYTES, hot: int = HOT_DOCUMENTS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document.
 
-    NULL texts are empty.  Rows without an id are never first and lose nothing; repeated ids with one
-    text are one document row each; ids repeated with different texts are not smaller than each other.
+    NULL texts are empty.  Rows without an id are never first and lose nothing; rows that share an id
+    are not smaller than each other, and rows equal in id and text get equal results.
     """
     docs = docs.select("doc_id", "text")
-    known, removed = repeated_spans(docs, least)
-    removed = staged(removed, "suffix-removed")
+    known, removed = repeated_strings(docs, least, hot)
+    removed = removed.groupBy("doc_id").agg(F.flatten(F.collect_list("starts")).alias("starts"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -363,8 +352,7 @@ def without_repeats(docs: DataFrame, least: int = MIN_BYTES) -> DataFrame:
                 names=["__id", "__removed", "__spans", "__kept"],
             )
 
-    text = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    cut = text.join(removed, "doc_id").mapInArrow(keep, "__id long, __removed long, __spans long, __kept string").dropDuplicates(["__id"])
+    cut = binary_texts(docs).join(removed, "doc_id").mapInArrow(keep, "__id long, __removed long, __spans long, __kept string").dropDuplicates(["__id"])
     copy = (F.col("doc_id") > F.col("first")) & (F.col("n_bytes") >= least)
     nothing = hashlib.sha256(b"").hexdigest()
     joined = known.join(cut, (F.col("doc_id") == F.col("__id")) & (F.col("doc_id") == F.col("first")), "left")
