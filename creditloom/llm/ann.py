@@ -32,6 +32,7 @@ BOUNDARY_RATIO = 1.15
 REPLICAS = 4
 REACHED = 0.96
 BEAM = 12
+LEAST_LISTS = 8
 LIST_PART_ROWS = 4_000
 QUERY_PART_ROWS = 2_000
 _WALK_ROWS = 1_024
@@ -77,7 +78,7 @@ def neighbour_graph(centroids: np.ndarray, degree: int = DEGREE) -> np.ndarray:
 def walk(
     x: np.ndarray, centroids: np.ndarray, graph: np.ndarray, ratio: float, floor: float, beam: int | None = None
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(row, centroids, distances) within ``ratio`` of the nearest found, nearest first.
+    """(row, centroids, distances) within ``ratio`` of the nearest found (LEAST_LISTS at least), nearest first.
 
     The nearest counts as ``floor`` at least, so that a vector on top of a centroid opens others too.
     Best first for a batch of rows at once: each step opens every row's nearest unopened centroid
@@ -89,11 +90,12 @@ def walk(
         opened = np.zeros(seen.shape, dtype=bool)
         entry = np.linspace(0, len(centroids) - 1, min(8, len(centroids))).astype(int)
         seen[:, entry] = distances(own, centroids[entry])
+        least = min(LEAST_LISTS, len(centroids))
         waiting, active = seen.copy(), np.arange(len(own))
         nearest = seen.min(axis=1)
         while len(active):
             best = waiting[active].argmin(axis=1)
-            limit = ratio * np.maximum(nearest[active], floor)
+            limit = np.maximum(ratio * np.maximum(nearest[active], floor), np.partition(seen[active], least - 1, axis=1)[:, least - 1])
             if beam is not None and beam < len(centroids):
                 limit = np.minimum(limit, np.partition(seen[active], beam - 1, axis=1)[:, beam - 1])
             go = (waiting[active, best] <= limit) & np.isfinite(waiting[active, best])
@@ -107,9 +109,11 @@ def walk(
             waiting[active, best] = np.inf
             nearest[active] = np.minimum(nearest[active], gap.min(axis=1))
         for r in range(len(own)):
-            found = np.flatnonzero(seen[r] <= ratio * max(nearest[r], floor))
-            order = np.argsort(seen[r][found], kind="stable")[:beam]
-            yield start + r, found[order], seen[r][found][order]
+            order = np.argsort(seen[r], kind="stable")
+            order = order[np.isfinite(seen[r][order])]
+            near = int((seen[r] <= ratio * max(nearest[r], floor)).sum())
+            order = order[: max(near, least)][:beam]
+            yield start + r, order, seen[r][order]
 
 
 def calibrated_ratio(x: np.ndarray, longest: float, centroids: np.ndarray, graph: np.ndarray, floor: float, k: int) -> float:
