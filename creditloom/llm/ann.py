@@ -116,13 +116,19 @@ def walk(
             yield start + r, order, seen[r][order]
 
 
+def boundary_lists(found: np.ndarray, gap: np.ndarray, floor: float) -> np.ndarray:
+    """The lists a stored vector stands on: the nearest, and others hardly farther."""
+    return found[gap <= BOUNDARY_RATIO * max(gap[0], floor)][:REPLICAS]
+
+
 def calibrated_ratio(x: np.ndarray, longest: float, centroids: np.ndarray, graph: np.ndarray, floor: float, k: int) -> float:
     """The least ratio that reaches REACHED of the sample's true neighbours (500 sample queries)."""
     queries = x[np.random.default_rng(SEED).choice(len(x), size=min(500, len(x)), replace=False)]
     stored = lifted(x, longest)
     lists = np.full((len(x), REPLICAS), -1)
-    for row, found, _ in walk(stored, centroids, graph, BOUNDARY_RATIO, floor, BEAM):
-        lists[row, : min(REPLICAS, len(found))] = found[:REPLICAS]
+    for row, found, gap in walk(stored, centroids, graph, BOUNDARY_RATIO, floor, BEAM):
+        own = boundary_lists(found, gap, floor)
+        lists[row, : len(own)] = own
     lists = np.where(lists < 0, lists[:, :1], lists)
     to_lists = distances(as_query(queries), centroids)
     nearest = to_lists.min(axis=1)
@@ -161,8 +167,8 @@ def listed(vectors: DataFrame, index, stored: bool) -> DataFrame:
                 x = lifted(x, fitted["longest"]) if stored else as_query(x)
                 rows, lists = [], []
                 ratio, beam = (BOUNDARY_RATIO, BEAM) if stored else (fitted["ratio"], None)
-                for row, found, _ in walk(x, fitted["centroids"], fitted["graph"], ratio, fitted["floor"], beam):
-                    found = found[:REPLICAS] if stored else found
+                for row, found, gap in walk(x, fitted["centroids"], fitted["graph"], ratio, fitted["floor"], beam):
+                    found = boundary_lists(found, gap, fitted["floor"]) if stored else found
                     rows.append(np.full(len(found), row))
                     lists.append(found)
                 if rows:
