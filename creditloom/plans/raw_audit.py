@@ -61,8 +61,13 @@ def file_identity(spark: SparkSession, raw_dir: str) -> DataFrame:
 
 
 def raw_lines(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """Lines of the expected files with their place: part file, split start, order in the split."""
-    lines = spark.read.text(raw_dir, recursiveFileLookup=True).select(
+    """Lines of the expected files with their place."""
+    return placed_lines(spark, raw_dir).where(F.col("file_name") != "")
+
+
+def placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of any files with their place: part file, split start, order in the split."""
+    return spark.read.text(path, recursiveFileLookup=True).select(
         _logical_name(F.col("_metadata.file_path")).alias("file_name"),
         F.col("_metadata.file_path").alias("part"),
         F.col("_metadata.file_block_start").alias("split_start"),
@@ -72,7 +77,6 @@ def raw_lines(spark: SparkSession, raw_dir: str) -> DataFrame:
         .alias("text"),
         F.is_valid_utf8("value").alias("valid_text"),
     )
-    return lines.where(F.col("file_name") != "")
 
 
 def _separators(text: Column) -> Column:
@@ -203,6 +207,19 @@ def with_record_numbers(lexed: DataFrame) -> DataFrame:
     )
 
 
+def has_line_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted field runs over the end of a line."""
+    return bool(lexed_lines(placed_lines(spark, path)).agg(F.max("opens")).first()[0])
+
+
+def raw_records(spark: SparkSession, path: str) -> DataFrame:
+    """(part, record, text): whole records, blank lines left out, of files with quoted line breaks."""
+    numbered = with_record_numbers(lexed_lines(placed_lines(spark, path)))
+    lines = F.array_sort(F.collect_list(F.struct("split_start", "line_id", "text")))
+    records = numbered.groupBy("part", "record").agg(lines.alias("lines"))
+    return records.select("part", "record", F.array_join("lines.text", "\n").alias("text")).where("text <> ''")
+
+
 def _record_profile(lexed: DataFrame) -> DataFrame:
     """Records per file and field count for files with quoted line breaks."""
     numbered = with_record_numbers(lexed)
