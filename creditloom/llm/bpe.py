@@ -1,11 +1,13 @@
 """Byte-level BPE over a table of distinct words.
 
 Texts are cut into words by Spark's regular expressions.  A block (some megabytes of documents)
-keeps its distinct words once and its documents as positions into that list.  All blocks' words
-meet in one table of distinct words; each is encoded once and decoded by a join of its ids with the
-table of pieces.  The result goes back to the blocks, where ids are placed by position.
+keeps its distinct words once and its documents as positions into that list.  The list is dealt to
+buckets by a hash of the word, one packed row per block and bucket.  In a bucket the words of all
+blocks meet: each distinct word is encoded once and decoded by a join of its ids with the table of
+pieces.  The answers go back to the blocks, where ids are placed by position.
 
-Memory: a task holds one block.  A word as frequent as a third of all rows costs one row per block.
+Memory: a task holds one block, or the distinct words of one bucket while the blocks' rows of that
+bucket stream by.  A word as frequent as a third of all rows costs one place per block.
 Null text is empty; null and repeated ids are kept, one result row per input row; extra columns are
 ignored.
 """
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +28,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import byte_slices, staged
+from .packed import text_bytes
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
+BUCKET_BYTES = 16 << 20  # text per bucket of words
 
 
 def load_tokenizer(path: str):
@@ -81,27 +86,66 @@ def piece_table(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def word_blocks(docs: DataFrame, pattern: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per block: its documents as positions into its list of distinct words."""
+def squeeze(*parts: np.ndarray) -> bytes:
+    """Arrays of bytes or of unsigned numbers as one compressed value."""
+    raw = [x.tobytes() if x.dtype == np.uint8 else x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for x in parts]
+    whole = b"".join([np.array([len(x) for x in raw], "<i8").tobytes(), *raw])
+    return len(whole).to_bytes(8, "little") + pa.compress(whole, codec="zstd", asbytes=True)
+
+
+def unsqueeze(value: bytes, kinds: str) -> list[np.ndarray]:
+    """The arrays of squeeze(); ``kinds`` has b for bytes and n for numbers."""
+    whole = pa.decompress(value[8:], int.from_bytes(value[:8], "little"), codec="zstd", asbytes=True)
+    at, found = 8 * len(kinds), []
+    for kind, size in zip(kinds, np.frombuffer(whole, "<i8", len(kinds)).tolist()):
+        part = np.frombuffer(whole, np.uint8, size, at)
+        found.append(part if kind == "b" else np.ascontiguousarray(part.reshape(4, -1).T).view("<u4").ravel())
+        at += size
+    return found
+
+
+def _spelling(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(lengths, bytes) of a binary array."""
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(lists)], pa.int32()), lists), b"")
+    return np.asarray(pc.binary_length(lists)), np.frombuffer(joined[0].as_buffer(), np.uint8)
+
+
+def _strings(lengths: np.ndarray, raw: np.ndarray) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(raw)])
+
+
+def word_blocks(docs: DataFrame, pattern: str, buckets: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(block, bucket, doc_ids, body): bucket -1 has a block's documents, the others its distinct words.
+
+    Words are in order of bucket and spelling.  Documents name a word by its rank in frequency.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
         for batch in batches:
             for start, stop in byte_slices(batch.column("text"), block_bytes):
-                words = batch.column("words").slice(start, stop - start)
-                encoded = pc.dictionary_encode(words.flatten())
-                slots = np.asarray(encoded.indices, dtype=np.int64)
-                kind = np.uint16 if len(encoded.dictionary) < 1 << 16 else np.uint32
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "block": pa.array([(part << 32) + seq], pa.int64()),
-                        "doc_ids": pa.array([batch.column("doc_id").slice(start, stop - start).to_pylist()], pa.list_(pa.int64())),
-                        "counts": pa.array([np.asarray(pc.list_value_length(words), dtype=np.int32).tobytes()], pa.binary()),
-                        "slots": pa.array([slots.astype(kind).tobytes()], pa.binary()),
-                        "words": pa.ListArray.from_arrays(pa.array([0, len(encoded.dictionary)], pa.int32()), encoded.dictionary.cast(pa.string())),
-                    }
-                )
+                lists = batch.column("words").slice(start, stop - start)
+                encoded = pc.dictionary_encode(lists.flatten())
+                words = encoded.dictionary.cast(pa.binary())
+                bucket = np.array([zlib.crc32(w) % buckets for w in words.to_pylist()], np.int32)
+                order = np.asarray(pc.sort_indices(pa.table({"b": bucket, "w": words}), sort_keys=[("b", "ascending"), ("w", "ascending")])).astype(np.int64)
+                place = np.empty(len(order), np.int64)
+                place[order] = np.arange(len(order))
+                slots = place[np.asarray(encoded.indices, dtype=np.int64)]
+                often = np.bincount(slots, minlength=len(order))
+                rank = np.empty(len(order), np.int64)
+                rank[np.argsort(-often, kind="stable")] = np.arange(len(order))
+                number = (part << 32) + seq
                 seq += 1
+                counts = np.asarray(pc.list_value_length(lists))
+                out = [(number, -1, batch.column("doc_id").slice(start, stop - start).to_pylist(), squeeze(counts, often, rank[slots]))]
+                words, bucket = words.take(pa.array(order)), bucket[order]
+                cuts = np.concatenate([np.flatnonzero(np.diff(bucket, prepend=-1)), [len(bucket)]])
+                for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                    out.append((number, int(bucket[a]), None, squeeze(*_spelling(words.slice(a, b - a)))))
+                kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["block", "bucket", "doc_ids", "body"])
 
     text = F.coalesce(F.col("text"), F.lit(""))
     cut = docs.select(
@@ -109,90 +153,134 @@ def word_blocks(docs: DataFrame, pattern: str, block_bytes: int = BLOCK_BYTES) -
         text.alias("text"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("words"),
     )
-    kinds = "block long, doc_ids array<long>, counts binary, slots binary, words array<string>"
-    return staged(cut.mapInArrow(pack, kinds), "bpe-blocks")
+    return staged(cut.mapInArrow(pack, "block long, bucket int, doc_ids array<long>, body binary"), "bpe-blocks")
 
 
-def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """(word, ids) for a table of distinct words."""
+def encode_words(packed: DataFrame, path: str) -> DataFrame:
+    """(bucket, word, ids): every distinct word once."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load_tokenizer(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                words = batch.column("word").slice(at, 2000)
-                found = tokenizer.encode_batch(words.to_pylist(), add_special_tokens=False)
+
+        def coded(bucket: int, words: pa.Array) -> Iterator[pa.RecordBatch]:
+            for at in range(0, len(words), 2000):
+                own = words.slice(at, 2000)
+                found = tokenizer.encode_batch(own.cast(pa.string()).to_pylist(), add_special_tokens=False)
                 yield pa.RecordBatch.from_pydict(
-                    {"word": words, "ids": pa.array([x.ids for x in found], pa.list_(pa.int32()))}
+                    {"bucket": pa.array([bucket] * len(own), pa.int32()), "word": own, "ids": pa.array([x.ids for x in found], pa.list_(pa.int32()))}
                 )
 
-    return words.mapInArrow(encode, "word string, ids array<int>")
+        current, known = None, pa.array([], pa.binary())
+        for batch in batches:
+            for bucket, body in zip(batch.column("bucket").to_pylist(), batch.column("body")):
+                if bucket != current:
+                    yield from coded(current, known)
+                    current, known = bucket, pa.array([], pa.binary())
+                known = pc.unique(pa.concat_arrays([known, _strings(*unsqueeze(body.as_py(), "nb"))]))
+        yield from coded(current, known)
+
+    ordered = packed.select("bucket", "body").repartition("bucket").sortWithinPartitions("bucket")
+    return staged(ordered.mapInArrow(encode, "bucket int, word binary, ids array<int>"), "bpe-words")
 
 
-def decode_ids(spark: SparkSession, coded: DataFrame, key: str, path: str) -> DataFrame:
+def decode_ids(spark: SparkSession, coded: DataFrame, path: str) -> DataFrame:
     """Add ``decoded``: the bytes of ``ids``, by a join of each id with the piece table.
 
     The piece table has one row per vocabulary entry (about 50,000), so it is broadcast.
-    An id outside the vocabulary has no piece; an empty list gives empty bytes.
     """
     pieces = F.broadcast(piece_table(spark, path))
-    spelled = (
-        coded.select(key, F.posexplode("ids").alias("pos", "id"))
+    joined = F.aggregate("spelled", F.lit(b""), lambda done, x: F.concat(done, x["piece"]))
+    return (
+        coded.repartition("bucket")  # a word's ids stay together: no further shuffle to put them in order
+        .select("bucket", "word", "ids", F.posexplode("ids").alias("pos", "id"))
         .join(pieces, "id")
-        .groupBy(key)
+        .groupBy("bucket", "word", "ids")
         .agg(F.array_sort(F.collect_list(F.struct("pos", "piece"))).alias("spelled"))
-        .select(F.col(key).alias("__key"), "spelled")
-    )
-    joined = F.aggregate("spelled", F.lit(b""), lambda done, x: F.concat(done, x["piece"]))
-    return coded.join(spelled, F.col(key) == F.col("__key"), "left").select(
-        *coded.columns, F.coalesce(joined, F.lit(b"")).alias("decoded")
+        .select("bucket", "word", "ids", joined.alias("decoded"))
     )
 
 
-def place_by_position(blocks: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """Documents with ``ids`` and ``decoded`` bytes: each position takes its word's entry."""
-    words = blocks.select("block", F.posexplode("words").alias("slot", "word"))
-    entries = (
-        words.join(lexicon, "word")
-        .groupBy("block")
-        .agg(F.collect_list(F.struct("slot", "ids", "decoded")).alias("entries"))
+def answered(packed: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """(block, bucket, body): ids and decoded bytes of a block's words, in the block's order of words."""
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held, known = None, [], None
+        for batch in batches:
+            names = ["bucket", "asks"]
+            bucket, asks = (np.asarray(batch.column(c)) for c in names)
+            cuts = np.concatenate([np.flatnonzero((np.diff(bucket, prepend=-1) != 0) | (np.diff(asks, prepend=-1) != 0)), [len(bucket)]])
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if not asks[a]:
+                    held = held if current == bucket[a] else []
+                    current, known = bucket[a], None
+                    held.append(batch.slice(a, b - a).select(["word", "ids", "decoded"]))
+                    continue
+                if known is None:
+                    known = pa.Table.from_batches(held).combine_chunks()
+                    words, lists, spelled = (known.column(c).combine_chunks() for c in ("word", "ids", "decoded"))
+                bodies = []
+                for body in batch.column("body").slice(a, b - a):
+                    at = pc.index_in(_strings(*unsqueeze(body.as_py(), "nb")), value_set=words)
+                    own = lists.take(at)
+                    bodies.append(squeeze(np.asarray(pc.list_value_length(own)), np.asarray(own.flatten()), *_spelling(spelled.take(at))))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("block").slice(a, b - a), batch.column("bucket").slice(a, b - a), pa.array(bodies, pa.binary())],
+                    names=["block", "bucket", "body"],
+                )
+
+    rows = lexicon.select("bucket", F.lit(0).alias("asks"), "word", "ids", "decoded").unionByName(
+        packed.select("bucket", F.lit(1).alias("asks"), "block", "body"), allowMissingColumns=True
     )
-    return blocks.drop("words").join(entries, "block", "left")
+    # The words of a bucket come first, then the blocks that ask for them.
+    ordered = rows.repartition("bucket").sortWithinPartitions("bucket", "asks")
+    return ordered.mapInArrow(answer, "block long, bucket int, body binary")
 
 
 def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list]]:
-    """(doc ids, id arrays, decoded bytes) of one block after the other."""
+    """(doc ids, id arrays, decoded bytes) of one block after the other; a block's documents come first."""
+
+    def placed(doc_ids: list, body: bytes, bodies: list[bytes]) -> tuple[list, list, list]:
+        counts, often, ranks = unsqueeze(body, "nnn")
+        found = list(zip(*[unsqueeze(x, "nnnb") for x in bodies])) or [[np.zeros(0, np.uint32)]] * 4
+        sizes, flat, lengths, raw = (np.concatenate(x) for x in found)
+        sizes = sizes.astype(np.int64)
+        starts = np.cumsum(sizes) - sizes
+        ends = np.cumsum(lengths, dtype=np.int64).tolist()
+        raw = raw.tobytes()
+        spelled = [raw[a:b] for a, b in zip([0, *ends], ends)]
+        slots = np.argsort(-often.astype(np.int64), kind="stable")[ranks]
+        ids, texts, at = [], [], 0
+        for n in counts.tolist():
+            own = slots[at : at + n]
+            at += n
+            width = sizes[own]
+            first = np.repeat(starts[own] - (np.cumsum(width) - width), width)
+            ids.append(flat[first + np.arange(int(width.sum()))])
+            texts.append(b"".join([spelled[s] for s in own.tolist()]))
+        return doc_ids, ids, texts
+
+    current, bodies = None, []
     for batch in batches:
         for row in range(batch.num_rows):
-            entries = batch.column("entries").slice(row, 1).flatten()
-            order = np.argsort(np.asarray(entries.field("slot"))) if len(entries) else np.zeros(0, int)
-            entries = entries.take(pa.array(order))
-            kind = np.uint16 if len(entries) < 1 << 16 else np.uint32
-            slots = np.frombuffer(batch.column("slots")[row].as_py(), kind).astype(np.int64)
-            counts = np.frombuffer(batch.column("counts")[row].as_py(), np.int32)
-            lists = entries.field("ids")
-            sizes = np.asarray(pc.list_value_length(lists), dtype=np.int64) if len(entries) else np.zeros(0, np.int64)
-            flat = np.asarray(lists.flatten(), dtype=np.uint32) if len(entries) else np.zeros(0, np.uint32)
-            starts = np.cumsum(sizes) - sizes
-            spelled = entries.field("decoded").to_pylist() if len(entries) else []
-            ids, texts, at = [], [], 0
-            for n in counts.tolist():
-                own = slots[at : at + n]
-                at += n
-                width = sizes[own]
-                total = int(width.sum())
-                first = np.repeat(starts[own] - (np.cumsum(width) - width), width)
-                ids.append(flat[first + np.arange(total)])
-                texts.append(b"".join([spelled[s] for s in own.tolist()]))
-            yield batch.column("doc_ids")[row].as_py(), ids, texts
+            body = batch.column("body")[row].as_py()
+            if batch.column("bucket")[row].as_py() >= 0:
+                bodies.append(body)
+                continue
+            if current:
+                yield placed(*current, bodies)
+            current, bodies = (batch.column("doc_ids")[row].as_py(), body), []
+    if current:
+        yield placed(*current, bodies)
 
 
 def encode_documents(spark: SparkSession, docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(block, positions, entries) of all documents: encoded, decoded, not yet spread by document."""
-    blocks = word_blocks(docs, word_pattern(special_strings(path)), block_bytes)
-    words = blocks.select(F.explode("words").alias("word")).distinct()
-    coded = staged(encode_words(words, path), "bpe-words")
-    return place_by_position(blocks, decode_ids(spark, coded, "word", path))
+    """(block, bucket, doc_ids, body) rows for assembled(): documents of a block, then its encoded words."""
+    buckets = 1 + text_bytes(docs) // BUCKET_BYTES
+    blocks = word_blocks(docs, word_pattern(special_strings(path)), buckets, block_bytes)
+    packed = blocks.where("bucket >= 0").select("block", "bucket", "body")
+    lexicon = decode_ids(spark, encode_words(packed, path), path)
+    rows = blocks.where("bucket < 0").unionByName(answered(packed, lexicon), allowMissingColumns=True)
+    return rows.repartition("block").sortWithinPartitions("block", "bucket")
 
 
 def token_table(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
