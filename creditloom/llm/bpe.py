@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import byte_slices, staged
 from .packed import text_bytes
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 24 << 20
 BUCKET_BYTES = 16 << 20  # text per bucket of words
 
 
@@ -130,11 +130,11 @@ def word_blocks(docs: DataFrame, pattern: str, buckets: int, block_bytes: int =
                 words = encoded.dictionary.cast(pa.binary())
                 bucket = np.array([zlib.crc32(w) % buckets for w in words.to_pylist()], np.int32)
                 order = np.asarray(pc.sort_indices(pa.table({"b": bucket, "w": words}), sort_keys=[("b", "ascending"), ("w", "ascending")])).astype(np.int64)
-                place = np.empty(len(order), np.int64)
+                place = np.empty(len(order), np.uint32)
                 place[order] = np.arange(len(order))
                 slots = place[np.asarray(encoded.indices, dtype=np.int64)]
                 often = np.bincount(slots, minlength=len(order))
-                rank = np.empty(len(order), np.int64)
+                rank = np.empty(len(order), np.uint32)
                 rank[np.argsort(-often, kind="stable")] = np.arange(len(order))
                 number = (part << 32) + seq
                 seq += 1
@@ -184,20 +184,44 @@ def encode_words(packed: DataFrame, path: str) -> DataFrame:
 
 
 def decode_ids(spark: SparkSession, coded: DataFrame, path: str) -> DataFrame:
-    """Add ``decoded``: the bytes of ``ids``, by a join of each id with the piece table.
+    """(bucket, body): words with their ids and the bytes of these, by a join of each id with the piece table.
 
-    The piece table has one row per vocabulary entry (about 50,000), so it is broadcast.
+    The piece table has one row per vocabulary entry (about 50,000), so it is broadcast; the ids of a
+    word come out of that join one after the other, as they went in.
     """
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            starts = np.flatnonzero(np.asarray(batch.column("pos")) == 0)
+            if not len(starts):
+                held.append(batch)
+                continue
+            # The last word may go on in the next batch.
+            held.append(batch.slice(0, starts[-1]))
+            yield spelled(held)
+            held = [batch.slice(starts[-1])]
+        if held:
+            yield spelled(held)
+
+    def spelled(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(rows).combine_chunks()
+        starts = np.flatnonzero(np.asarray(table.column("pos")) == 0)
+        ends = np.append(starts, table.num_rows).astype(np.int32)
+        pieces = table.column("piece").combine_chunks() if table.num_rows else pa.array([], pa.binary())
+        decoded = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), pieces), b"")
+        words = table.column("word").take(pa.array(starts)).combine_chunks() if table.num_rows else pa.array([], pa.binary())
+        bucket, ids = np.asarray(table.column("bucket"))[starts], np.asarray(table.column("id"))
+        cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+        out = [
+            (int(bucket[a]), squeeze(*_spelling(words.slice(a, b - a)), np.diff(ends[a : b + 1]), ids[ends[a] : ends[b]], *_spelling(decoded.slice(a, b - a))))
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())
+        ]
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())], names=["bucket", "body"])
+
     pieces = F.broadcast(piece_table(spark, path))
-    joined = F.aggregate("spelled", F.lit(b""), lambda done, x: F.concat(done, x["piece"]))
-    return (
-        coded.repartition("bucket")  # a word's ids stay together: no further shuffle to put them in order
-        .select("bucket", "word", "ids", F.posexplode("ids").alias("pos", "id"))
-        .join(pieces, "id")
-        .groupBy("bucket", "word", "ids")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "piece"))).alias("spelled"))
-        .select("bucket", "word", "ids", joined.alias("decoded"))
-    )
+    rows = coded.select("bucket", "word", F.posexplode("ids").alias("pos", "id")).join(pieces, "id")
+    return rows.select("bucket", "word", "pos", "id", "piece").mapInArrow(spell, "bucket int, body binary")
 
 
 def answered(packed: DataFrame, lexicon: DataFrame) -> DataFrame:
@@ -206,18 +230,19 @@ def answered(packed: DataFrame, lexicon: DataFrame) -> DataFrame:
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held, known = None, [], None
         for batch in batches:
-            names = ["bucket", "asks"]
-            bucket, asks = (np.asarray(batch.column(c)) for c in names)
+            bucket, asks = np.asarray(batch.column("bucket")), np.asarray(batch.column("asks"))
             cuts = np.concatenate([np.flatnonzero((np.diff(bucket, prepend=-1) != 0) | (np.diff(asks, prepend=-1) != 0)), [len(bucket)]])
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                 if not asks[a]:
                     held = held if current == bucket[a] else []
                     current, known = bucket[a], None
-                    held.append(batch.slice(a, b - a).select(["word", "ids", "decoded"]))
+                    held += [unsqueeze(x.as_py(), "nbnnnb") for x in batch.column("body").slice(a, b - a)]
                     continue
                 if known is None:
-                    known = pa.Table.from_batches(held).combine_chunks()
-                    words, lists, spelled = (known.column(c).combine_chunks() for c in ("word", "ids", "decoded"))
+                    lengths, raw, sizes, ids, widths, decoded = known = [np.concatenate(x) for x in zip(*held)]
+                    words, spelled = _strings(lengths, raw), _strings(widths, decoded)
+                    ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
+                    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
                 bodies = []
                 for body in batch.column("body").slice(a, b - a):
                     at = pc.index_in(_strings(*unsqueeze(body.as_py(), "nb")), value_set=words)
@@ -228,7 +253,7 @@ def answered(packed: DataFrame, lexicon: DataFrame) -> DataFrame:
                     names=["block", "bucket", "body"],
                 )
 
-    rows = lexicon.select("bucket", F.lit(0).alias("asks"), "word", "ids", "decoded").unionByName(
+    rows = lexicon.select("bucket", F.lit(0).alias("asks"), "body").unionByName(
         packed.select("bucket", F.lit(1).alias("asks"), "block", "body"), allowMissingColumns=True
     )
     # The words of a bucket come first, then the blocks that ask for them.
