@@ -27,10 +27,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import byte_slices, staged
+from .common import size_slices, staged
 from .packed import text_bytes
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 20 << 20
 BUCKET_BYTES = 16 << 20  # text per bucket of words
 
 
@@ -124,7 +124,7 @@ def word_blocks(docs: DataFrame, pattern: str, buckets: int, block_bytes: int =
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for start, stop in byte_slices(batch.column("text"), block_bytes):
+            for start, stop in size_slices(np.asarray(batch.column("size")), block_bytes):
                 lists = batch.column("words").slice(start, stop - start)
                 encoded = pc.dictionary_encode(lists.flatten())
                 words = encoded.dictionary.cast(pa.binary())
@@ -150,7 +150,7 @@ def word_blocks(docs: DataFrame, pattern: str, buckets: int, block_bytes: int =
     text = F.coalesce(F.col("text"), F.lit(""))
     cut = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        text.alias("text"),
+        F.octet_length(text).alias("size"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("words"),
     )
     return staged(cut.mapInArrow(pack, "block long, bucket int, doc_ids array<long>, body binary"), "bpe-blocks")

@@ -36,9 +36,13 @@ def utf8_bytes(text: Column | str) -> Column:
 
 def byte_slices(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
     """Cut rows ``start .. stop`` so that each slice holds about ``limit`` bytes, one row at least."""
-    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0)))
+    return size_slices(np.asarray(pc.fill_null(pc.binary_length(texts), 0)), limit)
+
+
+def size_slices(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    ends = np.cumsum(sizes, dtype=np.int64)
     start = 0
-    while start < len(texts):
+    while start < len(sizes):
         base = ends[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
         yield start, stop
