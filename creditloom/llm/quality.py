@@ -11,6 +11,7 @@ Labelled rows are read up to TRAIN_ROWS, in order of a hash of doc_id; that boun
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -28,30 +29,50 @@ SEED = 5
 Rule = tuple[tuple[str, str, float], ...]
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Text statistics; 0 for an empty or NULL text.  Shares are per character or per word."""
+def counts(text: Column) -> Column:
+    """What the statistics are made of, each pattern run once over the text."""
     body = F.coalesce(text, F.lit(""))
-    chars = F.length(body)
-    words = F.regexp_count(body, F.lit(r"\S+"))
-    lines = F.regexp_count(body, F.lit(r"[^\n]+"))
-
-    def share(pattern: str, of: Column) -> Column:
-        return F.regexp_count(body, F.lit(pattern)) / F.greatest(of, F.lit(1))
-
-    return {
-        "log_chars": F.log1p(chars),
-        "word_chars": chars / F.greatest(words, F.lit(1)),
-        "line_words": words / F.greatest(lines, F.lit(1)),
-        "upper_share": share(r"\p{Lu}", chars),
-        "digit_share": share("[0-9]", chars),
-        "symbol_share": share(r"[^\p{L}\p{N}\s.,;:'\"()-]", chars),
-        "stop_share": share("[.?!](?=\\s|$)", words),
-        "comma_share": share("[,;]", words),
-        "bar_share": share(r"(?<=\s)[^\p{L}\p{N}\s]+(?=\s)", words),
-        "tail_share": share(r"\p{L}[^\p{L}\p{N}\s]{2,}", words),
-        "long_share": share(r"\p{L}{16,}", words),
-        "again_share": share(r"(?<!\S)(\S++)(?=\s\1(?!\S))", words),
-    }
+
+    def found(pattern: str) -> Column:
+        return F.regexp_count(body, F.lit(pattern))
+
+    # One mark per word is cheaper than a list of the words.
+    words = F.when(body.rlike(r"\S"), F.length(F.regexp_replace(body, r"\s*+\S++\s*+", "w"))).otherwise(0)
+    return F.struct(
+        F.length(body).alias("chars"),
+        words.alias("words"),
+        found(r"[^\n]+").alias("lines"),
+        found(r"\p{Lu}").alias("upper"),
+        found("[0-9]").alias("digit"),
+        found(r"[^\p{L}\p{N}\s.,;:'\"()-]").alias("symbol"),
+        found("[.?!](?=\\s|$)").alias("stop"),
+        found("[,;]").alias("comma"),
+        found(r"(?<=\s)[^\p{L}\p{N}\s]+(?=\s)").alias("bar"),
+        found(r"\p{L}[^\p{L}\p{N}\s]{2,}").alias("tail"),
+        found(r"(?<!\p{L})\p{L}{16,}").alias("long"),
+        found(r"(?<!\S)(\S++)(?=\s\1(?!\S))").alias("again"),
+    )
+
+
+def statistics(text: Column) -> Column:
+    """Text statistics as a one-element array of a struct; 0 for an empty or NULL text.
+
+    Shares are per character or per word.  The array hands the counts to a function of them: rules
+    read statistics many times, and a filter on the score must not run the patterns as often.
+    """
+
+    def of(c: Column) -> Column:
+        chars, words = F.greatest(c["chars"], F.lit(1)), F.greatest(c["words"], F.lit(1))
+        named = {
+            "log_chars": F.log1p(c["chars"]),
+            "word_chars": c["chars"] / words,
+            "line_words": c["words"] / F.greatest(c["lines"], F.lit(1)),
+        }
+        named |= {f"{n}_share": c[n] / chars for n in ("upper", "digit", "symbol")}
+        named |= {f"{n}_share": c[n] / words for n in ("stop", "comma", "bar", "tail", "long", "again")}
+        return F.struct(*[x.cast("double").alias(n) for n, x in named.items()])
+
+    return F.transform(F.array(counts(text)), of)
 
 
 def is_held_out(doc_id: str = "doc_id") -> Column:
@@ -69,8 +90,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) ->
     )
     # At most ``most`` ids: small enough for every task, so texts are not shuffled.
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
-    measured = staged(joined.select(*[c.cast("double").alias(n) for n, c in statistics(F.col("text")).items()], F.col("__quality").cast("double").alias("label")), "quality-train")
-    return measured.coalesce(TRAIN_TASKS)
+    measured = joined.select(F.col("__quality").cast("double").alias("label"), F.inline(statistics(F.col("text"))))
+    return staged(measured, "quality-train").coalesce(TRAIN_TASKS)
 
 
 def tree_rules(description: str, names: list[str]) -> list[Rule]:
@@ -100,10 +121,10 @@ def simplified(rule: Rule) -> Rule:
     return tuple((n, s, v) for (n, s), v in sorted(bounds.items()))
 
 
-def holds(rule: Rule) -> Column:
+def holds(rule: Rule, statistic: Callable[[str], Column] = F.col) -> Column:
     out = F.lit(True)
     for name, sign, value in rule:
-        out = out & (F.col(name) <= value if sign == "<=" else F.col(name) > value)
+        out = out & (statistic(name) <= value if sign == "<=" else statistic(name) > value)
     return out
 
 
@@ -125,26 +146,27 @@ def fit_rules(train: DataFrame) -> tuple[float, list[tuple[Rule, float]]]:
     return float(model.intercept), kept
 
 
-def score_column(intercept: float, rules: list[tuple[Rule, float]]) -> Column:
-    """The rules as one expression over the statistics columns."""
-    margin = F.lit(intercept)
-    for rule, weight in rules:
-        margin = margin + F.when(holds(rule), F.lit(weight)).otherwise(0.0)
-    return 1 / (1 + F.exp(-margin))
+def score_column(text: Column, intercept: float, rules: list[tuple[Rule, float]]) -> Column:
+    """The rules as one expression over the text."""
+
+    def score(s: Column) -> Column:
+        margin = F.lit(intercept)
+        for rule, weight in rules:
+            margin = margin + F.when(holds(rule, lambda n: s[n]), F.lit(weight)).otherwise(0.0)
+        return 1 / (1 + F.exp(-margin))
+
+    return F.element_at(F.transform(statistics(text), score), 1)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents with ``score`` and ``predicted``; rows and other columns as they were.
 
-    A NULL text counts as empty and gets a score; input columns named like a statistic, score or
-    predicted are set aside (score and predicted are replaced).
+    A NULL text counts as empty and gets a score; input columns score and predicted are replaced.
     """
     intercept, rules = fit_rules(training_rows(docs, labels))
     own = [c for c in docs.columns if c not in ("score", "predicted")]
-    packed = docs.select(F.struct(*own).alias("__row"))
-    measured = packed.select("__row", *[c.cast("double").alias(n) for n, c in statistics(F.col("__row.text")).items()])
-    scored = measured.select("__row", score_column(intercept, rules).alias("__score"))
-    return scored.select("__row.*", F.col("__score").alias("score"), (F.col("__score") >= 0.5).cast("int").alias("predicted"))
+    scored = docs.select(*own, score_column(F.col("text"), intercept, rules).alias("score"))
+    return scored.select(*own, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
