@@ -190,24 +190,28 @@ def group_rows(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return once.groupBy("grp").applyInArrow(unite, kinds)
 
 
-def _group(row: dict, suffix: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    reps, union = np.array(row["reps" + suffix]), np.array(row["union" + suffix])
-    bits = np.frombuffer(row["marks" + suffix], np.uint8).reshape(len(reps), -1)
-    return reps, union, np.unpackbits(bits, axis=1, count=len(union)).astype(np.float32)
+def _group(batch: pa.RecordBatch, row: int, suffix: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(reps, union, marks) of one side of a pair, as views of the batch where possible."""
+    reps, union = (np.asarray(batch.column(c + suffix)[row].values) for c in ("reps", "union"))
+    bits = np.frombuffer(batch.column("marks" + suffix)[row].as_buffer(), np.uint8).reshape(len(reps), -1)
+    return reps, union, np.unpackbits(bits, axis=1, count=len(union))
 
 
 def opened_links(a: tuple, b: tuple, percent: int) -> list[tuple[int, int]]:
     """Links between the members of two groups, bounded by the union before a group is opened."""
     reps_a, union_a, marks_a = a
     reps_b, union_b, marks_b = b
-    _, at_a, at_b = np.intersect1d(union_a, union_b, assume_unique=True, return_indices=True)
-    size_a, size_b = marks_a.sum(axis=1), marks_b.sum(axis=1)
+    place = np.minimum(np.searchsorted(union_b, union_a), len(union_b) - 1)  # unions are sorted
+    at_a = np.flatnonzero(union_b[place] == union_a)
+    at_b = place[at_a]
+    size_a, size_b = marks_a.sum(axis=1, dtype=np.int64), marks_b.sum(axis=1, dtype=np.int64)
     # No set of b shares more with a query than the union does; a link needs percent of the query.
-    queries = np.flatnonzero(100 * marks_a[:, at_a].sum(axis=1) >= percent * size_a)
-    answers = np.flatnonzero(100 * marks_b[:, at_b].sum(axis=1) >= percent * size_b)
+    queries = np.flatnonzero(100 * marks_a[:, at_a].sum(axis=1, dtype=np.int64) >= percent * size_a)
+    answers = np.flatnonzero(100 * marks_b[:, at_b].sum(axis=1, dtype=np.int64) >= percent * size_b)
     if not len(queries) or not len(answers):
         return []
-    shared = marks_a[np.ix_(queries, at_a)] @ marks_b[np.ix_(answers, at_b)].T
+    exact = np.float32 if len(at_a) < 1 << 24 else np.float64  # counts up to here stay whole numbers
+    shared = (marks_a[np.ix_(queries, at_a)].astype(exact) @ marks_b[np.ix_(answers, at_b)].T.astype(exact)).astype(np.int64)
     union = size_a[queries][:, None] + size_b[answers][None, :] - shared
     x, y = np.nonzero(100 * shared >= percent * union)
     return list(zip(reps_a[queries[x]].tolist(), reps_b[answers[y]].tolist()))
@@ -239,8 +243,7 @@ def links_between(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFram
         for batch in batches:
             out: list[tuple[int, int]] = []
             for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
-                out += spanning(opened_links(_group(row, "_g"), _group(row, "_h"), percent))
+                out += spanning(opened_links(_group(batch, i, "_g"), _group(batch, i, "_h"), percent))
             out = [(a, b) for a, b in out if a != b]
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["src", "dst"])
 
