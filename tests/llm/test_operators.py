@@ -228,3 +228,34 @@ def test_mix_deviates_less_than_a_block(spark, docs, no_docs):
             assert abs(seen - n * share / 20) < 1
     assert mixing.mix_documents(docs).count() == 13
     assert mixing.mix_documents(no_docs).count() == 0
+
+
+def test_mix_goes_on_when_a_source_runs_dry(spark):
+    df = spark.range(1000).selectExpr("id doc_id", "case when id < 3 then 'rare' when id < 16 then null when id % 2 = 0 then 'hot' else concat('s', id % 5) end source")
+    sources = Counter(r["source"] for r in df.collect())
+    got = rows(mixing.mix(df, mixing.tempered_weights(df), [df.doc_id]))
+    assert sorted(r["position"] for r in got) == list(range(1000))
+    assert Counter(r["source"] for r in got) == sources
+    by_slot = {}
+    for r in got:
+        by_slot.setdefault(r["slot"], set()).add((r["source"], r["block"]))
+    assert all(len(b) == 1 for b in by_slot.values())
+    assert len(by_slot) == sum(-(-n // 8) for n in sources.values()) == max(by_slot) + 1
+    unweighted = rows(mixing.mix(df, {"hot": 1.0}, [df.doc_id]))
+    assert sorted(r["position"] for r in unweighted if r["source"] == "hot") == list(range(sources["hot"]))
+    assert all(r["position"] is None for r in unweighted if r["source"] != "hot") and len(unweighted) == 1000
+
+
+def test_schedule_longer_than_a_slice(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLICE_SLOTS", 7)
+    want = list(mixing.pfair_schedule({"a": 1.0, None: 2.0}, {"a": 100, None: 300}))
+    got = mixing.stored_schedule(spark, iter(want)).collect()
+    assert sorted(tuple(r) for r in got if r[0]) == [w for w in want if w[0]] and len(got) == len(want) == 51
+
+
+def test_pipeline_mix_keeps_every_document(spark, docs):
+    import corpus_pipeline
+
+    docs = docs.drop("block", "slot")
+    kept = corpus_pipeline.mix_sources(spark, docs, "")
+    assert kept.columns == docs.columns and sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
