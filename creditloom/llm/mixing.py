@@ -8,7 +8,7 @@ must end by the slot that holds its fluid end; of the released blocks, the one w
 deadline takes the next slot.  At every slot each source has then received its fluid share with less
 than one block of deviation.
 
-Windows are computed in whole numbers.  The schedule is one pass over the blocks on the driver, which holds
+Windows are computed in whole numbers from the exact weights.  The schedule is one pass over the blocks on the driver, which holds
 one entry per source and one slice of the schedule; documents find their slot by a join on (source, block).
 """
 
@@ -27,9 +27,7 @@ from pyspark.sql import functions as F
 from ..sources.storage import scratch_path
 from .common import numbered_within, staged
 
-CYCLE = 1000
 BLOCK_DOCS = 8
-MAX_SOURCES = 10_000
 SLICE_SLOTS = 500_000
 
 
@@ -130,15 +128,12 @@ def stored_schedule(spark: SparkSession, rows: Iterator[tuple]) -> DataFrame:
             return spark.read.schema(df.schema).parquet(path)
 
 
-def tempered_weights(docs: DataFrame, alpha: float = 0.9, most: int = MAX_SOURCES) -> dict[str | None, float]:
+def tempered_weights(docs: DataFrame, alpha: float = 0.9) -> dict[str | None, float]:
     """Target weights: document counts to the power ``alpha``, which lifts small sources.
 
-    One row per source comes to the driver; more than ``most`` sources are an error.
+    One row per source comes to the driver.
     """
-    rows = docs.groupBy("source").count().limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} sources; give the weights of the wanted ones")
-    return {r["source"]: r["count"] ** alpha for r in rows}
+    return {r["source"]: r["count"] ** alpha for r in docs.groupBy("source").count().collect()}
 
 
 def mix(
@@ -163,7 +158,7 @@ def mix(
         raise ValueError("documents need a source column")
     hold = cycle is not None
     counts = {r["source"]: r["count"] for r in docs.groupBy("source").count().collect()}
-    shares = whole_parts(weights, cycle if hold else CYCLE)
+    shares = whole_parts(weights, cycle) if hold else weights
     schedule = stored_schedule(docs.sparkSession, pfair_schedule(shares, counts, block_docs, hold))
     placed = numbered_within(docs.select(*own), [F.col("source")], order, "__row").withColumn(
         "block", F.floor(F.col("__row") / block_docs)

@@ -259,3 +259,32 @@ def test_pipeline_mix_keeps_every_document(spark, docs):
     docs = docs.drop("block", "slot")
     kept = corpus_pipeline.mix_sources(spark, docs, "")
     assert kept.columns == docs.columns and sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
+
+
+def test_schedule_follows_the_given_weights():
+    weights = {"hot": 1 / 3, None: 1e-6} | {f"s{i}": 2 / 57 for i in range(19)}
+    total = sum(weights.values())
+    counts = {s: 8 * 40_000 if s == "hot" else 8 * 5000 for s in weights}
+    seen = Counter()
+    for source, block, slot, position in itertools.islice(mixing.pfair_schedule(weights, counts), 20_000):
+        assert block == seen[source] and position == 8 * slot
+        seen[source] += 1
+        # The source that gains and, every 1,000 blocks, all of them.
+        for s in weights if slot % 1000 == 999 else (source,):
+            assert abs(seen[s] - (slot + 1) * weights[s] / total) < 1
+
+
+def test_schedule_of_many_sources():
+    weights = {f"s{i}": float(1 + i % 7) for i in range(12_000)}
+    placed = list(mixing.pfair_schedule(weights, {s: 9 + i % 5 for i, s in enumerate(weights)}))
+    assert len(placed) == 24_000 and len({(s, b) for s, b, _, _ in placed}) == 24_000
+
+
+def test_mix_follows_the_weights_not_parts_of_a_cycle(spark):
+    df = spark.range(30_000).selectExpr("id doc_id", "case when id % 3 = 0 then 'hot' else concat('s', id % 19) end source")
+    weights = {"hot": 1 / 3} | {f"s{i}": 2 / 57 for i in range(19)}
+    order = sorted({(r["slot"], r["source"]) for r in rows(mixing.mix(df, weights, [df.doc_id]))})
+    hot = 0
+    for n, (_, source) in enumerate(order[:3000], 1):
+        hot += source == "hot"
+        assert abs(hot - n / 3) < 1
