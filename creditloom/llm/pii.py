@@ -5,7 +5,9 @@ digits without separators), so that all forms of an entity, in all documents, ge
 Surrogates are drawn from a keyed hash: letters stay letters of their script and case, digits stay
 digits, country codes, issuers, prefixes and top-level domains stay, card numbers keep a valid check
 digit, and a name keeps the gender of its title and its script.  A draw that meets another
-entity's surrogate or a real entity is drawn again, until all are distinct.
+entity's surrogate or a real entity is drawn again, until all are distinct; what still collides when
+a round settles nothing, or after MOST_DRAWS rounds, gets a longer surrogate with a number.
+A secret of one repeated sign (``********``) is a mask, not an entity, and stays.
 
 All work is in SQL expressions.  Texts without a mention never move; entities are keyed by the
 digest of their text, so copies of one text, however many, share one row.
@@ -13,7 +15,9 @@ digest of their text, so copies of one text, however many, share one row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import unicodedata
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import staged
@@ -48,6 +52,34 @@ ALPHABETS = {
     "[α-ωά-ώ]": "αβγδεζηθικλμνξοπρστυφχψω",
 }
 
+HAN, HANGUL = (0x4E00, 20_902), (0xAC00, 11_172)
+SIGNS = {"password": "!#$%&*+-./:;=?@^_~", "token": "+/_=.-"}
+
+
+def _block_alphabets() -> tuple[str, str]:
+    """Letters and digits of the other scripts, as texts of two maps.
+
+    The first leads from rows of 16 code points and the class (``row-class``) to an alphabet, the second
+    holds the alphabets: what has one script and class within 128 code points.
+    """
+    alphabets: dict[tuple[int, int, str], str] = {}
+    rows: dict[tuple[int, int], tuple[int, int, str]] = {}
+    for code in range(0x80, 0x20000):
+        kind = unicodedata.category(chr(code))
+        if kind in ("Lu", "Ll", "Lo", "Nd") and not (0x3400 <= code < 0xA000 or 0xAC00 <= code < 0xD800):
+            case = {"Lu": 1, "Nd": 2}.get(kind, 0)
+            at = (code >> 7, case, unicodedata.name(chr(code), "?").split()[0])
+            alphabets[at] = alphabets.get(at, "") + chr(code)
+            rows.setdefault((code >> 4, case), at)
+    number = {at: i for i, at in enumerate(alphabets)}
+    return (
+        ",".join(f"{row}-{case}:{number[at]}" for (row, case), at in rows.items()),
+        ",".join(f"{number[at]}:{letters}" for at, letters in alphabets.items()),
+    )
+
+
+ALPHABET_ROWS, BLOCK_ALPHABETS = _block_alphabets()
+
 _titles = "|".join(t for group in TITLES.values() for t in sorted(group, key=len, reverse=True))
 _name = r"\p{Lu}[\p{Ll}'’-]+"
 #: Alternatives in order of precedence.  Possessive runs and look-behinds keep the scan linear.
@@ -66,6 +98,7 @@ PATTERNS = {
 }
 PATTERN = "|".join(PATTERNS.values())
 _SECRETS = ("password", "token")
+MASK = r"^([^\p{L}\p{N}])\1*$"
 
 
 def may_mention(text: str) -> Column:
@@ -121,7 +154,8 @@ def mentions_of(texts: DataFrame) -> DataFrame:
         .withColumn("canonical", canonical_of(F.col("mention"), F.col("kind")))
     )
     # A digit run without a valid check digit is no card number.
-    return found.where(F.col("kind").isNotNull() & ((F.col("kind") != "card") | (luhn_sum(F.col("canonical")) % 10 == 0)))
+    real = F.when(F.col("kind") == "card", luhn_sum(F.col("canonical")) % 10 == 0).when(F.col("kind").isin(*_SECRETS), ~F.col("canonical").rlike(MASK))
+    return found.where(F.col("kind").isNotNull() & F.coalesce(real, F.lit(True)))
 
 
 def draw(seed: Column, at: Column) -> Column:
@@ -134,12 +168,28 @@ def pick(words: list[str], seed: Column, at: int) -> Column:
     return F.element_at(F.array(*[F.lit(w) for w in words]), draw(seed, F.lit(at)) % len(words) + 1)
 
 
-def like_character(c: Column, number: Column) -> Column:
-    """Another character of the same class and script."""
+def code_point(number: Column) -> Column:
+    """The character of a code point below 65536."""
+    return F.decode(F.unhex(F.lpad(F.hex(number.cast("long")), 4, "0")), "UTF-16BE")
+
+
+def like_character(c: Column, number: Column, any_script: bool) -> Column:
+    """Another character of the same class and script; only ASCII is looked at without ``any_script``."""
     out = F.when(F.lit(False), c)
     for pattern, letters in ALPHABETS.items():
+        if not any_script and not letters.isascii():
+            break
         out = out.when(c.rlike(pattern), F.substring(F.lit(letters), number % len(letters) + 1, F.lit(1)))
-    return out.otherwise(c)
+    if not any_script:
+        return out.otherwise(c)
+    for script, (first, size) in (("IsHan", HAN), ("IsHangul", HANGUL)):
+        out = out.when(c.rlike(rf"[\p{{{script}}}&&\p{{L}}]"), code_point(number % size + first))
+    # Any other letter or digit: one of the same script and case near it.
+    case = F.when(c.rlike(r"\p{Lu}"), "-1").when(c.rlike(r"\p{Nd}"), "-2").otherwise("-0")
+    row = F.concat(F.shiftright(F.ascii(c), 4).cast("string"), case)
+    near = F.try_element_at(F.str_to_map(F.lit(BLOCK_ALPHABETS), F.lit(","), F.lit(":")), F.try_element_at(F.str_to_map(F.lit(ALPHABET_ROWS), F.lit(","), F.lit(":")), row))
+    other = F.substring(near, number % F.length(near) + 1, F.lit(1))
+    return out.when(c.rlike(r"[\p{L}\p{Nd}]"), F.coalesce(other, c)).otherwise(c)
 
 
 def surrogate_of(kind: Column, canonical: Column, seed: Column) -> Column:
@@ -147,13 +197,16 @@ def surrogate_of(kind: Column, canonical: Column, seed: Column) -> Column:
     size = F.length(canonical)
     places = F.sequence(F.lit(1), size)
 
-    def rewritten(first: Column, last: Column) -> Column:
+    def rewritten(first: Column, last: Column, any_script: bool = False) -> Column:
         """The places from ``first`` to ``last`` drawn anew, the others as they are."""
         def one(i: Column) -> Column:
             c = F.substring(canonical, i, F.lit(1))
-            return F.when((i >= first) & (i <= last), like_character(c, draw(seed, i))).otherwise(c)
+            return F.when((i >= first) & (i <= last), like_character(c, draw(seed, i), any_script)).otherwise(c)
         return F.array_join(F.transform(places, one), "")
 
+    def signs(letters: str) -> Column:
+        return F.array_join(F.transform(places, lambda i: F.substring(F.lit(letters), draw(seed, i) % len(letters) + 1, F.lit(1))), "")
+
     hexed = F.array_join(F.transform(places, lambda i: F.substring(F.lit("0123456789abcdef"), draw(seed, i) % 16 + 1, F.lit(1))), "")
     # The label after the last dot of an address stays.
     tld = F.length(F.substring_index(canonical, ".", -1)) + 1
@@ -173,15 +226,32 @@ def surrogate_of(kind: Column, canonical: Column, seed: Column) -> Column:
             full = F.when(F.size(F.split(canonical, " ")) > 2, F.concat_ws(" ", title, given, surname)).otherwise(F.concat_ws(" ", title, surname))
             name = F.when(own & (script == way), full).otherwise(name)
     return (
-        F.when(kind == "email", rewritten(F.lit(1), size - tld))
-        .when(kind.isin(*_SECRETS) & canonical.rlike("^[0-9a-f]+$"), hexed)
+        F.when(kind.isin(*_SECRETS) & canonical.rlike("^[0-9a-f]+$"), hexed)
+        .when((kind == "password") & ~canonical.rlike(r"[\p{L}\p{N}]"), signs(SIGNS["password"]))
+        .when((kind == "token") & ~canonical.rlike(r"[\p{L}\p{N}]"), signs(SIGNS["token"]))
         .when(kind == "access", rewritten(F.lit(5), size))
         .when(kind == "iban", rewritten(F.lit(3), size))
         .when(kind == "ip", octets[0])
         .when(kind == "phone", rewritten(country + 1, size))
         .when(kind == "card", F.concat(head, check.cast("string")))
         .when(kind == "name", name)
-        .otherwise(rewritten(F.lit(1), size))
+        .otherwise(rewritten(F.lit(1), F.when(kind == "email", size - tld).otherwise(size), any_script=True))
+    )
+
+
+def numbered(kind: Column, surrogate: Column, number: Column) -> Column:
+    """A surrogate made longer by a number; cards, addresses and SSNs have a fixed form and many draws."""
+    digits = number.cast("string")
+
+    def spelled(script: str) -> Column:
+        words = F.array(*[F.lit(w) for w in SYLLABLES[script][:10]])
+        return F.array_join(F.transform(F.split(digits, ""), lambda d: F.element_at(words, d.cast("int") + 1)), "")
+
+    return (
+        F.when(kind.isin("card", "ip", "ssn"), surrogate)
+        .when(kind == "email", F.regexp_replace(surrogate, F.lit("@"), F.concat(digits, F.lit("@"))))
+        .when(kind == "name", F.concat(surrogate, F.when(surrogate.rlike(r"\p{IsCyrillic}$"), spelled("cyrillic")).otherwise(spelled("latin"))))
+        .otherwise(F.concat(surrogate, digits))
     )
 
 
@@ -189,26 +259,32 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canonical, surrogate) with distinct surrogates per type, none of them a real entity.
 
     Each round keeps the draws that collide with nothing kept so far, nothing drawn by a smaller
-    entity, and no real entity; the rest draw again.
+    entity, and no real entity; the rest draw again.  When a round settles nothing, or after
+    MOST_DRAWS rounds, draws get a number that grows with the rounds, so that they must end.
     """
     seed = F.sha2(F.concat_ws("|", F.lit(key), "kind", "canonical", F.col("round").cast("string")), 256)
     spark = entities.sparkSession
     open_rows = staged(entities.select("kind", "canonical").distinct(), "pii-entities")
     real = open_rows.select(F.col("kind").alias("__kind"), F.col("canonical").alias("__real"))
     kept = spark.createDataFrame([], "kind string, canonical string, surrogate string")
-    for number in range(MOST_DRAWS):
+    left, number, longer = open_rows.count(), 0, 0
+    while left:
         drawn = open_rows.withColumn("round", F.lit(number)).withColumn("seed", seed)
         drawn = drawn.select("kind", "canonical", surrogate_of(F.col("kind"), F.col("canonical"), F.col("seed")).alias("surrogate"))
+        if longer:
+            alike = Window.partitionBy("kind", "surrogate").orderBy("canonical")
+            drawn = drawn.withColumn("__n", F.row_number().over(alike) + (longer - 1))
+            drawn = drawn.select("kind", "canonical", numbered(F.col("kind"), F.col("surrogate"), F.col("__n")).alias("surrogate"))
         drawn = staged(drawn, "pii-drawn")
         taken = real.union(kept.select("kind", "surrogate"))
         first = drawn.groupBy("kind", "surrogate").agg(F.min("canonical").alias("canonical"))
         good = first.join(taken, (F.col("kind") == F.col("__kind")) & (F.col("surrogate") == F.col("__real")), "left_anti")
         kept = staged(kept.unionByName(good.select("kind", "canonical", "surrogate")), "pii-kept")
-        open_rows = open_rows.join(kept, ["kind", "canonical"], "left_anti")
-        if open_rows.isEmpty():
-            return kept
-        open_rows = staged(open_rows, "pii-open")
-    raise RuntimeError("surrogates still collide; the format of an entity leaves too few")
+        open_rows = staged(open_rows.join(kept, ["kind", "canonical"], "left_anti"), "pii-open")
+        before, left, number = left, open_rows.count(), number + 1
+        if longer or left == before or number >= MOST_DRAWS:
+            longer += 1
+    return kept
 
 
 def in_format(mention: Column, kind: Column, surrogate: Column) -> Column:
@@ -220,7 +296,8 @@ def in_format(mention: Column, kind: Column, surrogate: Column) -> Column:
             c = F.substring(mention, i, F.lit(1))
             before = F.length(F.regexp_replace(F.substring(mention, F.lit(1), i), f"[^{inside}]", ""))
             return F.when(c.rlike(f"[{inside}]"), F.substring(surrogate, before, F.lit(1))).otherwise(c)
-        return F.array_join(F.transform(places, one), "")
+        used = F.length(F.regexp_replace(mention, f"[^{inside}]", ""))
+        return F.concat(F.array_join(F.transform(places, one), ""), F.substring(surrogate, used + 1, F.length(surrogate)))
 
     def cased(i: Column) -> Column:
         c, s = F.substring(mention, i, F.lit(1)), F.substring(surrogate, i, F.lit(1))
@@ -229,7 +306,8 @@ def in_format(mention: Column, kind: Column, surrogate: Column) -> Column:
     title = F.regexp_extract(mention, r"^\S+ ", 0)
     rest = F.substring(surrogate, F.instr(surrogate, " ") + 1, F.length(surrogate))
     return (
-        F.when(kind == "email", F.array_join(F.transform(places, cased), ""))
+        F.when((kind == "email") & (F.length(surrogate) > F.length(mention)), surrogate)
+        .when(kind == "email", F.array_join(F.transform(places, cased), ""))
         .when(kind == "phone", spread("0-9+"))
         .when(kind.isin("card", "ssn"), spread("0-9"))
         .when(kind == "iban", spread("A-Z0-9"))

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import itertools
 import random
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -288,3 +289,24 @@ def test_mix_follows_the_weights_not_parts_of_a_cycle(spark):
     for n, (_, source) in enumerate(order[:3000], 1):
         hot += source == "hot"
         assert abs(hot - n / 3) < 1
+
+
+def test_surrogates_of_other_scripts_and_signs(spark):
+    texts = [
+        "password: ********", "token = ------------", "token = ____________", "password: 密码安全保护", "pwd=كلمةالسر", "pwd=סיסמאות",
+        "mail 李明@例子.公司 x", "password: !@#$%^&*", "password: 비밀번호암호", "pwd=ПАРОЛЬ", "pwd=𝒂𝒃𝒄𝒅𝒆𝒇",
+    ]
+    got = {r["doc_id"]: r for r in rows(pii.surrogate_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))}
+    for i, t in enumerate(texts):
+        assert (got[i]["text"], got[i]["n_replaced"]) == (t, 0) if i < 3 else got[i]["text"] != t and got[i]["n_replaced"] == 1
+    scripts = {3: "CJK", 4: "ARABIC", 5: "HEBREW", 8: "HANGUL", 9: "CYRILLIC CAPITAL"}
+    for i, script in scripts.items():
+        secret = got[i]["text"][10:] if i in (3, 8) else got[i]["text"][4:]
+        assert len(secret) == len(texts[i]) - (10 if i in (3, 8) else 4) and all(unicodedata.name(c).startswith(script) for c in secret)
+    assert not any(c.isalnum() for c in got[7]["text"][10:])
+
+
+def test_more_entities_than_draws(spark):
+    texts = [f"password: -----{c}" for c in "abcdefghijklmnopqrstuvwxyz"] + [f"tel +1 2{i} 3{j}." for i in range(10) for j in range(10)]
+    got = [r["text"] for r in rows(pii.surrogate_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))]
+    assert len(set(got)) == len(texts) and not set(got) & set(texts)
