@@ -93,10 +93,13 @@ PATTERNS = {
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])"
     r"|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9-])",
-    "card": r"(?<![0-9.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9-])",
+    # A run of numbers, up to the start of an address, an SSN or a phone number; cards_in finds the cards in it.
+    "card": r"(?<![0-9.-])[0-9](?:(?![ -](?:[0-9]{1,3}\.[0-9]|[\p{L}\p{N}._%+-]++@|[0-9]{3}[.-][0-9]{2,3}[.-][0-9]{4}(?![0-9-])))[ -]?[0-9]){12,400}(?![0-9-])",
     "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_titles})\.? {_name}(?: {_name})?",
 }
 PATTERN = "|".join(PATTERNS.values())
+#: Digits of the groups of a card number that does not begin its run.
+CARD_GROUPS = r"^(?:1[3-9]|4,4,4,4(?:,[1-3])?|4,6,[45]|4,4,4,1)$"
 _SECRETS = ("password", "token")
 MASK = r"^([^\p{L}\p{N}])\1*$"
 
@@ -127,6 +130,56 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), lambda s, i: s + part(i))
 
 
+def cards_in(run: Column) -> Column:
+    """The card numbers in a run of numbers, from the left and the longest first, none overlapping.
+
+    A card has 13 to 19 digits, whole groups and a valid check digit.  At the start of the run any
+    grouping will do, after it the usual ones.
+    """
+    groups = F.split(run, "[ -]")
+    count = F.size(groups)
+    start = F.struct(F.lit(1).alias("at"), F.lit(0).alias("next"), F.array().cast("array<string>").alias("cards"))
+
+    def step(state: Column, i: Column) -> Column:
+        def first(n: Column) -> Column:
+            return F.slice(groups, i + 1, n)
+
+        def is_card(n: Column) -> Column:
+            digits = F.array_join(first(n), "")
+            shape = F.array_join(F.transform(first(n), lambda g: F.length(g).cast("string")), ",")
+            return F.length(digits).between(13, 19) & ((i == 0) | shape.rlike(CARD_GROUPS)) & (luhn_sum(digits) % 10 == 0)
+
+        lengths = F.sequence(F.least(count - i, F.lit(19)), F.lit(1), F.lit(-1))
+        best = F.when(i >= state["next"], F.get(F.filter(lengths, is_card), F.lit(0)))
+        card = F.substring(run, state["at"], F.length(F.array_join(first(best), " ")))
+        return F.struct(
+            (state["at"] + F.length(F.get(groups, i)) + 1).alias("at"),
+            F.coalesce(i + best, state["next"]).alias("next"),
+            F.when(best.isNull(), state["cards"]).otherwise(F.concat(state["cards"], F.array(card))).alias("cards"),
+        )
+
+    return F.aggregate(F.sequence(F.lit(0), count - 1), start, step, lambda state: state["cards"])
+
+
+def with_cards(run: Column, cards: Column, surrogates: Column) -> Column:
+    """A run of numbers with its cards, in order, replaced by what a map has for them."""
+    start = F.struct(F.lit("").alias("done"), run.alias("rest"))
+
+    def step(state: Column, card: Column) -> Column:
+        at = F.instr(state["rest"], card)
+        return F.struct(
+            F.concat(state["done"], F.substring(state["rest"], F.lit(1), at - 1), F.coalesce(F.element_at(surrogates, card), card)).alias("done"),
+            F.substring(state["rest"], at + F.length(card), F.length(state["rest"])).alias("rest"),
+        )
+
+    return F.aggregate(cards, start, step, lambda state: F.concat(state["done"], state["rest"]))
+
+
+def is_run(mention: Column) -> Column:
+    """Whether a mention may be a run of numbers with cards: digits with single separators, none of another type."""
+    return mention.rlike(r"^[0-9](?:[ -]?[0-9])*+$") & (F.length(F.regexp_replace(mention, "[^0-9]", "")) >= 13)
+
+
 def secret_head(mention: Column) -> Column:
     return F.regexp_extract(mention, r"^(?i:[a-z_-]+)\s?[=:]\s?\"?", 0)
 
@@ -147,15 +200,17 @@ def canonical_of(mention: Column, kind: Column) -> Column:
 
 def mentions_of(texts: DataFrame) -> DataFrame:
     """(text_key, mention, kind, canonical): the distinct mentions of every distinct text."""
+    listed = F.array_distinct(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))
+    found = texts.select(F.md5("text").alias("text_key"), F.explode(listed).alias("mention")).distinct()
+    runs = is_run(F.col("mention"))
+    cards = found.where(runs).select("text_key", F.explode(F.array_distinct(cards_in(F.col("mention")))).alias("mention")).distinct()
     found = (
-        texts.select(F.md5("text").alias("text_key"), F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))).alias("mention"))
-        .distinct()
-        .withColumn("kind", kind_of("mention"))
+        found.where(~runs).withColumn("kind", kind_of("mention"))
+        .unionByName(cards.withColumn("kind", F.lit("card")))
         .withColumn("canonical", canonical_of(F.col("mention"), F.col("kind")))
     )
-    # A digit run without a valid check digit is no card number.
-    real = F.when(F.col("kind") == "card", luhn_sum(F.col("canonical")) % 10 == 0).when(F.col("kind").isin(*_SECRETS), ~F.col("canonical").rlike(MASK))
-    return found.where(F.col("kind").isNotNull() & F.coalesce(real, F.lit(True)))
+    mask = F.col("kind").isin(*_SECRETS) & F.col("canonical").rlike(MASK)
+    return found.where(F.col("kind").isNotNull() & ~mask)
 
 
 def draw(seed: Column, at: Column) -> Column:
@@ -338,9 +393,10 @@ def replace_mentions(docs: DataFrame, key: str = KEY) -> DataFrame:
     joined = with_mentions.join(per_text, F.md5("__text") == F.col("__key"), "left")
     found = F.regexp_extract_all("__text", F.lit(PATTERN), F.lit(0))
     pieces = F.split("__text", PATTERN, -1)
-    becomes = F.transform(found, lambda m: F.coalesce(F.element_at("__map", m), m))
+    becomes = F.transform(found, lambda m: F.when(is_run(m), with_cards(m, cards_in(m), F.col("__map"))).otherwise(F.coalesce(F.element_at("__map", m), m)))
     text = F.array_join(F.zip_with(pieces, becomes, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    count = F.size(F.filter(found, lambda m: F.element_at("__map", m).isNotNull())).cast("long")
+    entities = F.flatten(F.transform(found, lambda m: F.when(is_run(m), cards_in(m)).otherwise(F.array(m))))
+    count = F.size(F.filter(entities, lambda m: F.element_at("__map", m).isNotNull())).cast("long")
     changed = joined.select("__row", F.when(F.col("__map").isNotNull(), text).otherwise(F.col("__text")).alias("__new"), F.coalesce(F.when(F.col("__map").isNotNull(), count), F.lit(0).cast("long")).alias("n_replaced"))
     unchanged = packed.where(~has).select("__row", F.col("__text").alias("__new"), F.lit(0).cast("long").alias("n_replaced"))
     return changed.unionByName(unchanged).select(

@@ -310,3 +310,21 @@ def test_more_entities_than_draws(spark):
     texts = [f"password: -----{c}" for c in "abcdefghijklmnopqrstuvwxyz"] + [f"tel +1 2{i} 3{j}." for i in range(10) for j in range(10)]
     got = [r["text"] for r in rows(pii.surrogate_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))]
     assert len(set(got)) == len(texts) and not set(got) & set(texts)
+
+
+def test_cards_beside_numbers(spark):
+    cards = {
+        "card 4412473014894482 25 euros": "4412473014894482", "4111 1111 1111 1111 123": "4111 1111 1111 1111", "4111 1111 1111 1111 12/27": "4111 1111 1111 1111",
+        "4111 1111 1111 1111 2025": "4111 1111 1111 1111", "12 4111 1111 1111 1111 ok": "4111 1111 1111 1111", "2025 4111-1111-1111-1111.": "4111-1111-1111-1111",
+        "3782 822463 10005 1234": "3782 822463 10005", "4111111111111111 10.1.2.3": "4111111111111111", "4111111111111111 123-45-6789": "4111111111111111",
+        "4111111111111111 12ab@mail.org": "4111111111111111", "4111 1111 1111 1111 5500 0000 0000 0004": "4111 1111 1111 1111", "44 1247 3014 8944 82 25": "44 1247 3014 8944 82",
+    }
+    got = {r["doc_id"]: r for r in rows(pii.surrogate_documents(spark.createDataFrame(list(enumerate([*cards, "4111 1111 1111 1112 euros"])), "doc_id long, text string")))}
+    for i, (text, card) in enumerate(cards.items()):
+        new = got[i]["text"]
+        assert card not in new and new[: text.index(card)] == text[: text.index(card)] and len(new) >= len(text) - 8
+        assert not any(x in new for x in ("10.1.2.3", "123-45-6789", "12ab@mail.org", "5500 0000 0000 0004"))
+        assert got[i]["n_replaced"] == (2 if i in (7, 8, 9, 10) else 1)
+        if got[i]["n_replaced"] == 1:
+            assert new[text.index(card) + len(card) :] == text[text.index(card) + len(card) :]
+    assert got[len(cards)]["n_replaced"] == 0 and got[len(cards)]["text"] == "4111 1111 1111 1112 euros"
