@@ -22,7 +22,7 @@ from .common import staged
 
 TRAIN_ROWS = 20_000
 TRAIN_TASKS = 2
-TREES, DEPTH, MAX_RULES = 8, 3, 100
+TREES, DEPTH = 8, 3
 LASSO = 0.002
 SEED = 5
 
@@ -137,7 +137,7 @@ def fit_rules(train: DataFrame) -> tuple[float, list[tuple[Rule, float]]]:
     weighted = train.withColumn("__w", F.when(F.col("label") == 0, sum(counts.values()) / (2 * counts[0.0])).otherwise(sum(counts.values()) / (2 * counts[1.0])))
     table = VectorAssembler(inputCols=names, outputCol="features").transform(weighted).select("features", "label", "__w")
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, weightCol="__w", stepSize=0.3).fit(table)
-    rules = tree_rules(trees.toDebugString, names)[:MAX_RULES]
+    rules = tree_rules(trees.toDebugString, names)
     columns = [f"r{i}" for i in range(len(rules))]
     marks = weighted.select("label", "__w", *[holds(r).cast("double").alias(c) for c, r in zip(columns, rules)])
     matrix = VectorAssembler(inputCols=columns, outputCol="features").transform(marks).select("features", "label", "__w")

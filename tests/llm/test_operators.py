@@ -328,3 +328,10 @@ def test_cards_beside_numbers(spark):
         if got[i]["n_replaced"] == 1:
             assert new[text.index(card) + len(card) :] == text[text.index(card) + len(card) :]
     assert got[len(cards)]["n_replaced"] == 0 and got[len(cards)]["text"] == "4111 1111 1111 1112 euros"
+
+
+def test_lasso_sees_every_path(spark, monkeypatch):
+    last = (("x", ">", 0.5),)
+    monkeypatch.setattr(quality, "tree_rules", lambda *_: [(("x", "<=", -1.0 - i),) for i in range(111)] + [last])
+    train = spark.createDataFrame([(float(i % 2), float(i % 2)) for i in range(100)], "x double, label double")
+    assert [r for r, _ in quality.fit_rules(train)[1]] == [last]
