@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, jaccard, mixing, neardup_vectors, pii, quality, sharding, suffixes, warc
+from . import (
+    ann, bpe, jaccard, lloyd, mixing, neardup_vectors, pii, quality, runs, sharding, suffixes, warc,
+)
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -54,6 +56,14 @@ def op10_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_resident_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd.compressed_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_warc_chunks,
@@ -66,9 +76,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_kd_shards,
         op9_posting_lists,
         op10_pfair_mix,
+        op11_periodic_runs,
+        op13_resident_lloyd,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op13_resident_lloyd": lloyd.oracle_sql()}
