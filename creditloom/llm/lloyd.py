@@ -226,7 +226,7 @@ def oracle_sql() -> str:
         return f"""{name} AS (
   SELECT vec_id, label, position, part, arg_min(entry, (distance, entry)) AS entry, min(distance) AS distance
   FROM (SELECT p.vec_id, p.label, p.position, p.part, b.entry,
-          list_sum(list_transform(list_zip(p.part, b.part), z -> (z[1] - z[2]) * (z[1] - z[2]))) AS distance
+          list_sum(list_transform(list_zip(p.part, b.part), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS distance
         FROM parts p JOIN {book} b USING (position))
   GROUP BY vec_id, label, position, part)"""
 
@@ -242,9 +242,9 @@ def oracle_sql() -> str:
     return f"""
 WITH kept AS (
   SELECT vec_id, label,
-    list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS steps
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS steps
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 parts AS (
   SELECT vec_id, label, position,
     steps[position * (len(steps) // 16) + 1 : (position + 1) * (len(steps) // 16)] AS part
