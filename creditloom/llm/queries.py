@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    ann, bpe, jaccard, lloyd, mixing, neardup_vectors, pii, quality, runs, sharding, suffixes, warc,
+    ann, bpe, jaccard, lloyd, main_text, mixing, neardup_vectors, pii, quality, runs, sharding, suffixes, warc,
 )
 from .common import table
 
@@ -60,6 +60,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_digests(table(spark, sf_dir, "documents"))
 
 
+def op12_scored_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op13_resident_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lloyd.compressed_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -77,10 +81,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_posting_lists,
         op10_pfair_mix,
         op11_periodic_runs,
+        op12_scored_regions,
         op13_resident_lloyd,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op13_resident_lloyd": lloyd.oracle_sql()}
+    return {
+        "op12_scored_regions": main_text.oracle_sql(),
+        "op13_resident_lloyd": lloyd.oracle_sql(),
+    }
