@@ -11,8 +11,10 @@ from creditloom import vocab
 from creditloom.plans import gold
 from creditloom.sources import adapter, rules
 
+from . import raw_oracles
 from .precision import settle_sql
-from .queries import RAW_NAMES, SEGMENT_MIN_CLIENTS
+from .queries import SEGMENT_MIN_CLIENTS
+from .raw_oracles import BRONZE_PREVIOUS, TRAIN, WRITTEN
 
 
 def _quoted(text: str | None) -> str:
@@ -473,76 +475,15 @@ _DTI_COLUMNS = [
 
 # --- bronze and refresh ---------------------------------------------------------------------
 
-_TRAIN_COLUMNS = [c for c in adapter.VIEWS["applications"][1] if c != "flag_test"]
-_PREVIOUS_COLUMNS = list(adapter.VIEWS["previous_application"][1])
-_BUREAU_COLUMNS = list(adapter.VIEWS["bureau"][1])
-TRAIN = f"(SELECT {', '.join(_TRAIN_COLUMNS)} FROM applications WHERE NOT flag_test)"
 LITERALS = _in(vocab.TRUE_LITERALS + vocab.FALSE_LITERALS)
 
-_AUDITED = {
-    "application_train": (TRAIN, _TRAIN_COLUMNS),
-    **{
-        name: (name, list(adapter.VIEWS[name][1]))
-        for name in (
-            "bureau", "bureau_balance", "previous_application", "pos_cash_balance",
-            "credit_card_balance", "installments_payments",
-        )
-    },
-}
-
-
-def _raw_names(file: str, columns: list[str]) -> list[str]:
-    return [RAW_NAMES.get((file, c), c.upper()) for c in columns]
-
-
-def _audit_rows() -> str:
-    parts = []
-    for table, file in vocab.RAW_FILES:
-        if table in _AUDITED:
-            source, columns = _AUDITED[table]
-            names = ",".join(_raw_names(file, columns))
-            parts.append(
-                f"SELECT '{table}' AS table_name, '{file}' AS file_name, true AS exists, "
-                f"true AS read_success, 'valid' AS validation_status, count(*) AS row_count, "
-                f"{len(columns)} AS column_count, CAST(0 AS BIGINT) AS inconsistent_rows, "
-                f"false AS has_line_breaks, '{names}' AS column_names, '' AS errors FROM {source}"
-            )
-        else:
-            parts.append(
-                f"SELECT '{table}', '{file}', false, false, 'missing', CAST(0 AS BIGINT), 0, "
-                "CAST(0 AS BIGINT), false, '', 'file_not_found'"
-            )
-    return " UNION ALL ".join(parts)
-
-
-def _schema_rows() -> str:
-    """Expected against delivered names, each file's rows only if its table has any."""
-    column_rules = rules.default_column_rules()
-    parts = []
-    for table, file in vocab.RAW_FILES:
-        source, columns = _AUDITED.get(table, (None, []))
-        actual = set(_raw_names(file, columns))
-        expected = set(column_rules.expected[file])
-        required = set(vocab.REQUIRED_COLUMNS[file])
-        missing_required = sorted(required - actual)
-        status = "error" if missing_required else "warning" if actual ^ expected else "ok"
-        values = (
-            f"'{file}' AS file_name, '{status}' AS schema_status, "
-            f"CAST({len(expected)} AS BIGINT) AS expected_column_count, "
-            f"'{','.join(missing_required)}' AS missing_required_columns, "
-            f"'{','.join(sorted(expected - actual))}' AS missing_expected_columns, "
-            f"'{','.join(sorted(actual - expected))}' AS unexpected_columns"
-        )
-        parts.append(f"SELECT {values}" + (f" FROM (SELECT count(*) AS n FROM {source}) WHERE n > 0" if source else ""))
-    return " UNION ALL ".join(parts)
-
 
 def _profile_rows() -> str:
     parts = [
         f"{{'column_name': '{c.upper()}', 'is_boolean': coalesce(bool_and(lower(trim(CAST("
         + (f"coalesce({c}, 365243)" if c == "days_employed" else f"CAST({c} AS VARCHAR)")
         + f" AS VARCHAR))) IN {LITERALS}), false)}}"
-        for c in _TRAIN_COLUMNS
+        for c in WRITTEN["application_train"][1]
     ]
     return (
         f"SELECT unnest([{', '.join(parts)}], recursive := true), count(*) AS row_count FROM {TRAIN}"
@@ -718,26 +659,17 @@ SQL: dict[str, str] = {
             ]
         )
     ),
-    "sentinel_replace": (
-        "SELECT * REPLACE (nullif(days_first_drawing, 365243) AS days_first_drawing, "
-        "if(name_cash_loan_purpose = 'XPA', 'Not Applicable', name_cash_loan_purpose) "
-        "AS name_cash_loan_purpose, "
-        "if(name_payment_type = 'XNA', 'Unknown', name_payment_type) AS name_payment_type, "
-        "if(name_goods_category = 'XNA', 'Unknown', name_goods_category) AS name_goods_category) "
-        "FROM previous_application"
-    ),
+    "sentinel_replace": BRONZE_PREVIOUS,
     "typed_cast": (
         "SELECT sk_id_prev, days_decision, amt_credit, CAST(cnt_payment AS BIGINT) AS cnt_payment, "
         "name_contract_status FROM previous_application"
     ),
     "bronze_table": f"SELECT * FROM {TRAIN}",
-    "csv_to_bronze": "SELECT * FROM bureau",
     "null_constraint_report": " UNION ALL ".join(
         f"SELECT '{c.upper()}' AS column_name, count(*) FILTER ({c} IS NULL) AS null_rows, "
         f"count(*) FILTER ({c} IS NULL) > 0 AS violated FROM previous_application"
         for c in ("sk_id_prev", "sk_id_curr")
     ),
-    "schema_evaluation": _schema_rows(),
     "reconciliation": (
         "SELECT entity_name, array_to_string(list_filter(["
         "if(r <> n, printf('raw_bronze_row_count_mismatch:raw=%d:bronze=%d', r, n), NULL), "
@@ -747,17 +679,6 @@ SQL: dict[str, str] = {
         "arg_max(row_count, (event_ts_utc, seq)) AS r, count(*) AS n, max(seq % 3 + 3) AS c, "
         "min(seq % 2 + 4) AS p FROM event_log GROUP BY ALL)"
     ),
-    "raw_audit_files": _audit_rows(),
-    "raw_audit_rollup": (
-        "SELECT count(*) AS table_count_expected, count(*) FILTER (exists) AS table_count_found, "
-        "count(*) FILTER (read_success) AS table_count_read_success, "
-        "count(*) FILTER (validation_status = 'valid') AS table_count_validation_passed, "
-        "count(*) FILTER (validation_status = 'invalid') AS table_count_validation_failed, "
-        "count(*) FILTER (validation_status = 'missing') AS table_count_missing, "
-        "CAST(0 AS BIGINT) AS table_count_skipped_cached_validation, "
-        "if(count(*) FILTER (validation_status <> 'valid') > 0, 'partial_failure', 'success') AS run_status "
-        f"FROM ({_audit_rows()})"
-    ),
     "latest_event": (
         "SELECT layer, entity_name, "
         + ", ".join(f"arg_max({c}, (event_ts_utc, seq)) AS {c}" for c in _EVENT_FIELDS)
@@ -795,7 +716,7 @@ SQL: dict[str, str] = {
         for n in adapter.VIEWS
     ),
     "publish_roundtrip": "SELECT * FROM dti",
-}
+} | raw_oracles.SQL
 
 # Double columns of the queries, by name; the rest is exact.
 DOUBLES = set(
@@ -831,11 +752,11 @@ DOUBLES = set(
 EXACT = {
     "application_flags", "band_join_all", "dense_key", "hot_key_attach", "segment_external",
     "segment_internal", "dim_contract", "one_hot", "humanised_kpis", "bool_domain_profile",
-    "bool_normalise", "sentinel_profile", "null_constraint_report", "schema_evaluation",
-    "reconciliation", "raw_audit_files", "raw_audit_rollup", "latest_event",
+    "bool_normalise", "sentinel_profile", "null_constraint_report",
+    "reconciliation", "latest_event",
     "reuse_valid_result", "refresh_decision", "run_counters", "table_profile",
     "bureau_balance_features",
-}
+} | raw_oracles.EXACT
 NOT_DOUBLE = {"typed_cast": {"cnt_payment"}}
 ONLY_DOUBLES = {"correlation_matrix": [label for label, _, _ in vocab.CORRELATION_VARIABLES]}
 

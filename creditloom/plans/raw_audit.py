@@ -1,42 +1,41 @@
-"""Structural audit of the raw CSV files as Spark jobs over all files at once.
+"""Structural audit of the raw CSV files, one scan per file.
 
 An expected file is one CSV file or a folder of that name with part files, each with a header.
-Files are read as text lines, which splits large files over many tasks.  A line is lexed for the
-two states it can start in (outside or inside a quoted field).  As long as no line of a file
-leaves a quote open, each line is one record and one aggregate gives the whole profile.  Only
-files with quoted line breaks take a second pass that carries the quote state from line to line
-inside a file split and from split to split with one small row per split.
+Files are read as text lines in parallel splits, quoted line breaks included, and come back as one
+row per part (see ``operators.records``).  Every file is a job of its own, so a file that cannot be read
+becomes a row with a ``read_error`` while the others are audited.  Profiles that are known from an
+earlier run are handed in and their files are not read.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Iterable, Mapping
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import vocab
+from ..operators import records
 
 # Error of a delivery in several part files whose headers are not all the same
 PART_HEADERS = "part_headers_differ"
-BOM = "﻿"
-# A complete quoted field with what follows its closing quote, and its start
-CLOSED_FIELD = r'(?s)(^|,)"[^"]*+(?:""[^"]*+)*+"[^,]*+'
-OPEN_FIELD = r'(?s)(^|,)"'
-BEFORE_OPEN_FIELD = r'(?s)^(.*?(?:^|,))"'
-REST_OF_OPEN_FIELD = r'(?s)^[^"]*+(?:""[^"]*+)*+"[^,]*+(.*)\z'
-ANY_FIELD = r'(?s)(?:^|,)("[^"]*+(?:""[^"]*+)*+"[^,]*+|[^,]*+)'
+READ_ERROR = "read_error:"
+# Kind of error of a header that is longer than a field may be
+TOO_LONG = "Error"
+
+PROFILE_KINDS = (
+    "file_name string, column_names array<string>, column_count int, row_count long, inconsistent_rows long, "
+    "valid_text boolean, has_line_breaks boolean, headers_differ boolean, read_error string"
+)
+PROFILE_NAMES = [part.split()[0] for part in PROFILE_KINDS.split(", ")]
 
 
 def expected_files(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(vocab.RAW_FILES, "table_name string, file_name string")
 
 
-def _logical_name(path: Column) -> Column:
-    """The expected file a path belongs to: the file itself or a part in a folder of its name."""
-    names = "|".join(f.replace(".", r"\.") for _, f in vocab.RAW_FILES)
-    return F.regexp_extract(path, f"/({names})(?:/[^/]*)?$", 1)
-
-
 def file_identity(spark: SparkSession, raw_dir: str) -> DataFrame:
     """Path, size, modification time and fingerprint of the expected files that exist.
 
@@ -60,293 +59,70 @@ def file_identity(spark: SparkSession, raw_dir: str) -> DataFrame:
     )
 
 
-def raw_lines(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """Lines of the expected files with their place."""
-    return placed_lines(spark, raw_dir).where(F.col("file_name") != "")
-
-
-def placed_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of any files with their place: part file, split start, order in the split."""
-    return spark.read.text(path, recursiveFileLookup=True).select(
-        _logical_name(F.col("_metadata.file_path")).alias("file_name"),
-        F.col("_metadata.file_path").alias("part"),
-        F.col("_metadata.file_block_start").alias("split_start"),
-        F.monotonically_increasing_id().alias("line_id"),
-        F.when(F.col("value").startswith(BOM), F.substr("value", F.lit(2)))
-        .otherwise(F.col("value"))
-        .alias("text"),
-        F.is_valid_utf8("value").alias("valid_text"),
-    )
-
-
-def _separators(text: Column) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(","), F.lit("")))
-
-
-def _lex(text: Column) -> tuple[Column, Column]:
-    """(leaves a quote open, field separators) of a line that starts outside quotes."""
-    quoted = F.contains(text, F.lit('"'))
-    bare = F.when(quoted, F.regexp_replace(text, CLOSED_FIELD, "$1")).otherwise(text)
-    opened = quoted & F.regexp_like(bare, F.lit(OPEN_FIELD))
-    counted = F.when(opened, F.regexp_extract(bare, BEFORE_OPEN_FIELD, 1)).otherwise(bare)
-    return opened, _separators(counted)
-
-
-def lexed_lines(lines: DataFrame) -> DataFrame:
-    opened, separators = _lex(F.col("text"))
-    return lines.withColumns({"opens": opened, "separators": separators})
-
-
-def _field_count(blank: Column, separators: Column) -> Column:
-    return F.when(blank, F.lit(0)).otherwise(separators + F.lit(1))
-
-
-def _line_profile(lexed: DataFrame) -> DataFrame:
-    """Lines per part and field count, from one pass with map-side combining."""
-    return (
-        lexed.withColumn("fields", _field_count(F.col("text") == "", F.col("separators")))
-        .groupBy("file_name", "part", "fields")
-        .agg(
-            F.count(F.lit(1)).alias("records"),
-            F.max("opens").alias("breaks"),
-            F.min("valid_text").alias("valid_text"),
-            F.min_by(
-                F.struct("fields", "text"), F.struct("split_start", "line_id")
-            ).alias("first"),
-            F.min(F.struct("split_start", "line_id")).alias("first_at"),
-        )
-    )
-
-
-def with_record_numbers(lexed: DataFrame) -> DataFrame:
-    """Lines of files with quoted line breaks, numbered by the record they belong to.
-
-    A line maps the state it starts in to the state it ends in.  It either keeps the state, swaps
-    it, or ends in the same state from both.  The state at any line is the result of the last
-    line of that third kind, flipped once per swap since; without one it is the state at the
-    start of the split, flipped once per swap.  The same rule over the splits of a file (one row
-    each) gives the state at the start of every split.
-    """
-    rest = F.regexp_extract("text", REST_OF_OPEN_FIELD, 1)
-    closes = F.regexp_like("text", F.lit(REST_OF_OPEN_FIELD))
-    inner_opens, inner_separators = _lex(F.concat(F.lit("x"), rest))
-    both = lexed.withColumns(
-        {
-            "opens_inside": F.when(closes, inner_opens).otherwise(F.lit(True)),
-            "separators_inside": F.when(closes, inner_separators).otherwise(F.lit(0)),
-        }
-    )
-
-    def carried(df: DataFrame, group: list[str], order: str) -> DataFrame:
-        """Add the composed effect of all earlier rows and of all rows up to this one."""
-        fixes = F.col("opens") == F.col("opens_inside")
-        swaps = F.col("opens") & ~F.col("opens_inside")
-        ordered = Window.partitionBy(*group).orderBy(order)
-        upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
-        counted = df.withColumn("__swaps", F.sum(swaps.cast("long")).over(upto))
-        fixed = F.last(
-            F.when(fixes, F.struct(F.col("opens").alias("state"), F.col("__swaps").alias("at"))),
-            ignorenulls=True,
-        )
-        after = counted.withColumn("__fixed", fixed.over(upto))
-        odd = F.pmod(F.col("__swaps") - F.coalesce(F.col("__fixed.at"), F.lit(0)), F.lit(2)) == 1
-        return (
-            after.withColumn("__end_fixed", F.col("__fixed.state"))
-            .withColumn("__end_flip", odd)
-            .withColumn("__start_fixed", F.lag("__end_fixed").over(ordered))
-            .withColumn("__start_flip", F.coalesce(F.lag("__end_flip").over(ordered), F.lit(False)))
-            .drop("__swaps", "__fixed")
-        )
-
-    def state(given: Column, fixed: str, flip: str) -> Column:
-        return F.coalesce(F.col(fixed), given) != F.col(flip)
-
-    split = ["part", "split_start"]
-    lines = carried(both, split, "line_id")
-    splits = lines.groupBy(*split).agg(
-        F.max_by(F.struct("__end_fixed", "__end_flip"), "line_id").alias("end")
-    )
-    outside, inside = F.lit(False), F.lit(True)
-    splits = splits.select(*split, "end.*").select(
-        *split,
-        state(outside, "__end_fixed", "__end_flip").alias("opens"),
-        state(inside, "__end_fixed", "__end_flip").alias("opens_inside"),
-    )
-    starts = carried(splits, ["part"], "split_start").select(
-        *split, state(outside, "__start_fixed", "__start_flip").alias("split_inside")
-    )
-    lines = lines.join(starts, split).withColumn(
-        "inside", state(F.col("split_inside"), "__start_fixed", "__start_flip")
-    )
-    lines = lines.withColumn(
-        "__own_records",
-        F.sum((~F.col("inside")).cast("long")).over(
-            Window.partitionBy(*split).orderBy("line_id")
-        ),
-    )
-    earlier = Window.partitionBy("part").orderBy("split_start").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    bases = (
-        lines.groupBy(*split)
-        .agg(F.sum((~F.col("inside")).cast("long")).alias("__records"))
-        .select(*split, F.coalesce(F.sum("__records").over(earlier), F.lit(0)).alias("__base"))
-    )
-    return lines.join(bases, split).select(
-        "file_name",
-        "part",
-        (F.col("__base") + F.col("__own_records")).alias("record"),
-        "split_start",
-        "line_id",
-        "inside",
-        "text",
-        F.when(F.col("inside"), F.col("separators_inside"))
-        .otherwise(F.col("separators"))
-        .alias("separators"),
-        "valid_text",
-    )
-
-
-def has_line_breaks(spark: SparkSession, path: str) -> bool:
-    """Whether a quoted field runs over the end of a line."""
-    return bool(lexed_lines(placed_lines(spark, path)).agg(F.max("opens")).first()[0])
-
-
-def raw_records(spark: SparkSession, path: str) -> DataFrame:
-    """(part, record, text): whole records, blank lines left out, of files with quoted line breaks."""
-    numbered = with_record_numbers(lexed_lines(placed_lines(spark, path)))
-    lines = F.array_sort(F.collect_list(F.struct("split_start", "line_id", "text")))
-    records = numbered.groupBy("part", "record").agg(lines.alias("lines"))
-    return records.select("part", "record", F.array_join("lines.text", "\n").alias("text")).where("text <> ''")
-
-
-def _record_profile(lexed: DataFrame) -> DataFrame:
-    """Records per file and field count for files with quoted line breaks."""
-    numbered = with_record_numbers(lexed)
-    records = numbered.groupBy("file_name", "part", "record").agg(
-        F.sum("separators").alias("separators"),
-        F.max((F.col("text") == "") & ~F.col("inside")).alias("blank"),
-        F.min("valid_text").alias("valid_text"),
-        # Only the header record's text is needed.
-        F.array_sort(
-            F.collect_list(
-                F.when(F.col("record") == 1, F.struct("split_start", "line_id", "text"))
-            )
-        ).alias("parts"),
-    )
-    header_text = F.array_join(F.col("parts.text"), "\n")
-    return (
-        records.withColumn("fields", _field_count(F.col("blank"), F.col("separators")))
-        .withColumn("text", F.when(F.col("record") == 1, header_text))
-        .groupBy("file_name", "part", "fields")
-        .agg(
-            F.count(F.lit(1)).alias("records"),
-            F.lit(True).alias("breaks"),
-            F.min("valid_text").alias("valid_text"),
-            F.min_by(
-                F.struct("fields", "text"),
-                F.struct(F.lit(0).cast("long").alias("split_start"), F.col("record").alias("line_id")),
-            ).alias("first"),
-            F.min(
-                F.struct(F.lit(0).cast("long").alias("split_start"), F.col("record").alias("line_id"))
-            ).alias("first_at"),
-        )
-    )
-
-
-def _header_names(header: Column) -> Column:
-    """Column names of a header record: quotes around a name are dropped, doubled ones halved."""
-    fields = F.regexp_extract_all(header, F.lit(ANY_FIELD), F.lit(1))
-
-    def unquoted(name: Column) -> Column:
-        inner = F.regexp_replace(name, r'(?s)^"(.*)"([^"]*)\z', "$1$2")
-        return F.when(name.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(name)
-
-    return F.when(header == "", F.array().cast("array<string>")).otherwise(
-        F.transform(fields, unquoted)
-    )
-
-
-def _per_part(profile: DataFrame) -> DataFrame:
-    """Fold the (part, field count) profile, a few rows per part, into one row per part."""
-    folded = profile.groupBy("file_name", "part").agg(
-        F.min_by("first", "first_at").alias("header"),
-        F.sum("records").alias("all_records"),
-        F.max("breaks").alias("has_line_breaks"),
-        F.min("valid_text").alias("valid_text"),
-        F.collect_list(F.struct("fields", "records")).alias("widths"),
-    )
-    width = F.col("header.fields")
-    other = F.aggregate(
-        F.filter("widths", lambda w: w["fields"] != width),
-        F.lit(0).cast("long"),
-        lambda total, w: total + w["records"],
-    )
-    return folded.select(
-        "file_name",
-        "part",
-        _header_names(F.col("header.text")).alias("column_names"),
-        width.alias("column_count"),
-        (F.col("all_records") - F.lit(1)).alias("row_count"),
-        other.alias("inconsistent_rows"),
-        "valid_text",
-        "has_line_breaks",
-    )
-
-
 def _per_file(parts: DataFrame) -> DataFrame:
     """Parts of one delivery added up; every part carries its own header."""
-    first = F.min("part").over(Window.partitionBy("file_name"))
-    lead = parts.withColumn("__lead", first == F.col("part"))
-    folded = lead.groupBy("file_name").agg(
-        F.max(F.when(F.col("__lead"), F.struct("column_names", "column_count"))).alias("header"),
-        F.sum("row_count").alias("row_count"),
-        F.sum("inconsistent_rows").alias("inconsistent_rows"),
+    named = parts.withColumn("column_names", records.header_names(F.col("header_text")))
+    return named.agg(
+        F.min_by(F.struct("column_names", "header_fields"), "part").alias("header"),
+        F.sum("records").alias("row_count"),
+        F.sum("ragged").alias("inconsistent_rows"),
         F.min("valid_text").alias("valid_text"),
         F.max("has_line_breaks").alias("has_line_breaks"),
         (F.count_distinct("column_names") > 1).alias("headers_differ"),
+        F.max("header_too_long").alias("too_long"),
     )
-    return folded.select("file_name", "header.*", *folded.columns[2:])
 
 
-def file_profiles(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """Header, record counts and defects of every non-empty file."""
+def read_failure(error: Exception) -> str | None:
+    """The kind of a failure to read a file, or nothing if the error is another one."""
+    java = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    if java is None or "FAILED_READ_FILE" not in str(error) and "java.io." not in str(error):
+        return None
+    while java.getCause() is not None:
+        java = java.getCause()
+    return java.getClass().getSimpleName()
+
+
+def profile_file(spark: SparkSession, path: str, file_name: str) -> tuple:
+    """The profile of one file or folder (PROFILE_KINDS) from one scan."""
+    unread = (file_name, [], 0, 0, 0, True, False, False)
     try:
-        lexed = lexed_lines(raw_lines(spark, raw_dir))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        found = _per_file(records.part_profiles(records.lexed_lines(spark, path))).first()
+    except (Py4JJavaError, PySparkException) as error:
+        kind = read_failure(error)
+        if kind is None:
             raise
-        return spark.createDataFrame(
-            [],
-            "file_name string, column_names array<string>, column_count int, row_count long, "
-            "inconsistent_rows long, valid_text boolean, has_line_breaks boolean, "
-            "headers_differ boolean",
-        )
-    profile = _line_profile(lexed)
-    broken = [
-        r.file_name
-        for r in profile.where("breaks").select("file_name").distinct().collect()
-    ]
-    if not broken:
-        return _per_file(_per_part(profile))
-    with_breaks = F.col("file_name").isin(broken)
-    records = _record_profile(lexed_lines(raw_lines(spark, raw_dir)).where(with_breaks))
-    return _per_file(_per_part(profile.where(~with_breaks).unionByName(records)))
+        return (*unread, kind)
+    if found.header is None:
+        return (*unread, None)
+    if found.too_long:
+        return (*unread, TOO_LONG)
+    return (
+        file_name, found.header.column_names, found.header.header_fields, found.row_count, found.inconsistent_rows,
+        found.valid_text, found.has_line_breaks, found.headers_differ, None,
+    )
 
 
-def audit_files(spark: SparkSession, raw_dir: str) -> DataFrame:
+def audit_files(spark: SparkSession, raw_dir: str, known: Mapping[str, Mapping] | None = None) -> DataFrame:
     """One row per expected file: presence, identity, header, counts, errors and status.
 
     ``errors`` lists each kind of error once; ``inconsistent_rows`` carries how many records have
-    another width than the header.
+    another width than the header.  ``known`` maps names of files that did not change to their
+    profiles; they are not read.
     """
+    known = known or {}
+    identity = file_identity(spark, raw_dir)
+    present = {r.file_name: r.path for r in identity.collect()}
+    profiles = [tuple({**known[n], "file_name": n}.get(k) for k in PROFILE_NAMES) for n in present if n in known]
+    profiles += [profile_file(spark, path, n) for n, path in present.items() if n not in known]
     joined = (
         expected_files(spark)
-        .join(file_identity(spark, raw_dir), "file_name", "left")
-        .join(file_profiles(spark, raw_dir), "file_name", "left")
+        .join(identity, "file_name", "left")
+        .join(spark.createDataFrame(profiles, PROFILE_KINDS), "file_name", "left")
     )
     exists = F.col("path").isNotNull()
-    empty = exists & (F.coalesce("column_count", F.lit(0)) == 0)
+    failed = exists & F.col("read_error").isNotNull()
+    empty = exists & ~failed & (F.coalesce("column_count", F.lit(0)) == 0)
     undecodable = exists & ~empty & ~F.coalesce("valid_text", F.lit(True))
     ragged = exists & ~empty & (F.coalesce("inconsistent_rows", F.lit(0)) > 0)
     errors = F.array_compact(
@@ -356,9 +132,10 @@ def audit_files(spark: SparkSession, raw_dir: str) -> DataFrame:
             F.when(ragged, F.lit(vocab.ERROR_ROW_LENGTH)),
             F.when(exists & F.coalesce("headers_differ", F.lit(False)), F.lit(PART_HEADERS)),
             F.when(undecodable, F.lit(vocab.ERROR_ENCODING)),
+            F.when(failed, F.concat(F.lit(READ_ERROR), "read_error")),
         )
     )
-    readable = exists & ~empty & ~undecodable
+    readable = exists & ~empty & ~undecodable & ~failed
     counted = exists & ~empty
     status = (
         F.when(~exists, F.lit(vocab.STATUS_MISSING))
@@ -383,9 +160,14 @@ def audit_files(spark: SparkSession, raw_dir: str) -> DataFrame:
         "file_modified_at_ns",
         "file_fingerprint",
         F.lit(vocab.RAW_AUDIT_VERSION).alias("validation_version"),
+        F.col("file_name").isin(_names(known)).alias("skipped_cached_validation"),
     )
 
 
+def _names(names: Iterable[str]) -> list[str]:
+    return [*names] or [""]
+
+
 def audit_rollup(files: DataFrame) -> DataFrame:
     """Counts over the audited files and the status of the run.
 

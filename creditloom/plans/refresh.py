@@ -143,13 +143,6 @@ def register_gold_views(spark: SparkSession, warehouse: str) -> list[str]:
     return storage.register_views(spark, gold_paths)
 
 
-def _path_exists(spark: SparkSession, path: str | None) -> bool:
-    if path is None:
-        return False
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
-
-
 def build_layers(
     spark: SparkSession,
     warehouse: str,
@@ -287,7 +280,7 @@ def _run_event(run_id: str, started, warehouse: str, reports: list[dict]) -> dic
 
 def _is_fresh(spark: SparkSession, event: Mapping, latest) -> bool:
     """The refresh decision for one table; the stored schema is compared with the recorded one."""
-    if latest is None or not _path_exists(spark, latest.artifact_path):
+    if latest is None or not storage.path_exists(spark, latest.artifact_path):
         return False
     stored = schema_text(storage.read_parquet(spark, latest.artifact_path).schema)
     return (

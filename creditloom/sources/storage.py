@@ -58,6 +58,13 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     return path
 
 
+def path_exists(spark: SparkSession, path: str | None) -> bool:
+    if path is None:
+        return False
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def version_path(root: str, layer: str, table: str, run_id: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{table}/version={run_id}"
 
