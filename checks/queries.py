@@ -223,7 +223,7 @@ def _publish_roundtrip(t: Inputs) -> DataFrame:
 
 
 _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
-    "segment_lift": lambda t: insights.segment_lift(t.portfolio, SEGMENT_MIN_CLIENTS),
+    "segment_lift": lambda t: insights.segment_lift(t.portfolio, SEGMENT_MIN_CLIENTS, unique=True),
     "union_by_name_flag_test": lambda t: silver.union_applications(t.train, t.test),
     "application_labels_years": _application(silver.application_labels),
     "application_flags": _application(silver.application_flags),
@@ -265,18 +265,18 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "fact_external": lambda t: gold.consumer_view(t.external, "fact"),
     "fact_internal": lambda t: gold.consumer_view(t.internal, "fact"),
     "fact_credit_risk": lambda t: gold.fact_credit_risk(t.spine, t.internal, t.external),
-    "portfolio_kpis": lambda t: insights.portfolio_kpis(t.portfolio),
+    "portfolio_kpis": lambda t: insights.portfolio_kpis(t.portfolio, unique=True),
     "default_split": lambda t: insights.default_split(t.portfolio),
-    "humanised_kpis": lambda t: insights.humanised_kpis(t.portfolio),
-    "profile_distribution": lambda t: insights.profile_distribution(t.portfolio),
-    "profile_reindexed": lambda t: insights.profile_reindexed(t.portfolio, t.band_rules),
+    "humanised_kpis": lambda t: insights.humanised_kpis(t.portfolio, unique=True),
+    "profile_distribution": lambda t: insights.profile_distribution(t.portfolio, unique=True),
+    "profile_reindexed": lambda t: insights.profile_reindexed(t.portfolio, t.band_rules, unique=True),
     "risk_bucket": lambda t: insights.risk_buckets(
-        insights.segment_lift(t.portfolio, SEGMENT_MIN_CLIENTS)
+        insights.segment_lift(t.portfolio, SEGMENT_MIN_CLIENTS, unique=True)
     ),
     "dti_lift": lambda t: insights.dti_lift(t.portfolio),
     "dti_lift_pivot": lambda t: insights.dti_lift_pivot(t.portfolio, t.band_rules, t.rule_rows),
-    "behavior_segments": lambda t: insights.behavior_segments(t.portfolio),
-    "top_behavior_segments": lambda t: insights.top_behavior_segments(t.portfolio),
+    "behavior_segments": lambda t: insights.behavior_segments(t.portfolio, unique=True),
+    "top_behavior_segments": lambda t: insights.top_behavior_segments(t.portfolio, unique=True),
     "target_correlation": lambda t: insights.target_correlation(t.portfolio),
     "top_correlation": lambda t: insights.top_correlation(t.portfolio),
     "correlation_matrix": lambda t: insights.correlation_matrix(t.portfolio),

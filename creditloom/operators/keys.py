@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ..sources.storage import cut_lineage
-
-_PART, _POS, _BASE = "__part", "__pos", "__base"
+# Ranges of the key: FINE holds at most 2^16 different keys, COARSE at most 2^24 FINE ranges.
+FINE_BITS, COARSE_BITS = 16, 40
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+_KEY, _FINE, _COARSE, _RANK = "__key", "__fine", "__coarse", "__rank"
 
 
 def require_unique(df: DataFrame, key: str) -> None:
@@ -18,36 +19,44 @@ def require_unique(df: DataFrame, key: str) -> None:
         raise ValueError(f"{key} is not unique: {shown}")
 
 
-def dense_key(
-    df: DataFrame, key: str, name: str, partitions: int | None = None, check: bool = True
-) -> DataFrame:
-    """Add ``name`` = position of the row in the order of ``key``, from 1 to the row count.
+def key_ranks(df: DataFrame, key: str) -> DataFrame:
+    """(key, rank) for the distinct keys of a column that holds none twice; a second one is an error.
 
-    Rows are range partitioned and sorted by ``key``; every row then knows its partition and its
-    place inside it.  Both are stored with the rows by a reliable checkpoint, so a retried task
-    cannot renumber anything.  Only the row counts per partition are added up centrally: one row
-    per partition, whatever the data size.
+    Only the key column is read.  Its values are counted per range of values, the counts are added up
+    over the ranges, and a row's place inside its range is added to that.  Ranges are made of the bits
+    of the key, so a retried task numbers as before and nothing has to be stored, sampled or collected;
+    a window sees at most 2^24 rows, whatever the keys are.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    part = F.spark_partition_id()
-    placed = cut_lineage(
-        df.repartitionByRange(n, key)
-        .sortWithinPartitions(key)
-        .select(
-            "*",
-            part.alias(_PART),
-            # The built-in id is (partition << 33) + position in the partition.
-            (F.monotonically_increasing_id() - F.shiftleft(part.cast("long"), 33)).alias(_POS),
-        )
+    kind = df.schema[key].dataType.simpleString()
+    if kind not in _INTEGRAL:
+        raise TypeError(f"{key} must be integral, not {kind}")
+    ids = df.select(F.col(key).cast("long").alias(_KEY)).where(F.col(_KEY).isNotNull()).select(
+        _KEY, F.shiftright(_KEY, FINE_BITS).alias(_FINE)
     )
-    if check:
-        require_unique(placed, key)
-    sizes = placed.groupBy(_PART).agg(F.count(F.lit(1)).alias("__rows"))
-    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select(
-        F.col(_PART), F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias(_BASE)
+    fine = ids.groupBy(_FINE).agg(F.count(F.lit(1)).alias("__n")).withColumn(
+        _COARSE, F.shiftright(_FINE, COARSE_BITS - FINE_BITS)
     )
-    return placed.join(F.broadcast(bases), _PART).select(
-        *df.columns, (F.col(_BASE) + F.col(_POS) + F.lit(1)).alias(name)
+
+    def before(window: WindowSpec) -> Column:
+        return F.coalesce(F.sum("__n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    coarse = fine.groupBy(_COARSE).agg(F.sum("__n").alias("__n")).select(
+        _COARSE, before(Window.orderBy(_COARSE)).alias("__base")
     )
+    starts = fine.withColumn("__inner", before(Window.partitionBy(_COARSE).orderBy(_FINE))).join(coarse, _COARSE)
+    starts = starts.select(_FINE, (F.col("__base") + F.col("__inner")).alias("__start"))
+    inside = Window.partitionBy(_FINE).orderBy(_KEY)
+    numbered = ids.select("*", F.row_number().over(inside).alias("__pos"), F.lag(_KEY).over(inside).alias("__last"))
+    twice = F.raise_error(F.concat(F.lit(f"{key} is not unique: "), F.col(_KEY).cast("string"))).cast("long")
+    rank = F.when(F.col("__last") == F.col(_KEY), twice).otherwise(F.col("__start") + F.col("__pos"))
+    return numbered.join(starts, _FINE).select(_KEY, rank.alias(_RANK))
+
+
+def dense_key(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Add ``name`` = position of the row in the order of ``key``, from 1 to the row count.
+
+    Rows meet their number on ``key``, the key that the joins of a star use as well, so wide rows
+    take no shuffle of their own.  A NULL key has no number.
+    """
+    ranks = key_ranks(df, key)
+    return df.join(ranks, F.col(key) == F.col(_KEY), "left").select(*df.columns, F.col(_RANK).alias(name))

@@ -1,20 +1,24 @@
 """Portfolio analytics: default rates, segment lift, behaviour segments and correlations.
 
-Every function reads one wide ``portfolio`` table (a row per labelled application with its
-dimension attributes) once.  Portfolio totals come in as scalar sub-queries after grouping, never
-as a join before it.
+Every function reads one wide ``portfolio`` table once: a row per labelled application with its
+dimension attributes.  Where the table is made it is checked that a client has one row (``portfolio``,
+and the star's numbering).  Reports that are told so (``unique``) count rows, which combines on the map
+side, and shuffle no row for its client; others count distinct clients.  Totals of the portfolio are
+added up from the groups of the same scan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from .. import vocab
 from ..functions import aggs, display, rows
 from ..operators.attach import attach
+from ..operators.keys import require_unique
 from . import gold
 
 CLIENT = gold.CLIENT
@@ -23,32 +27,52 @@ CLIENT = gold.CLIENT
 # --- the wide base --------------------------------------------------------------------------
 
 
-def portfolio_from_star(
-    fact: DataFrame, requester: DataFrame, risk_segment: DataFrame
-) -> DataFrame:
-    """Fact with requester and risk attributes.
+@dataclass(frozen=True)
+class Star:
+    """The published star.  Its tables hold every client once, since one numbering checked that."""
 
-    Every surrogate key stands for one client, so the tables meet on the client id: one shuffle
-    of the fact for both joins, and client counts downstream find their rows together already.
-    """
-    shared = set(fact.columns)
+    fact: DataFrame
+    requester: DataFrame
+    risk_segment: DataFrame
+
+    def base(self, columns: Sequence[str] | None = None) -> DataFrame:
+        """The wide base of a report: the fact and those dimensions that own one of ``columns``.
+
+        A left join to a table with one row per client changes no other column, so a dimension that
+        the report does not read is not joined; without ``columns`` all are.
+        """
+        joined = self.fact
+        for dim in (self.requester, self.risk_segment):
+            own = [c for c in dim.columns if c not in joined.columns and (columns is None or c in columns)]
+            if own:
+                joined = joined.join(dim.select(CLIENT, *own), CLIENT, "left")
+        return joined
 
-    def extra(dim: DataFrame) -> DataFrame:
-        return dim.select(CLIENT, *[c for c in dim.columns if c not in shared])
 
-    joined = fact.join(extra(requester), CLIENT, "left")
-    return joined.join(extra(risk_segment), CLIENT, "left")
+def portfolio_from_star(
+    fact: DataFrame, requester: DataFrame, risk_segment: DataFrame, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Fact with requester and risk attributes, joined on the client id that every key stands for."""
+    return Star(fact, requester, risk_segment).base(columns)
 
 
 def portfolio(
-    applications: DataFrame, internal: DataFrame, external: DataFrame, rules: Sequence[Row]
+    applications: DataFrame,
+    internal: DataFrame,
+    external: DataFrame,
+    rules: Sequence[Row],
+    check: bool = True,
 ) -> DataFrame:
     """The same table straight from silver: labelled applications and two client roll-ups.
 
     One join per history instead of the star's join per table; a query keeps only the columns
-    and aggregates it uses.
+    and aggregates it uses.  ``check`` raises if a client has two labelled applications; it reads the
+    key column only.
     """
-    base = applications.where(~F.col("flag_test")).withColumns(
+    labelled = applications.where(~F.col("flag_test"))
+    if check:
+        require_unique(labelled.select(CLIENT), CLIENT)
+    base = labelled.withColumns(
         {**gold.requester_bands(rules), **gold.risk_bands(rules)}
     )
     wanted = dict.fromkeys(
@@ -70,8 +94,22 @@ def portfolio(
 # --- portfolio figures ----------------------------------------------------------------------
 
 
-def _clients() -> Column:
-    return F.count_distinct(CLIENT)
+# Columns that each report reads, for a base that joins no more than these need
+REPORT_COLUMNS = {
+    "portfolio_kpis": [CLIENT, "target", "amt_credit", "prev_applications_approved", "prev_applications_total"],
+    "default_split": ["target"],
+    "profile_distribution": [CLIENT, "target", "amt_income_total", *vocab.PROFILE_AXES.values()],
+    "segment_lift": [CLIENT, "target", "code_gender", "age_band", "income_band"],
+    "dti_lift": ["target", "income_band", "annuity_income_band"],
+    "behavior_segments": [CLIENT, "target", "amt_credit", *(column for _, _, column, _ in vocab.BEHAVIOR_SEGMENTS)],
+    "target_correlation": [
+        "target", *vocab.COMPLETENESS_PROXY, *(column for _, column, _ in vocab.CORRELATION_VARIABLES),
+    ],
+}
+
+
+def _clients(unique: bool) -> Column:
+    return aggs.rows() if unique else F.count_distinct(CLIENT)
 
 
 def _defaults() -> Column:
@@ -82,9 +120,9 @@ def _defaulted_amount() -> Column:
     return F.sum(F.when(F.col("target"), F.col("amt_credit")).otherwise(F.lit(0.0)))
 
 
-def portfolio_kpis(base: DataFrame) -> DataFrame:
+def portfolio_kpis(base: DataFrame, unique: bool = False) -> DataFrame:
     return base.agg(
-        _clients().alias("n_total_loans"),
+        _clients(unique).alias("n_total_loans"),
         F.sum("amt_credit").alias("total_credit_amount"),
         aggs.default_rate().alias("default_rate"),
         F.sum(F.when(F.col("target"), 1).otherwise(0)).alias("total_defaults"),
@@ -105,8 +143,8 @@ def default_split(base: DataFrame) -> DataFrame:
     return base.agg(aggs.default_rate().alias("default_rate")).select(F.inline(parts))
 
 
-def humanised_kpis(base: DataFrame) -> DataFrame:
-    kpis = portfolio_kpis(base)
+def humanised_kpis(base: DataFrame, unique: bool = False) -> DataFrame:
+    kpis = portfolio_kpis(base, unique)
     return kpis.select(
         display.human_number(F.col("n_total_loans")).alias("n_total_loans"),
         display.human_currency(F.col("total_credit_amount")).alias("total_credit_amount"),
@@ -131,7 +169,7 @@ def band_order(rules: DataFrame) -> DataFrame:
 # --- profile distributions ------------------------------------------------------------------
 
 
-def profile_distribution(base: DataFrame) -> DataFrame:
+def profile_distribution(base: DataFrame, unique: bool = False) -> DataFrame:
     """Clients, default rate and mean income on every profile axis, from one scan."""
     values = {**{c: F.col(c) for c in vocab.PROFILE_AXES.values()}}
     values["code_gender"] = rows.relabel("code_gender", vocab.GENDER_LABELS, keep_others=False)
@@ -148,7 +186,7 @@ def profile_distribution(base: DataFrame) -> DataFrame:
         base.select(CLIENT, "target", "amt_income_total", F.inline(axes))
         .groupBy("distribution_type", "bucket")
         .agg(
-            _clients().alias("clients"),
+            _clients(unique).alias("clients"),
             aggs.default_rate().alias("default_rate"),
             F.avg("amt_income_total").alias("avg_income"),
         )
@@ -156,7 +194,7 @@ def profile_distribution(base: DataFrame) -> DataFrame:
     )
 
 
-def profile_reindexed(base: DataFrame, rules: DataFrame) -> DataFrame:
+def profile_reindexed(base: DataFrame, rules: DataFrame, unique: bool = False) -> DataFrame:
     """The banded axes laid out in band order; a band without clients shows as NULL."""
     groups = rules.sparkSession.createDataFrame(
         list(vocab.ORDERED_AXES.items()), "distribution_type string, band_group string"
@@ -167,7 +205,7 @@ def profile_reindexed(base: DataFrame, rules: DataFrame) -> DataFrame:
         .withColumnRenamed("band_label", "bucket")
     )
     return (
-        layout.join(profile_distribution(base), ["distribution_type", "bucket"], "left")
+        layout.join(profile_distribution(base, unique), ["distribution_type", "bucket"], "left")
         .select("distribution_type", "band_order", "bucket", "clients", "default_rate", "avg_income")
         .orderBy("distribution_type", "band_order")
     )
@@ -176,9 +214,14 @@ def profile_reindexed(base: DataFrame, rules: DataFrame) -> DataFrame:
 # --- lift -----------------------------------------------------------------------------------
 
 
-def _baseline(base: DataFrame) -> Column:
-    """Default rate of the whole portfolio as a scalar; it reads the label column only."""
-    return base.agg(aggs.default_rate().alias("rate")).scalar()
+def _of_all(total: Column) -> Column:
+    """An aggregate over all groups of a report, a few hundred rows."""
+    return total.over(Window.partitionBy())
+
+
+def _baseline(defaults: str, labelled: str) -> Column:
+    """Default rate of the whole portfolio from its groups."""
+    return F.try_divide(_of_all(F.sum(defaults)), _of_all(F.sum(labelled)))
 
 
 def _within_order(column: str) -> Column:
@@ -186,26 +229,31 @@ def _within_order(column: str) -> Column:
     return ~F.col(column).isin(vocab.BANDS_OUTSIDE_ORDER)
 
 
-def segment_lift(base: DataFrame, min_clients: int = vocab.MIN_CLIENTS) -> DataFrame:
-    """Default rate and lift over gender, age band and income band."""
+def segment_lift(
+    base: DataFrame, min_clients: int = vocab.MIN_CLIENTS, unique: bool = False
+) -> DataFrame:
+    """Default rate and lift over gender, age band and income band, from one scan."""
     gender = F.col("code_gender")
+    shown = (
+        gender.isNotNull() & (gender != vocab.GENDER_UNKNOWN) & _within_order("age_band") & _within_order("income_band")
+    )
     grouped = (
-        base.where(gender.isNotNull() & (gender != vocab.GENDER_UNKNOWN))
-        .where(_within_order("age_band") & _within_order("income_band"))
-        .groupBy(
+        base.groupBy(
+            F.coalesce(shown, F.lit(False)).alias("__shown"),
             rows.relabel("code_gender", vocab.GENDER_LABELS, keep_others=True).alias("genero"),
             F.col("age_band").alias("faixa_idade"),
             F.col("income_band").alias("faixa_renda"),
         )
-        .agg(_clients().alias("clientes"), aggs.default_rate().alias("taxa_inadimplencia"))
-        .where(F.col("clientes") >= F.lit(min_clients))
-        .withColumn("__baseline", _baseline(base))
+        .agg(_clients(unique).alias("clientes"), _defaults().alias("__defaults"), F.count("target").alias("__labelled"))
+        .withColumn("__baseline", _baseline("__defaults", "__labelled"))
+        .where(F.col("__shown") & (F.col("clientes") >= F.lit(min_clients)))
+        .withColumn("taxa_inadimplencia", F.try_divide("__defaults", "__labelled"))
     )
     rate, baseline = F.col("taxa_inadimplencia"), F.col("__baseline")
     return (
         grouped.withColumn("lift_risco", F.try_divide(rate, baseline))
         .withColumn("lift_pp", rate - baseline)
-        .drop("__baseline")
+        .drop("__baseline", "__shown", "__defaults", "__labelled")
         .orderBy(
             F.desc_nulls_last("lift_risco"), F.desc("clientes"),
             "genero", "faixa_idade", "faixa_renda",
@@ -225,16 +273,15 @@ def risk_buckets(lift: DataFrame) -> DataFrame:
 def dti_lift(base: DataFrame) -> DataFrame:
     """Lift over income band and annuity/income band."""
     # Here an absent label counts as not defaulted, unlike in the portfolio's own rate.
-    rate = aggs.share("target")
     return (
-        base.where(_within_order("annuity_income_band"))
-        .groupBy("income_band", "annuity_income_band")
-        .agg(rate.alias("__rate"))
-        .withColumn("__baseline", _baseline(base))
+        base.groupBy("income_band", "annuity_income_band")
+        .agg(_defaults().alias("__defaults"), F.count("target").alias("__labelled"), aggs.rows().alias("__clients"))
+        .withColumn("__baseline", _baseline("__defaults", "__labelled"))
+        .where(_within_order("annuity_income_band"))
         .select(
             "income_band",
             "annuity_income_band",
-            F.try_divide(F.col("__rate"), F.col("__baseline")).alias("lift_inadimplencia"),
+            F.try_divide(F.try_divide("__defaults", "__clients"), F.col("__baseline")).alias("lift_inadimplencia"),
         )
         .orderBy("income_band", "annuity_income_band")
     )
@@ -282,40 +329,47 @@ def _membership(kind: str, column: str, limit: float | None) -> Column:
     raise ValueError(f"unknown segment kind {kind}")
 
 
-def behavior_segments(base: DataFrame, min_clients: int = vocab.MIN_CLIENTS) -> DataFrame:
+# Stands for all clients among the segments
+_PORTFOLIO = ""
+
+
+def behavior_segments(
+    base: DataFrame, min_clients: int = vocab.MIN_CLIENTS, unique: bool = False
+) -> DataFrame:
     """Metrics of the overlapping behaviour segments.
 
-    A client belongs to any number of segments.  Each row lists its own segments and is expanded
-    to them, so the base is scanned once whatever the number of segments.
+    A client belongs to any number of segments, and to the portfolio as a whole.  Each row lists its
+    own segments and is expanded to them inside the task that adds them up, so the base is scanned
+    once whatever the number of segments, and one row per segment and task is shuffled.
     """
     labels = F.array_compact(
         F.array(
+            F.lit(_PORTFOLIO),
             *[
                 F.when(_membership(kind, column, limit), F.lit(label))
                 for label, kind, column, limit in vocab.BEHAVIOR_SEGMENTS
-            ]
+            ],
         )
     )
-    totals = base.agg(
-        F.struct(
-            _clients().alias("clients"),
-            _defaults().alias("defaults"),
-            F.sum("amt_credit").alias("amount"),
-            aggs.default_rate().alias("rate"),
-        ).alias("totals")
-    ).scalar()
+    totals = F.struct(
+        F.col("clientes").alias("clients"),
+        "defaults",
+        F.col("valor_emprestimos").alias("amount"),
+        F.col("taxa_inadimplencia").alias("rate"),
+    )
+    whole = F.col("segmento") == _PORTFOLIO
     grouped = (
         base.select(CLIENT, "target", "amt_credit", F.explode(labels).alias("segmento"))
         .groupBy("segmento")
         .agg(
-            _clients().alias("clientes"),
+            _clients(unique).alias("clientes"),
             _defaults().alias("defaults"),
             F.sum("amt_credit").alias("valor_emprestimos"),
             aggs.default_rate().alias("taxa_inadimplencia"),
             _defaulted_amount().alias("valor_emprestimos_inadimplentes"),
         )
-        .where(F.col("clientes") >= F.lit(min_clients))
-        .withColumn("__totals", totals)
+        .withColumn("__totals", _of_all(F.max(F.when(whole, totals))))
+        .where(~whole & (F.col("clientes") >= F.lit(min_clients)))
     )
     rate, total = F.col("taxa_inadimplencia"), F.col("__totals")
     return grouped.select(
@@ -341,10 +395,13 @@ def _segment_order() -> list[Column]:
 
 
 def top_behavior_segments(
-    base: DataFrame, min_clients: int = vocab.MIN_CLIENTS, top: int = vocab.TOP_SEGMENTS
+    base: DataFrame,
+    min_clients: int = vocab.MIN_CLIENTS,
+    top: int = vocab.TOP_SEGMENTS,
+    unique: bool = False,
 ) -> DataFrame:
     """The segments with the highest lift (a top-k report)."""
-    return behavior_segments(base, min_clients).orderBy(*_segment_order()).limit(top)
+    return behavior_segments(base, min_clients, unique).orderBy(*_segment_order()).limit(top)
 
 
 # --- correlations ---------------------------------------------------------------------------

@@ -167,7 +167,7 @@ def test_reports_scan_the_base_once(spark, tmp_path):
     assert scans(insights.profile_distribution(base)) == 1
     assert scans(insights.target_correlation(base)) == 1
     # The segments once, and the four portfolio totals once more over three columns.
-    assert scans(insights.behavior_segments(base)) == 2
+    assert scans(insights.behavior_segments(base)) == 1
 
 
 def test_baseline_does_not_read_the_histories(inputs):

@@ -47,23 +47,35 @@ def test_rules_from_file_equal_the_built_in_ones(spark, tmp_path):
 
 
 def test_dense_key_is_gapless_and_ordered(spark):
-    df = spark.range(0, 30_000, 3).select((F.col("id") * 7919 % 100_003).alias("k"))
-    keyed = dense_key(df, "k", "n", partitions=7).orderBy("k").collect()
-    assert [r.n for r in keyed] == list(range(1, len(keyed) + 1))
+    # Keys of either sign, close together and far apart, over several fine and coarse ranges
+    keys = sorted({*range(-70_000, 70_000, 7), *(k * 2**33 for k in range(-300, 300)), *(k * 2**55 + 5 for k in range(-250, 250)), 2**63 - 1})
+    df = spark.createDataFrame([(k, str(k)) for k in keys], "k long, v string").repartition(7)
+    keyed = dense_key(df, "k", "n").orderBy("k").collect()
+    assert [(r.k, r.v, r.n) for r in keyed] == [(k, str(k), i) for i, k in enumerate(keys, 1)]
 
 
-def test_dense_key_on_empty_and_on_duplicates(spark):
+def test_dense_key_on_empty_null_and_repeated_keys(spark):
     assert dense_key(spark.createDataFrame([], "k long"), "k", "n").count() == 0
-    with pytest.raises(ValueError, match="not unique: 4"):
-        dense_key(spark.createDataFrame([(4,), (4,), (5,)], "k long"), "k", "n")
-
-
-def test_dense_key_numbers_rows_without_a_single_task_window(spark):
-    plan = dense_key(spark.range(1000).toDF("k"), "k", "n")._jdf.queryExecution().executedPlan().toString()
-    # The only window runs over one row per partition, below the broadcast side.
-    assert plan.count("Window") - plan.count("WindowGroupLimit") >= 1
-    assert "BroadcastExchange" in plan
-    assert plan.index("Window") > plan.index("BroadcastExchange")
+    nulls = spark.createDataFrame([(None,), (3,), (None,), (-3,)], "k int")
+    assert sorted(map(tuple, dense_key(nulls, "k", "n").collect()), key=str) == [(-3, 1), (3, 2), (None, None), (None, None)]
+    with pytest.raises(Exception, match="k is not unique: 4"):
+        dense_key(spark.createDataFrame([(4,), (4,), (5,)], "k long"), "k", "n").collect()
+    with pytest.raises(TypeError, match="integral"):
+        dense_key(spark.createDataFrame([("a",)], "k string"), "k", "n")
+
+
+def test_dense_key_takes_no_job_while_planning_and_no_shuffle_of_wide_rows(spark):
+    spark.sparkContext.setJobGroup("planning", "dense key")
+    try:
+        keyed = dense_key(spark.range(1000).selectExpr("id AS k", "uuid() AS v"), "k", "n")
+        plan = keyed._jdf.queryExecution().executedPlan().toString()
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    single = [line for line in plan.splitlines() if "SinglePartition" in line]
+    # One window runs in one task: over the counts of the coarse ranges.
+    assert len(single) == 1 and "__coarse" in plan
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "rangepartitioning" in line]
 
 
 def test_attach_keeps_rows_and_marks_missing(spark):
