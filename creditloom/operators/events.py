@@ -89,7 +89,7 @@ def run_counters(events: DataFrame) -> DataFrame:
     def number(condition: Column) -> Column:
         return F.count(F.when(condition, 1))
 
-    failed = number(status == "failed")
+    failed = number(status.isin(list(vocab.FAILURE_STATUSES)))
     return (
         events.where(F.col("entity_type") == "table")
         .groupBy("run_id")

@@ -25,7 +25,7 @@ from ..operators.fingerprint import (
 )
 from ..sources import rules as rule_tables
 from ..sources import storage
-from ..sources.events import append_events, read_events, utc_now
+from ..sources.events import append_events, live_events, utc_now
 from . import gold, silver
 
 VERSION = "layers_v1"
@@ -121,7 +121,7 @@ def layer_tables(band_rows=None) -> list[Table]:
 
 def published_paths(spark: SparkSession, warehouse: str) -> dict[str, str]:
     """Current version of every table, from the event log."""
-    current = latest_event(read_events(spark, warehouse))
+    current = latest_event(live_events(spark, warehouse))
     found = current.select("layer", "entity_name", "artifact_path").collect()
     return {f"{r.layer}.{r.entity_name}": r.artifact_path for r in found}
 
@@ -161,10 +161,10 @@ def build_layers(
     run_id, started = str(uuid.uuid4()), utc_now()
     all_tables = layer_tables(band_rows) if tables is None else tables
     chosen = [t for t in all_tables if selected is None or t.key in selected]
-    known = {
-        f"{r.layer}.{r.entity_name}": r
-        for r in latest_event(read_events(spark, warehouse)).collect()
-    }
+    log = latest_event(live_events(spark, warehouse))
+    last_events = log.collect()  # one row per table
+    known = {f"{r.layer}.{r.entity_name}": r for r in last_events}
+    latest = spark.createDataFrame(last_events, log.schema)
     frames: dict[str, DataFrame] = dict(sources)
     given = dict(source_fingerprints or {})
     fingerprints: dict[str, str] = {}
@@ -189,72 +189,114 @@ def build_layers(
                 fingerprints[name] = content_fingerprint(frame(name)).first().table_fingerprint
         return fingerprints[name]
 
-    for table in chosen:
-        event = {
-            "run_id": run_id,
-            "layer": table.layer,
-            "entity_type": "table",
-            "entity_name": table.name,
-            "started_at_utc": utc_now(),
-            "warehouse_path": warehouse,
-            "process_version": VERSION,
-            "used_cached_result": False,
-        }
-        failed_inputs = [i for i in table.inputs if states.get(i) in (FAILED, SKIPPED)]
-        try:
-            if failed_inputs:
-                event.update(status=SKIPPED, error_message=f"failed inputs: {failed_inputs}")
-            else:
-                event["definition_fingerprint"] = table.definition()
-                event["source_fingerprint"] = _digest([[i, fingerprint(i)] for i in table.inputs])
-                latest = known.get(table.key)
-                if _is_fresh(spark, event, latest):
-                    event.update(
-                        status=REUSED,
-                        used_cached_result=True,
-                        artifact_path=latest.artifact_path,
-                        row_count=latest.row_count,
-                        column_count=latest.column_count,
-                        schema_text=latest.schema_text,
-                        table_fingerprint=latest.table_fingerprint,
-                    )
+    for wave in _waves(chosen):
+        ready = [t for t in wave if not _failed_inputs(t, states)]
+        sources_of: dict[str, str | Exception] = {}
+        for table in ready:
+            try:
+                sources_of[table.key] = _digest([[i, fingerprint(i)] for i in table.inputs])
+            except Exception as error:  # noqa: BLE001 - an input that cannot be read fails its readers only
+                sources_of[table.key] = error
+        current = _decisions(
+            spark, {t: s for t in ready if isinstance(s := sources_of[t.key], str)}, known, latest
+        )
+        for table in wave:
+            event = {
+                "run_id": run_id,
+                "layer": table.layer,
+                "entity_type": "table",
+                "entity_name": table.name,
+                "started_at_utc": utc_now(),
+                "warehouse_path": warehouse,
+                "process_version": VERSION,
+                "used_cached_result": False,
+            }
+            try:
+                if table not in ready:
+                    failed = _failed_inputs(table, states)
+                    event.update(status=SKIPPED, error_message=f"failed inputs: {failed}")
+                elif isinstance(sources_of[table.key], Exception):
+                    raise sources_of[table.key]
                 else:
-                    built = table.build(*[frame(i) for i in table.inputs])
-                    path, facts = storage.publish(
-                        built, warehouse, table.layer, table.name, run_id, content_metrics(built)
-                    )
-                    event.update(
-                        status=BUILT,
-                        artifact_path=path,
-                        row_count=facts["row_count"],
-                        column_count=len(built.columns),
-                        schema_text=schema_text(built.schema),
-                        table_fingerprint=observed_fingerprint(
-                            facts,
-                            built.schema,
-                            event["definition_fingerprint"],
-                            event["source_fingerprint"],
-                        ),
-                    )
-                frames[table.key] = storage.read_parquet(spark, event["artifact_path"])
-                fingerprints[table.key] = event["table_fingerprint"]
-        except Exception as error:  # noqa: BLE001 - a failed table must not stop the others
-            event.update(status=FAILED, error_message=f"{type(error).__name__}: {error}")
-        states[table.key] = event["status"]
-        event["seq"] = len(reports)
-        event["event_ts_utc"] = event["finished_at_utc"] = utc_now()
-        reports.append(event)
-        # The event is the commit of the version just written.
-        append_events(spark, warehouse, [event])
+                    event["definition_fingerprint"] = table.definition()
+                    event["source_fingerprint"] = sources_of[table.key]
+                    if current[table.key]:
+                        last = known[table.key]
+                        kept = ("artifact_path", "row_count", "column_count", "schema_text", "table_fingerprint")
+                        event.update(status=REUSED, used_cached_result=True, **{k: last[k] for k in kept})
+                    else:
+                        event.update(_built(table, [frame(i) for i in table.inputs], warehouse, run_id, event))
+                    frames[table.key] = storage.read_parquet(spark, event["artifact_path"])
+                    fingerprints[table.key] = event["table_fingerprint"]
+            except Exception as error:  # noqa: BLE001 - a failed table must not stop the others
+                event.update(status=FAILED, error_message=f"{type(error).__name__}: {error}")
+            states[table.key] = event["status"]
+            event["seq"] = len(reports)
+            event["event_ts_utc"] = event["finished_at_utc"] = utc_now()
+            reports.append(event)
+            # The event is the commit of the version just written.
+            append_events(spark, warehouse, [event])
 
     append_events(spark, warehouse, [_run_event(run_id, started, warehouse, reports)])
     return reports
 
 
+def _waves(tables: list[Table]) -> list[list[Table]]:
+    """Tables in declared order, cut before each that reads one of the same wave."""
+    waves: list[list[Table]] = []
+    for table in tables:
+        if not waves or any(i == t.key for i in table.inputs for t in waves[-1]):
+            waves.append([])
+        waves[-1].append(table)
+    return waves
+
+
+def _failed_inputs(table: Table, states: Mapping[str, str]) -> list[str]:
+    return [i for i in table.inputs if states.get(i) in (FAILED, SKIPPED)]
+
+
+def _decisions(
+    spark: SparkSession, wanted: Mapping[Table, str], known: Mapping, latest: DataFrame
+) -> dict[str, bool]:
+    """Which tables of a wave are current: one question to the event log for all of them.
+
+    The schema asked for is that of the stored table, so a table changed behind the log is built anew.
+    """
+    rows = []
+    for table, sources in wanted.items():
+        last = known.get(table.key)
+        exists = last is not None and storage.path_exists(spark, last.artifact_path)
+        stored = schema_text(storage.read_parquet(spark, last.artifact_path).schema) if exists else None
+        rows.append((table.layer, table.name, VERSION, table.definition(), sources, stored, exists))
+    if not any(row[-1] for row in rows):
+        return {t.key: False for t in wanted}
+    desired = spark.createDataFrame(
+        rows,
+        "layer string, entity_name string, process_version string, definition_fingerprint string, "
+        "source_fingerprint string, schema_text string, output_exists boolean",
+    )
+    return {f"{r.layer}.{r.entity_name}": r.is_fresh for r in refresh_decision(desired, latest).collect()}
+
+
+def _built(table: Table, inputs: list[DataFrame], warehouse: str, run_id: str, event: Mapping) -> dict:
+    built = table.build(*inputs)
+    path, facts = storage.publish(built, warehouse, table.layer, table.name, run_id, content_metrics(built))
+    return {
+        "status": BUILT,
+        "artifact_path": path,
+        "row_count": facts["row_count"],
+        "column_count": len(built.columns),
+        "schema_text": schema_text(built.schema),
+        "table_fingerprint": observed_fingerprint(
+            facts, built.schema, event["definition_fingerprint"], event["source_fingerprint"]
+        ),
+    }
+
+
 def _run_event(run_id: str, started, warehouse: str, reports: list[dict]) -> dict:
     statuses = [r["status"] for r in reports]
     succeeded = sum(s in vocab.SUCCESS_STATUSES for s in statuses)
-    failed = len(statuses) - succeeded
+    failed = sum(s in vocab.FAILURE_STATUSES for s in statuses)
     now = utc_now()
     return {
         "run_id": run_id,
@@ -276,21 +318,3 @@ def _run_event(run_id: str, started, warehouse: str, reports: list[dict]) -> dic
             "table_count_skipped_cached": statuses.count(REUSED),
         },
     }
-
-
-def _is_fresh(spark: SparkSession, event: Mapping, latest) -> bool:
-    """The refresh decision for one table; the stored schema is compared with the recorded one."""
-    if latest is None or not storage.path_exists(spark, latest.artifact_path):
-        return False
-    stored = schema_text(storage.read_parquet(spark, latest.artifact_path).schema)
-    return (
-        latest.process_version == event["process_version"]
-        and latest.definition_fingerprint == event["definition_fingerprint"]
-        and latest.source_fingerprint == event["source_fingerprint"]
-        and latest.schema_text == stored
-    )
-
-
-def decide(desired: DataFrame, events: DataFrame) -> DataFrame:
-    """Refresh decisions for many tables at once, as a query over the event log."""
-    return refresh_decision(desired, latest_event(events))

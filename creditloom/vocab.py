@@ -29,8 +29,14 @@ STATUS_MISSING, STATUS_INVALID, STATUS_VALID = "missing", "invalid", "valid"
 ERROR_NOT_FOUND, ERROR_EMPTY = "file_not_found", "empty_file"
 ERROR_ROW_LENGTH, ERROR_ENCODING = "inconsistent_row_length", "encoding_error"
 
+# Codes that open the messages of a failed bronze load
+BAD_NAME, REPEATED_NAME = "invalid_column_name", "duplicate_bronze_column_name"
+SCHEMA_DRIFT = "bronze_schema_mismatch"
+
 # Statuses of a refreshed table that count as a success
 SUCCESS_STATUSES = ("success", "skipped_cached_transformation")
+# A table that could not be tried because of its inputs has failed as well.
+FAILURE_STATUSES = ["failed", "skipped_upstream_failed"]
 
 # --------------------------------------------------------------------------------------------
 # Column groups of an application

@@ -5,11 +5,15 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from creditloom.operators.events import latest_event, refresh_decision, reuse_valid_result, run_counters
+from creditloom.operators.events import (
+    latest_event, latest_file_event, refresh_decision, reuse_valid_result, run_counters,
+)
 from creditloom.plans import refresh
 from creditloom.plans.refresh import Table
 from creditloom.sources import adapter, storage
-from creditloom.sources.events import append_events, event_row, parse_utc, read_events
+from creditloom.sources.events import (
+    append_events, compact_events, event_row, live_events, parse_utc, read_events,
+)
 
 T0 = datetime(2024, 1, 1, 10)
 
@@ -183,3 +187,36 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.sql("DROP TABLE bucket_a")
         spark.sql("DROP TABLE bucket_b")
+
+
+def test_a_snapshot_answers_like_the_whole_log(spark, tmp_path):
+    where, day = str(tmp_path), datetime(2024, 1, 1, 10)
+    for n in range(6):
+        append_events(spark, where, [
+            {**event(n, row_count=n, entity=e, status=s), "event_ts_utc": day.replace(day=1 + n)}
+            for e, s in (("t", "success"), ("u", "failed" if n > 1 else "success"))
+        ] + [
+            {"run_id": "r", "seq": n, "event_ts_utc": day.replace(day=1 + n), "layer": "raw", "entity_type": "file",
+             "entity_name": "f", "status": "valid" if n != 3 else "invalid", "file_fingerprint": str(n % 2),
+             "process_version": "v1", "row_count": n}
+        ])
+    current = spark.createDataFrame(
+        [("f", "0", "v1"), ("f", "1", "v1"), ("f", "2", "v1")],
+        "entity_name string, file_fingerprint string, process_version string",
+    )
+
+    def answers(log):
+        files = log.where("layer = 'raw'")
+        tables = sorted(map(str, latest_event(log).collect()))
+        return tables, sorted(map(str, latest_file_event(files).collect())), sorted(
+            map(str, reuse_valid_result(current, files).collect())
+        )
+
+    whole = answers(read_events(spark, where))
+    for before in (2, 5):
+        compact_events(spark, where, datetime(2024, 1, before).date())
+        assert answers(live_events(spark, where)) == whole
+    # Two tables (latest and last success) and a file (latest, and valid ones by fingerprint)
+    snapshot = spark.read.parquet(f"{where}/metadata/event_snapshots/before=2024-01-05")
+    assert snapshot.count() == 6 and read_events(spark, where).count() == 18
+    assert live_events(spark, where).count() == 6 + 6
