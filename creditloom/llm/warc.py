@@ -7,8 +7,9 @@ revisit records.
 
 Recovery: a task writes its archive under a name of its own attempt; the manifest, a table that
 Spark commits, lists the archives of successful attempts only.  A NULL payload is empty, a NULL url
-leaves out its header, a NULL page_id is kept.  Rows equal in every used column are one record;
-rows that share only a page_id are records of their own.  Other columns are ignored.
+leaves out its header, a NULL page_id is kept.  Every row is a record: of rows equal in every used
+column the further ones are revisits of the first (responses, if the payload is below the least size for
+revisits), and rows that share only a page_id are told apart by their content.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,6 +36,9 @@ MIN_DEDUP_BYTES = 0
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _BATCH_BYTES = 4 << 20
+COPY_BLOCK = 100_000
+# Identifiers of repeated rows, 40 bytes each
+BROADCAST_ROWS = 200_000
 
 CHUNK_KINDS = (
     "record_id string, record_type string, page_id long, target_uri string, refers_to long, "
@@ -109,10 +113,48 @@ def page_records(pages: DataFrame) -> DataFrame:
     )
 
 
+def _each_copy(rows: DataFrame) -> DataFrame:
+    """A row per copy (column ``copies``), numbered in ``copy``; the first keeps its record_id.
+
+    Copies are dealt in blocks, so that a page repeated without end is spread over tasks.
+    """
+    blocks = rows.withColumn(
+        "__block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPY_BLOCK)))
+    )
+    start = F.col("__block") * COPY_BLOCK
+    numbered = blocks.withColumn(
+        "copy", F.explode(F.sequence(start, F.least(start + COPY_BLOCK, F.col("copies")) - 1))
+    ).drop("__block", "copies")
+    later = F.md5(F.concat_ws(":", "record_id", F.col("copy").cast("string")).cast("binary"))
+    return numbered.withColumn("record_id", F.when(F.col("copy") == 0, F.col("record_id")).otherwise(later))
+
+
+def _repeated(digests: DataFrame) -> DataFrame:
+    """(record_id, copies) of rows that are equal in every used column."""
+    return digests.groupBy("record_id").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+
+
+def unique_records(records: DataFrame, digests: DataFrame, min_bytes: int) -> DataFrame:
+    """Records under identifiers of their own: further copies of a row have another one, and carry the
+    payload only where they are no revisits."""
+    repeated = staged(_repeated(digests), "warc-repeated")
+    if repeated.count() <= BROADCAST_ROWS:
+        repeated = F.broadcast(repeated)
+    first = records.join(repeated, "record_id").dropDuplicates(["record_id"])
+    small = F.octet_length("payload") < min_bytes
+    copies = _each_copy(first).withColumn("payload", F.when((F.col("copy") == 0) | small, F.col("payload")))
+    return records.join(repeated, "record_id", "left_anti").unionByName(copies.select(*records.columns))
+
+
 def plan_records(digests: DataFrame, min_bytes: int = MIN_DEDUP_BYTES) -> DataFrame:
     """Response or revisit for every record: of equal payloads the largest page_id is the response."""
-    records = digests.dropDuplicates(["record_id"])
-    same = records.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest", "payload_bytes").agg(
+    facts = [c for c in digests.columns if c != "record_id"]
+    counted = digests.groupBy("record_id").agg(
+        F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in facts]
+    )
+    records = _each_copy(counted)
+    firsts = records.where((F.col("copy") == 0) & (F.col("payload_bytes") >= min_bytes))
+    same = firsts.groupBy("payload_digest", "payload_bytes").agg(
         F.max(F.struct("page_id", "record_id", "url")).alias("first")
     )
     joined = records.join(same, ["payload_digest", "payload_bytes"], "left")
@@ -209,8 +251,6 @@ def write_archives(chunks: DataFrame, plan: DataFrame, folder: str, archive_byte
             columns = {c: batch.column(c).to_pylist() for c in names}
             for row, chunk in enumerate(batch.column("chunk")):
                 record, number = columns["record_id"][row], columns["chunk_no"][row]
-                if record == current and number < expected:
-                    continue  # a repeated row
                 if number != (expected if record == current else 0) or record != current and unfinished:
                     raise ValueError(f"record {record}: chunk {number} where {expected} was expected")
                 if record != current:
@@ -322,10 +362,12 @@ def read_archives(manifest: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFr
 def archive_pages(pages: DataFrame, folder: str | None = None, min_bytes: int = MIN_DEDUP_BYTES) -> DataFrame:
     """Write every page to WARC archives; returns the manifest."""
     folder = folder or scratch_path(pages.sparkSession, "warc")
-    chunks = chunk_table(page_records(pages), "payload")
+    records = page_records(pages)
+    chunks = chunk_table(records, "payload")
     digests = staged(fold_digests(chunks, ["page_id", "url"]), "warc-digests")
     plan = plan_records(digests, min_bytes)
-    return write_archives(chunks, plan, folder)
+    unique = unique_records(records, digests, min_bytes)
+    return write_archives(chunk_table(unique, "payload"), plan, folder)
 
 
 def record_summary(manifest: DataFrame) -> DataFrame:
