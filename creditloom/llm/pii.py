@@ -94,7 +94,7 @@ PATTERNS = {
     "phone": r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])"
     r"|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9-])",
     # A run of numbers, up to the start of an address, an SSN or a phone number; cards_in finds the cards in it.
-    "card": r"(?<![0-9.-])[0-9](?:(?![ -](?:[0-9]{1,3}\.[0-9]|[\p{L}\p{N}._%+-]++@|[0-9]{3}[.-][0-9]{2,3}[.-][0-9]{4}(?![0-9-])))[ -]?[0-9]){12,400}(?![0-9-])",
+    "card": r"(?<![0-9.-])[0-9](?:(?![ -](?:[0-9]{1,3}\.[0-9]|[\p{L}\p{N}._%+-]++@|[0-9]{3}[.-][0-9]{2,3}[.-][0-9]{4}(?![0-9-])))[ -]?[0-9]){12,}+",
     "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_titles})\.? {_name}(?: {_name})?",
 }
 PATTERN = "|".join(PATTERNS.values())
@@ -136,11 +136,16 @@ def cards_in(run: Column) -> Column:
     A card has 13 to 19 digits, whole groups and a valid check digit.  At the start of the run any
     grouping will do, after it the usual ones.
     """
-    groups = F.split(run, "[ -]")
-    count = F.size(groups)
-    start = F.struct(F.lit(1).alias("at"), F.lit(0).alias("next"), F.array().cast("array<string>").alias("cards"))
+    listed = F.split(run, "[ -]")
+    # The groups travel in the state: an expression of the run would be split anew at every step.
+    start = F.struct(
+        F.lit(1).alias("at"), F.lit(0).alias("next"), F.array().cast("array<string>").alias("cards"), listed.alias("groups")
+    )
 
     def step(state: Column, i: Column) -> Column:
+        groups = state["groups"]
+        count = F.size(groups)
+
         def first(n: Column) -> Column:
             return F.slice(groups, i + 1, n)
 
@@ -156,9 +161,10 @@ def cards_in(run: Column) -> Column:
             (state["at"] + F.length(F.get(groups, i)) + 1).alias("at"),
             F.coalesce(i + best, state["next"]).alias("next"),
             F.when(best.isNull(), state["cards"]).otherwise(F.concat(state["cards"], F.array(card))).alias("cards"),
+            groups.alias("groups"),
         )
 
-    return F.aggregate(F.sequence(F.lit(0), count - 1), start, step, lambda state: state["cards"])
+    return F.aggregate(F.sequence(F.lit(0), F.size(listed) - 1), start, step, lambda state: state["cards"])
 
 
 def with_cards(run: Column, cards: Column, surrogates: Column) -> Column:
