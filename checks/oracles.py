@@ -540,6 +540,7 @@ SQL: dict[str, str] = {
         "SELECT sk_id_curr, age_band, income_band, employment_tenure_band, "
         "mean_score_band AS score_band, annuity_income_band FROM numbered"
     ),
+    "band_join_loaded": "SELECT sk_id_curr, mean_score_band AS score_band, income_band FROM numbered",
     "dense_key": (
         "SELECT sk_bureau_id, credit_type, row_number() OVER (ORDER BY sk_bureau_id) AS bureau_key FROM bureau"
     ),
@@ -750,7 +751,7 @@ DOUBLES = set(
 )
 # Queries without any double column, and those where a name above stands for another type.
 EXACT = {
-    "application_flags", "band_join_all", "dense_key", "hot_key_attach", "segment_external",
+    "application_flags", "band_join_all", "band_join_loaded", "dense_key", "hot_key_attach", "segment_external",
     "segment_internal", "dim_contract", "one_hot", "humanised_kpis", "bool_domain_profile",
     "bool_normalise", "sentinel_profile", "null_constraint_report",
     "reconciliation", "latest_event",

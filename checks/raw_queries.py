@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditloom import vocab
+from creditloom.operators.bands import band_join
 from creditloom.plans import bronze, bronze_run, insights, raw_audit, raw_run, refresh
 from creditloom.sources import rules, storage
 from creditloom.sources.events import read_events
@@ -139,6 +140,42 @@ def _csv_to_bronze_damaged(t: Inputs) -> DataFrame:
     return _loaded(t, _write_broken_bureau(t, storage.scratch_path(t.spark, "raw")), "bureau.csv")
 
 
+def _rule_file(t: Inputs, rows: list[tuple], columns: str) -> str:
+    path = storage.scratch_path(t.spark, "rules")
+    t.spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns.split())).coalesce(1).write.csv(path, header=True)
+    return path
+
+
+def column_rules_from_files(t: Inputs) -> rules.ColumnRules:
+    """The rules of the load by way of the three files that they are kept in."""
+    given = rules.default_column_rules()
+    schema = []
+    for (file, source), kind in given.types.items():
+        reference, name = given.renames.get((file, source), (source, bronze.snake_case(source)))
+        nullable = "YES" if given.nullable[file, source] else "NO"
+        schema.append((file, source, reference, name, kind, nullable))
+    renames = [(f, raw, ref, name, None, None) for f, raw, ref, name in vocab.RENAMES]
+    sentinels = [(f, c, old, new or "NULL", "true", None) for f, c, old, new in vocab.SENTINEL_RULES]
+    return rules.load_column_rules(
+        t.spark,
+        _rule_file(t, schema, "file_name source_column reference_column bronze_column bronze_type bronze_nullable"),
+        _rule_file(t, renames, "file_name source_column reference_column bronze_column bronze_type notes"),
+        _rule_file(t, sentinels, "file_name source_column sentinel_sql replacement_sql is_active notes"),
+    )
+
+
+def _band_join_loaded(t: Inputs) -> DataFrame:
+    """Score and income bands by rules that come from a file."""
+    path = storage.scratch_path(t.spark, "band-rules")
+    t.band_rules.coalesce(1).write.csv(path, header=True)
+    loaded = rules.load_band_rules(t.spark, path)
+    df = t.applications.select("sk_id_curr", "ext_source_mean", "amt_income_total")
+    df = band_join(df, loaded, "score_band", "ext_source_mean", "score_band")
+    return band_join(df, loaded, "income_band", "amt_income_total", "income_band").select(
+        "sk_id_curr", "score_band", "income_band"
+    )
+
+
 def _bronze_refresh(t: Inputs) -> DataFrame:
     """Events of two bronze runs over audited files: one file is ragged, one breaks a NOT NULL rule."""
     warehouse = storage.scratch_path(t.spark, "warehouse")
@@ -152,7 +189,7 @@ def _bronze_refresh(t: Inputs) -> DataFrame:
     )
     raw_run.run_audit(t.spark, target, warehouse)
     for _ in range(2):
-        bronze_run.build_bronze(t.spark, target, warehouse)
+        bronze_run.build_bronze(t.spark, target, warehouse, column_rules_from_files(t))
     stored = functools.reduce(DataFrame.unionByName, [
         df.agg(F.count(F.lit(1)).alias("stored_rows")).withColumn("entity_name", F.lit(name.split(".")[1]))
         for name, df in refresh.published_tables(t.spark, warehouse).items()
@@ -169,22 +206,24 @@ def _bronze_refresh(t: Inputs) -> DataFrame:
 
 
 def _raw_to_star(t: Inputs) -> DataFrame:
-    """From CSV files to a report: audit, bronze, silver, gold, each read as the last one published it."""
+    """From CSV files to a report: audit, bronze, silver, gold, each read as the last one published it.
+
+    The report reads the gold views.
+    """
     warehouse, target = storage.scratch_path(t.spark, "warehouse"), write_raw_files(t)
     raw_run.run_audit(t.spark, target, warehouse)
     bronze_run.build_bronze(t.spark, target, warehouse)
     refresh.build_layers(t.spark, warehouse, {})
-    star = refresh.published_tables(t.spark, warehouse)
-    base = insights.portfolio_from_star(
-        star["gold.fact_credit_risk"], star["gold.dim_requester"], star["gold.dim_risk_segment"]
-    )
-    return insights.dti_lift(base)
+    refresh.register_gold_views(t.spark, warehouse)
+    star = insights.Star(*map(t.spark.table, ("fact_credit_risk", "dim_requester", "dim_risk_segment")))
+    return insights.dti_lift(star.base(insights.REPORT_COLUMNS["dti_lift"]))
 
 
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "csv_to_bronze": _csv_to_bronze("bureau"),
     **{f"csv_to_bronze_{n}": _csv_to_bronze(n) for n in RAW_FILES if n != "bureau"},
     "csv_to_bronze_damaged": _csv_to_bronze_damaged,
+    "band_join_loaded": _band_join_loaded,
     "bronze_refresh": _bronze_refresh,
     "raw_to_star": _raw_to_star,
     "schema_evaluation": _schema_evaluation,
