@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from creditloom import vocab
 from creditloom.plans import gold
-from creditloom.sources import adapter, rules
+from creditloom.sources import adapter
 
 from . import raw_oracles
 from .precision import settle_sql

@@ -184,10 +184,15 @@ def _schema_rows() -> str:
 SQL = {
     "csv_to_bronze": "SELECT * FROM bureau",
     **{
-        f"csv_to_bronze_{table}": BRONZE_PREVIOUS if table == "previous_application" else f"SELECT * FROM {source}"
+        f"csv_to_bronze_{table}": f"SELECT * FROM {source}"
         for table, (source, _) in WRITTEN.items()
         if table != "bureau"
     },
+    "csv_to_bronze_previous_application": BRONZE_PREVIOUS,
+    # A column that the rules do not know stays text.
+    "csv_to_bronze_credit_card_balance": (
+        "SELECT * REPLACE (CAST(event_id AS VARCHAR) AS event_id) FROM credit_card_balance"
+    ),
     "csv_to_bronze_damaged": (
         "SELECT * REPLACE (if(sk_bureau_id % 7 = 0, 'of \"' || credit_type || '\",' || chr(10) || chr(10) || "
         "'second \"line\"', credit_type) AS credit_type) FROM bureau"
@@ -201,5 +206,5 @@ SQL = {
     "raw_audit_reuse": _reuse(),
 }
 EXACT = {
-    "schema_evaluation", "raw_audit_files", "raw_audit_damaged", "raw_audit_rollup", "raw_audit_reuse", "bronze_refresh",
+    "csv_to_bronze_bureau_balance", "schema_evaluation", "raw_audit_files", "raw_audit_damaged", "raw_audit_rollup", "raw_audit_reuse", "bronze_refresh",
 }

@@ -6,7 +6,6 @@ import io
 import json
 import os
 import random
-import tempfile
 
 import pytest
 from pyspark.sql import functions as F
