@@ -137,9 +137,16 @@ def cards_in(run: Column) -> Column:
     grouping will do, after it the usual ones.
     """
     listed = F.split(run, "[ -]")
-    # The groups travel in the state: an expression of the run would be split anew at every step.
+    # Groups and the digits before each travel in the state: made from the run, they would be at every step.
+    before = F.aggregate(
+        listed,
+        F.struct(F.array(F.lit(0)).alias("ends"), F.lit(0).alias("sum")),
+        lambda s, g: F.struct(F.concat(s["ends"], F.array(s["sum"] + F.length(g))).alias("ends"), (s["sum"] + F.length(g)).alias("sum")),
+        lambda s: s["ends"],
+    )
     start = F.struct(
-        F.lit(1).alias("at"), F.lit(0).alias("next"), F.array().cast("array<string>").alias("cards"), listed.alias("groups")
+        F.lit(1).alias("at"), F.lit(0).alias("next"), F.array().cast("array<string>").alias("cards"),
+        listed.alias("groups"), before.alias("before"),
     )
 
     def step(state: Column, i: Column) -> Column:
@@ -149,12 +156,14 @@ def cards_in(run: Column) -> Column:
         def first(n: Column) -> Column:
             return F.slice(groups, i + 1, n)
 
+        def sized(n: Column) -> Column:
+            return (F.get(state["before"], i + n) - F.get(state["before"], i)).between(13, 19)
+
         def is_card(n: Column) -> Column:
-            digits = F.array_join(first(n), "")
             shape = F.array_join(F.transform(first(n), lambda g: F.length(g).cast("string")), ",")
-            return F.length(digits).between(13, 19) & ((i == 0) | shape.rlike(CARD_GROUPS)) & (luhn_sum(digits) % 10 == 0)
+            return ((i == 0) | shape.rlike(CARD_GROUPS)) & (luhn_sum(F.array_join(first(n), "")) % 10 == 0)
 
-        lengths = F.sequence(F.least(count - i, F.lit(19)), F.lit(1), F.lit(-1))
+        lengths = F.filter(F.sequence(F.least(count - i, F.lit(19)), F.lit(1), F.lit(-1)), sized)
         best = F.when(i >= state["next"], F.get(F.filter(lengths, is_card), F.lit(0)))
         card = F.substring(run, state["at"], F.length(F.array_join(first(best), " ")))
         return F.struct(
@@ -162,6 +171,7 @@ def cards_in(run: Column) -> Column:
             F.coalesce(i + best, state["next"]).alias("next"),
             F.when(best.isNull(), state["cards"]).otherwise(F.concat(state["cards"], F.array(card))).alias("cards"),
             groups.alias("groups"),
+            state["before"].alias("before"),
         )
 
     return F.aggregate(F.sequence(F.lit(0), F.size(listed) - 1), start, step, lambda state: state["cards"])
