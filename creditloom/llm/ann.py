@@ -8,6 +8,10 @@ Search: a query walks the same graph and opens the lists within a distance ratio
 centroid.  The ratio is the least that reaches nearly all true neighbours inside the sample, where
 neighbours are farther than in the full table, so it errs on the safe side.
 
+A query's FIRST_LISTS nearest lists are searched first; its k-th best score there is a lower bound, and the
+further lists only hand out what reaches it.  So the rows that leave the lists stay a fixed number per
+query, however many lists are opened, and no result is lost.
+
 Inner products become distances by one more coordinate (the rest of the largest length).  Lists and
 their queries are cut into parts by a hash, so a task holds a bounded piece of a list of any length.
 """
@@ -33,6 +37,7 @@ REPLICAS = 4
 REACHED = 0.96
 BEAM = 12
 LEAST_LISTS = 8
+FIRST_LISTS = 8
 LIST_PART_ROWS = 4_000
 QUERY_PART_ROWS = 2_000
 _WALK_ROWS = 1_024
@@ -156,7 +161,7 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def listed(vectors: DataFrame, index, stored: bool) -> DataFrame:
-    """(list, vec_id, vec): a row for each list that a vector stands on, or that a query opens."""
+    """(list, near, vec_id, vec): a row for each list that a vector stands on, or that a query opens; nearest list 0."""
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = index.value
@@ -165,20 +170,21 @@ def listed(vectors: DataFrame, index, stored: bool) -> DataFrame:
                 part = batch.slice(at, _WALK_ROWS)
                 x = _matrix(part.column("vec"), fitted["dim"])
                 x = lifted(x, fitted["longest"]) if stored else as_query(x)
-                rows, lists = [], []
+                rows, lists, near = [], [], []
                 ratio, beam = (BOUNDARY_RATIO, BEAM) if stored else (fitted["ratio"], None)
                 for row, found, gap in walk(x, fitted["centroids"], fitted["graph"], ratio, fitted["floor"], beam):
                     found = boundary_lists(found, gap, fitted["floor"]) if stored else found
                     rows.append(np.full(len(found), row))
                     lists.append(found)
+                    near.append(np.arange(len(found)))
                 if rows:
                     own = part.take(pa.array(np.concatenate(rows)))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(lists).astype(np.int32)), own.column("vec_id"), own.column("vec")],
-                        names=["list", "vec_id", "vec"],
+                        [*[pa.array(np.concatenate(x).astype(np.int32)) for x in (lists, near)], own.column("vec_id"), own.column("vec")],
+                        names=["list", "near", "vec_id", "vec"],
                     )
 
-    return vectors.select("vec_id", "vec").mapInArrow(assign, "list int, vec_id long, vec array<float>")
+    return vectors.select("vec_id", "vec").mapInArrow(assign, "list int, near int, vec_id long, vec array<float>")
 
 
 def in_parts(df: DataFrame, sizes: DataFrame, own: str, other: str) -> DataFrame:
@@ -198,15 +204,19 @@ def best_in_list(k: int, dim: int):
             return pa.table({n: pa.array([], t) for n, t in kinds})
         x, q = (_matrix(t.column("vec").combine_chunks(), dim) for t in (stored, asked))
         ids, queries = (np.asarray(t.column("vec_id")) for t in (stored, asked))
+        bound = np.asarray(asked.column("bound"))
         out: list[list[np.ndarray]] = [[], [], []]
         for at in range(0, len(q), 256):
             score = q[at : at + 256] @ x.T
             score[queries[at : at + 256, None] == ids[None, :]] = -np.inf
-            least = np.partition(score, max(0, len(x) - k), axis=1)[:, max(0, len(x) - k)]
+            least = np.maximum(np.partition(score, max(0, len(x) - k), axis=1)[:, max(0, len(x) - k)], bound[at : at + 256])
+            # The fast product may differ from the exact one in its last digits.
+            slack = 1e-9 * np.maximum(1.0, np.abs(np.where(np.isfinite(least), least, 0.0)))
             for r in range(len(score)):
-                near = np.flatnonzero((score[r] >= least[r] - 1e-9) & (score[r] > -np.inf))
+                near = np.flatnonzero((score[r] >= least[r] - slack[r]) & (score[r] > -np.inf))
                 exact = (x[near] * q[at + r]).sum(axis=1)
                 order = np.lexsort((ids[near], -exact))[:k]
+                order = order[exact[order] >= bound[at + r]]
                 out[0].append(np.full(len(order), queries[at + r]))
                 out[1].append(ids[near][order])
                 out[2].append(exact[order])
@@ -239,18 +249,34 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     index = spark.sparkContext.broadcast(fit(valid, rows, dim, k))  # bounded by SAMPLE_ROWS
     postings = staged(listed(valid, index, stored=True), "ann-lists")
     probes = staged(listed(valid.where(F.col("vec_id") % every == 0), index, stored=False), "ann-probes")
-    sizes = (
+    stored_parts = F.broadcast(  # one row per centroid
         postings.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / LIST_PART_ROWS).cast("int").alias("n_part"))
-        .join(probes.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERY_PART_ROWS).cast("int").alias("n_qpart")), "list")
-    )
-    sizes = F.broadcast(sizes)  # one row per centroid
-    left = in_parts(postings, sizes, "part", "qpart").groupBy("list", "part", "qpart")
-    right = in_parts(probes, sizes, "qpart", "part").groupBy("list", "part", "qpart")
-    found = left.cogroup(right).applyInArrow(best_in_list(k, dim), "query_id long, vec_id long, score double")
-    # A vector stands on several lists: keep it once, then the best k of at most k per opened list.
-    nearest = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).groupBy("query_id").agg(
-        F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("far"), "vec_id", "score"))), 1, k).alias("best")
-    )
-    return nearest.select("query_id", F.posexplode("best").alias("pos", "hit")).select(
-        "query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), F.col("hit.score").alias("score")
     )
+
+    def searched(asked: DataFrame) -> DataFrame:
+        """(query_id, vec_id, score): the k best of each opened list that reach the query's bound."""
+        sizes = F.broadcast(
+            asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERY_PART_ROWS).cast("int").alias("n_qpart")).join(stored_parts, "list")
+        )
+        left = in_parts(postings.drop("near"), sizes, "part", "qpart").groupBy("list", "part", "qpart")
+        right = in_parts(asked, sizes, "qpart", "part").groupBy("list", "part", "qpart")
+        return left.cogroup(right).applyInArrow(best_in_list(k, dim), "query_id long, vec_id long, score double")
+
+    def ranked(found: DataFrame) -> DataFrame:
+        """(query_id, best): a vector stands on several lists; it counts once, then the best k stay."""
+        return found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).groupBy("query_id").agg(
+            F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("far"), "vec_id", "score"))), 1, k).alias("best")
+        )
+
+    def hits(best: DataFrame) -> DataFrame:
+        return best.select("query_id", F.posexplode("best").alias("pos", "hit")).select(
+            "query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), F.col("hit.score").alias("score")
+        )
+
+    nowhere = F.lit(float("-inf"))
+    narrow = ["list", "vec_id", "vec"]
+    first = staged(ranked(searched(probes.where(F.col("near") < FIRST_LISTS).select(*narrow, nowhere.alias("bound")))), "ann-first")
+    bounds = first.select(F.col("query_id").alias("vec_id"), F.when(F.size("best") >= k, F.element_at("best", -1)["score"]).alias("bound"))
+    further = probes.where(F.col("near") >= FIRST_LISTS).join(bounds, "vec_id", "left").select(*narrow, F.coalesce("bound", nowhere).alias("bound"))
+    again = first.select("query_id", F.explode("best").alias("hit")).select("query_id", "hit.vec_id", "hit.score")
+    return hits(ranked(again.union(searched(further))))
