@@ -2,8 +2,10 @@
 
 Documents with equal shingle sets are one class.  Similar classes are put into small groups; a
 group keeps the union of its members' shingles and, per member, the row of the matrix over that union.
-A member of one group opens another group only if it shares enough shingles with the union; inside an
-opened group every member is compared exactly.
+Two groups are bounded by sketches of their unions alone (shingles counted in hash cells), which are a
+twentieth of a group or less; only pairs whose bound reaches the threshold are brought together whole.
+A member of one group then opens another group only if it shares enough shingles with the union; inside
+an opened group every member is compared exactly.
 
 Which pairs of groups are bounded at all comes from an exact filter: a set of up to n shingles is
 cut by hash into more parts than two linked sets can differ in, so linked sets have at least one
@@ -33,7 +35,7 @@ from .shingles import mixed, shingle_sets
 
 GROUP_MEMBERS = 128
 _SLICE_BYTES = 2 << 20
-_PARTS_SALT, _SUM_SALT, _KEY_SALT = 101, 102, 103
+_PARTS_SALT, _SUM_SALT, _KEY_SALT, _CELL_SALT = 101, 102, 103, 104
 _U = np.uint64
 
 
@@ -155,11 +157,31 @@ def grouped(classes: DataFrame, members: int) -> DataFrame:
     return classes.join(many, "alike", "left").withColumn("grp", F.xxhash64("alike", part)).drop("__cuts")
 
 
+def union_sketch(union: np.ndarray) -> bytes:
+    """Counts of a union's shingles per hash cell, one cell for one to two shingles; empty where a count needs more than a byte."""
+    cells = 1 << max(4, (len(union) // 2).bit_length())
+    counts = np.bincount((mixed(union.view(np.uint64), _CELL_SALT) & _U(cells - 1)).astype(np.int64), minlength=cells)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
+
+
+def may_link(sketch_a: bytes, least_a: int, sketch_b: bytes, least_b: int, percent: int) -> bool:
+    """False only if no member of one group can link to one of the other.
+
+    Members share no more than the unions do, and these no more than the smaller counts of each cell.
+    A link takes percent / (100 + percent) of both sizes together; ``least`` is the smallest member.
+    """
+    if not sketch_a or not sketch_b:
+        return True
+    a, b = sorted((np.frombuffer(x, np.uint8) for x in (sketch_a, sketch_b)), key=len)
+    shared = int(np.minimum(a, b.reshape(-1, len(a)).sum(axis=0, dtype=np.int64)).sum(dtype=np.int64))
+    return shared * (100 + percent) >= percent * (least_a + least_b)
+
+
 def group_rows(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(grp, reps, union, marks): the matrix row of each wanted group.
+    """(grp, reps, union, marks, least, sketch): the matrix row of each wanted group.
 
     ``wanted`` has (rep, grp).  Sets are made from the texts again instead of being kept for all documents.
-    ``marks`` holds one bit per member and union shingle.
+    ``marks`` holds one bit per member and union shingle; ``least`` and ``sketch`` serve may_link().
     """
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,12 +203,14 @@ def group_rows(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                 "reps": pa.array([table.column("rep").to_pylist()], pa.list_(pa.int64())),
                 "union": pa.array([union], pa.list_(pa.int64())),
                 "marks": pa.array([np.packbits(marks, axis=1).tobytes()], pa.binary()),
+                "least": pa.array([int(pc.min(pc.list_value_length(tokens)).as_py())], pa.int64()),
+                "sketch": pa.array([union_sketch(union)], pa.binary()),
             }
         )
 
     texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("rep"), F.coalesce("text", F.lit("")).alias("text"))
     once = texts.join(wanted, "rep").select("grp", "rep", "text").mapInArrow(sets, "grp long, rep long, tokens array<long>")
-    kinds = "grp long, reps array<long>, union array<long>, marks binary"
+    kinds = "grp long, reps array<long>, union array<long>, marks binary, least long, sketch binary"
     return once.groupBy("grp").applyInArrow(unite, kinds)
 
 
@@ -236,6 +260,21 @@ def spanning(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return kept
 
 
+def qualifying(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """The pairs of groups (g, h) that may hold a link, by the sketches of their unions alone."""
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = [batch.column(c + s).to_pylist() for s in "gh" for c in ("sketch_", "least_")]
+            kept = [may_link(*row, percent) for row in zip(*sides)]
+            yield batch.select(["g", "h"]).filter(pa.array(kept, pa.bool_()))
+
+    def side(s: str) -> DataFrame:
+        return groups.select(F.col("grp").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("sketch", "least")])
+
+    return pairs.join(side("g"), "g").join(side("h"), "h").mapInArrow(bound, "g long, h long")
+
+
 def links_between(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """(src, dst): spanning links of each pair of groups (g, h); g = h compares a group with itself."""
 
@@ -279,10 +318,11 @@ def join_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
     shared = staged(parts.join(least.select("key", "least", "many"), "key"), "jaccard-parts")
     tied = shared.where("grp <> least").select(F.col("least").alias("g"), F.col("grp").alias("h"))
     alone = classes.groupBy("grp").count().where("count > 1").select(F.col("grp").alias("g"), F.col("grp").alias("h"))
-    pairs = staged(tied.distinct().union(alone), "jaccard-pairs")
-    wanted = pairs.select(F.col("g").alias("grp")).union(pairs.select("h")).distinct()
+    pairs = staged(tied.distinct(), "jaccard-pairs")
+    wanted = pairs.select(F.col("g").alias("grp")).union(pairs.select("h")).union(alone.select("g")).distinct()
     groups = staged(group_rows(docs, classes.join(wanted, "grp").select("rep", "grp"), words), "jaccard-groups")
-    links = staged(links_between(pairs, groups, percent), "jaccard-links")
+    opened = staged(qualifying(pairs, groups, percent).union(alone), "jaccard-opened")
+    links = staged(links_between(opened, groups, percent), "jaccard-links")
     found = staged(components(links), "jaccard-found")
 
     # Keys with three groups or more: pairs of groups not yet tied to each other as a whole.
@@ -305,7 +345,8 @@ def join_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
         .select(F.col("grp").alias("g"), "h").distinct()
         .join(pairs, ["g", "h"], "left_anti")
     )
-    late = staged(links_between(more, groups, percent), "jaccard-late")
+    opened = staged(qualifying(more, groups, percent), "jaccard-opened")
+    late = staged(links_between(opened, groups, percent), "jaccard-late")
     if not late.isEmpty():
         found = components(links.union(late))
     return members, found
