@@ -115,10 +115,11 @@ def _strings(lengths: np.ndarray, raw: np.ndarray) -> pa.Array:
     return pa.BinaryArray.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(raw)])
 
 
-def word_blocks(docs: DataFrame, pattern: str, buckets: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(block, bucket, doc_ids, body): bucket -1 has a block's documents, the others its distinct words.
+def word_blocks(docs: DataFrame, pattern: str, buckets: int, block_bytes: int = BLOCK_BYTES, place: str | None = None) -> DataFrame:
+    """(block, bucket, doc_ids, places, body): bucket -1 has a block's documents, the others its distinct words.
 
     Words are in order of bucket and spelling.  Documents name a word by its rank in frequency.
+    ``places`` are the documents' values of ``place``, a column of ``docs`` (NULL without one).
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,21 +140,24 @@ def word_blocks(docs: DataFrame, pattern: str, buckets: int, block_bytes: int =
                 number = (part << 32) + seq
                 seq += 1
                 counts = np.asarray(pc.list_value_length(lists))
-                out = [(number, -1, batch.column("doc_id").slice(start, stop - start).to_pylist(), squeeze(counts, often, rank[slots]))]
+                named = [batch.column(c).slice(start, stop - start).to_pylist() for c in ("doc_id", "place")]
+                out = [(number, -1, *named, squeeze(counts, often, rank[slots]))]
                 words, bucket = words.take(pa.array(order)), bucket[order]
                 cuts = np.concatenate([np.flatnonzero(np.diff(bucket, prepend=-1)), [len(bucket)]])
                 for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                    out.append((number, int(bucket[a]), None, squeeze(*_spelling(words.slice(a, b - a)))))
-                kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["block", "bucket", "doc_ids", "body"])
+                    out.append((number, int(bucket[a]), None, None, squeeze(*_spelling(words.slice(a, b - a)))))
+                lists = pa.list_(pa.int64())
+                kinds = (pa.int64(), pa.int32(), lists, lists, pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["block", "bucket", "doc_ids", "places", "body"])
 
     text = F.coalesce(F.col("text"), F.lit(""))
     cut = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
+        (F.col(place) if place else F.lit(None)).cast("long").alias("place"),
         F.octet_length(text).alias("size"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("words"),
     )
-    return staged(cut.mapInArrow(pack, "block long, bucket int, doc_ids array<long>, body binary"), "bpe-blocks")
+    return staged(cut.mapInArrow(pack, "block long, bucket int, doc_ids array<long>, places array<long>, body binary"), "bpe-blocks")
 
 
 def encode_words(packed: DataFrame, path: str) -> DataFrame:
@@ -261,10 +265,10 @@ def answered(packed: DataFrame, lexicon: DataFrame) -> DataFrame:
     return ordered.mapInArrow(answer, "block long, bucket int, body binary")
 
 
-def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list]]:
-    """(doc ids, id arrays, decoded bytes) of one block after the other; a block's documents come first."""
+def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list, list]]:
+    """(doc ids, places, id arrays, decoded bytes) of one block after the other; a block's documents come first."""
 
-    def placed(doc_ids: list, body: bytes, bodies: list[bytes]) -> tuple[list, list, list]:
+    def placed(doc_ids: list, places: list, body: bytes, bodies: list[bytes]) -> tuple[list, list, list, list]:
         counts, often, ranks = unsqueeze(body, "nnn")
         found = list(zip(*[unsqueeze(x, "nnnb") for x in bodies])) or [[np.zeros(0, np.uint32)]] * 4
         sizes, flat, lengths, raw = (np.concatenate(x) for x in found)
@@ -282,7 +286,7 @@ def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, l
             first = np.repeat(starts[own] - (np.cumsum(width) - width), width)
             ids.append(flat[first + np.arange(int(width.sum()))])
             texts.append(b"".join([spelled[s] for s in own.tolist()]))
-        return doc_ids, ids, texts
+        return doc_ids, places, ids, texts
 
     current, bodies = None, []
     for batch in batches:
@@ -293,42 +297,49 @@ def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, l
                 continue
             if current:
                 yield placed(*current, bodies)
-            current, bodies = (batch.column("doc_ids")[row].as_py(), body), []
+            current, bodies = (*[batch.column(c)[row].as_py() for c in ("doc_ids", "places")], body), []
     if current:
         yield placed(*current, bodies)
 
 
-def encode_documents(spark: SparkSession, docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(block, bucket, doc_ids, body) rows for assembled(): documents of a block, then its encoded words."""
+def encode_documents(
+    spark: SparkSession, docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES, place: str | None = None
+) -> DataFrame:
+    """(block, bucket, doc_ids, places, body) rows for assembled(): documents of a block, then its encoded words."""
     buckets = 1 + text_bytes(docs) // BUCKET_BYTES
-    blocks = word_blocks(docs, word_pattern(special_strings(path)), buckets, block_bytes)
+    blocks = word_blocks(docs, word_pattern(special_strings(path)), buckets, block_bytes, place)
     packed = blocks.where("bucket >= 0").select("block", "bucket", "body")
     lexicon = decode_ids(spark, encode_words(packed, path), path)
     rows = blocks.where("bucket < 0").unionByName(answered(packed, lexicon), allowMissingColumns=True)
     return rows.repartition("block").sortWithinPartitions("block", "bucket")
 
 
-def token_table(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids, text): the token ids of every document and the text they decode to."""
+def token_table(spark: SparkSession, docs: DataFrame, path: str, place: str | None = None) -> DataFrame:
+    """(doc_id, place, ids, text): the token ids of every document and the text they decode to.
+
+    ``place`` names a whole-number column of ``docs`` that goes along; without it the place is NULL.
+    """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc_ids, ids, texts in assembled(batches):
+        for doc_ids, places, ids, texts in assembled(batches):
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": pa.array(doc_ids, pa.int64()),
+                    "place": pa.array(places, pa.int64()),
                     "ids": pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())),
                     "text": pa.array([x.decode("utf-8", "replace") for x in texts], pa.string()),
                 }
             )
 
-    return encode_documents(spark, docs, path).mapInArrow(spread, "doc_id long, ids array<int>, text string")
+    kinds = "doc_id long, place long, ids array<int>, text string"
+    return encode_documents(spark, docs, path, place=place).mapInArrow(spread, kinds)
 
 
 def token_digests(spark: SparkSession, docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc_ids, ids, texts in assembled(batches):
+        for doc_ids, _, ids, texts in assembled(batches):
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": pa.array(doc_ids, pa.int64()),

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +26,26 @@ def staged(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_order(df: DataFrame, name: str) -> DataFrame:
+    """Add ``name`` = gapless position 0, 1, ... of the row in the files it is read from, by file name and row.
+
+    Files that one sorted write left keep its order in their names.  Rows that do not come straight from
+    files are stored first.  Only one row per file, of which the driver has a list anyway, meets in one
+    place and is broadcast.
+    """
+    own = [c for c in df.columns if c != name]
+    file, row = F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row")
+    try:
+        placed = df.select(*own, file, row)
+    except AnalysisException:
+        placed = staged(df, "rows").select(*own, file, row)
+    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    first = placed.groupBy("__file").agg((F.max("__row") + 1).alias("__n")).select(
+        "__file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first")
+    )
+    return placed.join(F.broadcast(first), "__file").select(*own, (F.col("__first") + F.col("__row")).alias(name))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
