@@ -2,27 +2,38 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is stored and read again before
 the next one.  Quality, near duplicates and the mix decide which documents go on, surrogates change
-texts; the last stage returns token ids.  SQL cannot express the learned and hashed stages, so the
+texts; the mix stores its rows in the order they are to be read, and the last stage returns token ids with
+that position.  SQL cannot express the learned and hashed stages, so the
 tests compare with brute force instead.
+
+NULL and empty texts are documents like others; rows without an id, repeated rows and further columns go
+through all stages up to the last.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.llm import bpe, jaccard, mixing, pii, quality
-from creditloom.llm.common import staged, table
+from creditloom.llm.common import staged, stored_order, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
 
 
+def apart(docs: DataFrame, *names: str) -> tuple[DataFrame, list[Column]]:
+    """The documents with columns named like an operator's own set aside, and the columns that give them back."""
+    aside = {c: f"__kept_{c}" for c in docs.columns if c in names}
+    return docs.withColumnsRenamed(aside), [F.col(aside.get(c, c)).alias(c) for c in docs.columns]
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules accept."""
-    judged = quality.classify(docs, table(spark, sf_dir, "labels"))
-    return judged.where("predicted = 1").select(*docs.columns)
+    own, back = apart(docs, "score", "predicted")
+    judged = quality.classify(own, table(spark, sf_dir, "labels"))
+    return judged.where("predicted = 1").select(*back)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,22 +43,33 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with surrogates; n_chars is counted again."""
-    replaced = pii.replace_mentions(docs)
-    length = F.length("text").cast("long")
-    return replaced.select(*[length.alias(c) if c == "n_chars" else c for c in docs.columns])
+    own, back = apart(docs, "n_replaced")
+    counted = pii.replace_mentions(own)
+    if "n_chars" in docs.columns:
+        counted = counted.withColumn("n_chars", F.length("text").cast("long"))
+    return counted.select(*back)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, stored in the order of the mix; every source has a weight."""
+    """All documents, stored in the order of the mix; every source has a weight.
+
+    Columns of the documents keep their values, also where they are named like the mix's own.
+    """
     order = [F.col("doc_id"), F.crc32(F.coalesce("text", F.lit("")))]
-    mixed = mixing.mix(docs, mixing.tempered_weights(docs), order)
-    return mixed.repartitionByRange("position").sortWithinPartitions("position").select(*docs.columns)
+    own, back = apart(docs, "block", "slot", "position")
+    mixed = mixing.mix(own, mixing.tempered_weights(own), order)
+    ordered = mixed.repartitionByRange("position").sortWithinPartitions("position")
+    return ordered.select(*back)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, text): token ids, and the text they decode to."""
-    tokens = bpe.token_table(spark, docs, TOKENIZER)
-    return tokens.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "text")
+    """(position, doc_id, n_tokens, ids, text): token ids, and the text they decode to.
+
+    ``position`` is the place of the document in the stored order of ``docs``, which is that of the mix.
+    """
+    placed = stored_order(docs.select("doc_id", "text"), "position")
+    tokens = bpe.token_table(spark, placed, TOKENIZER, place="position")
+    return tokens.select(F.col("place").alias("position"), "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "text")
 
 
 STAGES = [
