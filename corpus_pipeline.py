@@ -53,12 +53,16 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, stored in the order of the mix; every source has a weight.
 
-    Columns of the documents keep their values, also where they are named like the mix's own.
+    Columns of the documents keep their values, also where they are named like the mix's own.  The mix is made
+    of narrow rows; a text moves once to meet its position and once into the order.
     """
-    order = [F.col("doc_id"), F.crc32(F.coalesce("text", F.lit("")))]
-    own, back = apart(docs, "block", "slot", "position")
-    mixed = mixing.mix(own, mixing.tempered_weights(own), order)
-    ordered = mixed.repartitionByRange("position").sortWithinPartitions("position")
+    own, back = apart(docs, "position")
+    placed = stored_order(own, "__place")
+    crc = F.crc32(F.coalesce("text", F.lit(""))).alias("crc")
+    narrow = staged(placed.select(F.col("__place").alias("place"), "doc_id", "source", crc), "mix")
+    mixed = mixing.mix(narrow, mixing.tempered_weights(narrow), [F.col("doc_id"), F.col("crc")])
+    positions = mixed.select(F.col("place").alias("__place"), "position")
+    ordered = placed.join(positions, "__place").repartitionByRange("position").sortWithinPartitions("position")
     return ordered.select(*back)
 
 
