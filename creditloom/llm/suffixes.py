@@ -37,6 +37,7 @@ SLICE_BYTES = 2 << 20
 ANCHOR_STRIDE = 17
 HOT_DOCUMENTS = 500_000  # segments of one anchor then take about 40 MB at most
 TRANSFORM_BYTES = 2 << 20
+SOLVED_ROWS = 100_000  # rows whose starts are written out at a time
 _CODES = np.random.default_rng(3).integers(1, 1 << 63, 256, dtype=np.uint64)
 _U = np.uint64
 
@@ -146,23 +147,33 @@ def segments(text: DataFrame, shared: DataFrame, buckets: int, least: int) -> Da
 def suffix_order(text: np.ndarray) -> np.ndarray:
     """Positions in order of their suffixes; 0 ends a string, equal suffixes keep the text's order."""
     n = len(text)
-    padded = np.concatenate([text, np.zeros(8, text.dtype)]).astype(np.int64)
+    # Symbols that do not occur take no room in the first key.
+    used = np.bincount(text) > 0
+    used[0] = True
+    codes = (np.cumsum(used) - 1).astype(np.int64)
+    bits = max(1, int(codes[-1]).bit_length())
+    length = min(63 // bits, 32)
+    padded = np.concatenate([codes[text], np.zeros(length, np.int64)])
     key = np.zeros(n, dtype=np.int64)
-    for i in range(7):
-        key = (key << 9) | padded[i : i + n]
-    order = np.argsort(key, kind="stable")
-    length, longest = 7, int(np.diff(np.flatnonzero(np.append(text, 0) == 0), prepend=-1).max())
+    for i in range(length):
+        key = (key << bits) | padded[i : i + n]
+    order = np.argsort(key)  # equal keys get one rank, so their order is open until the end
+    longest = int(np.diff(np.flatnonzero(np.append(text, 0) == 0), prepend=-1).max())
     rank = np.zeros(n + 1, dtype=np.int64)
     while True:
         ranked = key[order]
         rank[order] = 1 + np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
-        if length > longest or rank.max() == n:
+        most = int(rank.max())
+        if length > longest or most == n:
             break
-        ahead = np.minimum(np.arange(n) + length, n)
-        key = rank[:n] * (n + 2) + rank[ahead]
-        order = np.argsort(key, kind="stable")
-        length *= 2
-    return order
+        # Three ranks in a key where they fit, else two.
+        times = 3 if (most + 1) ** 3 < 1 << 63 else 2
+        key = rank[:n]
+        for i in range(1, times):
+            key = key * (most + 1) + rank[np.minimum(np.arange(i * length, i * length + n), n)]
+        order = np.argsort(key)
+        length *= times
+    return order if most == n else np.argsort(rank[:n] * (n + 2) + np.arange(n))
 
 
 def equal_prefix_intervals(text: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
@@ -175,17 +186,19 @@ def equal_prefix_intervals(text: np.ndarray, order: np.ndarray, least: int) -> n
     place whose common prefix is known is not looked at again.
     """
     n = len(order)
-    before = text[(order - 1) % n].astype(np.int64)
+    before = text[order - 1]  # two bytes a symbol are sorted by counting
     shorter = np.argsort(before, kind="stable")  # from a suffix, by the transform, to the next one
     head = text[order]
     boundary = np.ones(n, dtype=bool)
     boundary[1:] = (head[1:] != head[:-1]) | (head[1:] == 0)
     open_ = np.flatnonzero(~boundary)
+    here, above = shorter[open_], shorter[open_ - 1]
     for _ in range(1, least):
-        interval = np.cumsum(boundary)
-        parted = interval[shorter[open_]] != interval[shorter[open_ - 1]]
+        interval = np.cumsum(boundary, dtype=np.int32)
+        parted = interval[here] != interval[above]
         boundary[open_[parted]] = True
-        open_ = open_[~parted]
+        kept = ~parted
+        open_, here, above = open_[kept], here[kept], above[kept]
     return np.cumsum(boundary) - 1
 
 
@@ -216,7 +229,7 @@ def resolved_segments(found: DataFrame, least: int) -> DataFrame:
     Segments of one anchor come to one task in a row; some megabytes are transformed at a time.
     """
 
-    def solved(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+    def solved(rows: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
         table = pa.Table.from_batches(rows).combine_chunks()
         anchors, docs = np.asarray(table.column("anchor")), np.asarray(table.column("doc_id"))
         coded = pc.dictionary_encode(table.column("bytes").combine_chunks())
@@ -230,20 +243,25 @@ def resolved_segments(found: DataFrame, least: int) -> DataFrame:
         anchor_of[kind] = anchors
         _, back, kinds = np.unique(anchor_of, return_inverse=True, return_counts=True)
         several = np.flatnonzero(kinds[back] > 1)
-        firsts: list[np.ndarray | None] = [None] * len(counts)
+        parted = []
         if len(several):
             strings = coded.dictionary.take(pa.array(several)).to_pylist()
-            for i, f in zip(several.tolist(), first_documents(strings, doc[several], counts[several], least)):
-                firsts[i] = f
-        ids, lists = [], []
-        starts = np.asarray(table.column("start"))
-        for k, d, s in zip(kind.tolist(), docs.tolist(), starts.tolist()):
-            own = firsts[k]
-            at = np.flatnonzero(own < d) if own is not None else np.arange(counts[k] if doc[k] < d else 0)
-            if len(at):
-                ids.append(d)
-                lists.append(at + s)
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lists, pa.list_(pa.int64()))], names=["doc_id", "starts"])
+            parted = zip(several.tolist(), first_documents(strings, doc[several], counts[several], least))
+        first, begins = np.repeat(doc, counts), np.cumsum(counts) - counts
+        for k, own in parted:
+            first[begins[k] : begins[k] + counts[k]] = own
+        starts, found = np.asarray(table.column("start")), []
+        for a in range(0, len(docs), SOLVED_ROWS):
+            own, n = kind[a : a + SOLVED_ROWS], counts[kind[a : a + SOLVED_ROWS]]
+            inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            row = np.repeat(np.arange(len(n)), n)
+            hit = first[begins[own][row] + inside] < docs[a : a + SOLVED_ROWS][row]
+            many = np.bincount(row[hit], minlength=len(n))
+            some = np.flatnonzero(many)
+            ends = np.concatenate([[0], np.cumsum(many[some])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array((inside + starts[a : a + SOLVED_ROWS][row])[hit].astype(np.int64)))
+            found.append(pa.RecordBatch.from_arrays([pa.array(docs[a : a + SOLVED_ROWS][some].astype(np.int64)), lists], names=["doc_id", "starts"]))
+        return found
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -254,7 +272,7 @@ def resolved_segments(found: DataFrame, least: int) -> DataFrame:
             changes = np.flatnonzero(np.diff(anchors) != 0) + 1
             at = 0
             if held and len(anchors) and held[-1].column("anchor")[-1].as_py() != anchors[0] and size >= TRANSFORM_BYTES:
-                yield solved(held)
+                yield from solved(held)
                 held, size = [], 0
             while at < len(anchors):
                 base = int(ends[at - 1]) if at else 0
@@ -265,11 +283,11 @@ def resolved_segments(found: DataFrame, least: int) -> DataFrame:
                 held.append(batch.slice(at, stop - at))
                 size += int(ends[stop - 1]) - base
                 if len(later):
-                    yield solved(held)
+                    yield from solved(held)
                     held, size = [], 0
                 at = stop
         if held:
-            yield solved(held)
+            yield from solved(held)
 
     ordered = found.select("anchor", "doc_id", "start", "n", "bytes").repartition("anchor").sortWithinPartitions("anchor")
     return ordered.mapInArrow(resolve, "doc_id long, starts array<long>")
@@ -318,9 +336,8 @@ def repeated_strings(docs: DataFrame, least: int = MIN_BYTES, hot: int = HOT_DOC
     per_doc = met.join(again, "key").groupBy("doc_id").agg(
         F.collect_list("key").alias("anchors"), F.collect_list(F.when(F.col("many") > hot, F.col("key"))).alias("hot_anchors")
     )
-    found = segments(binary_texts(docs), per_doc, buckets, least)
+    found = staged(segments(binary_texts(docs), per_doc, buckets, least), "suffix-segments")
     if not met.where(F.col("many") > hot).isEmpty():
-        found = staged(found, "suffix-segments")
         return known, resolved_segments(found.where("not hot"), least).unionByName(resolved_strings(found.where("hot"), least))
     return known, resolved_segments(found, least)
 
@@ -333,7 +350,8 @@ def without_repeats(docs: DataFrame, least: int = MIN_BYTES, hot: int = HOT_DOCU
     """
     docs = docs.select("doc_id", "text")
     known, removed = repeated_strings(docs, least, hot)
-    removed = removed.groupBy("doc_id").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    # Texts, segments and starts are shuffled one after the other, so their files are not on disk together.
+    removed = staged(removed.groupBy("doc_id").agg(F.flatten(F.collect_list("starts")).alias("starts")), "suffix-starts")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

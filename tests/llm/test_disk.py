@@ -30,9 +30,11 @@ def test_mix_shuffles_texts_twice(spark):
     )
     stored = staged(rows, "documents", "none")
     size = sum(len(r["text"]) for r in stored.collect())
-    before = shuffle_files(spark)
-    mixed = corpus_pipeline.mix_sources(spark, stored, "")
-    assert sorted(r["doc_id"] for r in mixed.collect()) == [*range(2000)]
+    before, limit = shuffle_files(spark), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with tables of some size
+    mixed = corpus_pipeline.mix_sources(spark, stored, "").collect()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert sorted(r["doc_id"] for r in mixed) == [*range(2000)]
     # For the join with the positions and for the order; the numbering took two more before.
     written = sum(os.path.getsize(f) for f in shuffle_files(spark) - before)
     assert written < 2.5 * size
