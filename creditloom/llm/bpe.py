@@ -32,6 +32,7 @@ from .packed import text_bytes
 
 BLOCK_BYTES = 20 << 20
 BUCKET_BYTES = 16 << 20  # text per bucket of words
+ASSEMBLED_DOCS = 500  # documents whose ids and texts are held at a time
 
 
 def load_tokenizer(path: str):
@@ -88,7 +89,7 @@ def piece_table(spark: SparkSession, path: str) -> DataFrame:
 
 def squeeze(*parts: np.ndarray) -> bytes:
     """Arrays of bytes or of unsigned numbers as one compressed value."""
-    raw = [x.tobytes() if x.dtype == np.uint8 else x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for x in parts]
+    raw = [x.tobytes() if x.dtype == np.uint8 else x.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4).T.tobytes() for x in parts]
     whole = b"".join([np.array([len(x) for x in raw], "<i8").tobytes(), *raw])
     return len(whole).to_bytes(8, "little") + pa.compress(whole, codec="zstd", asbytes=True)
 
@@ -104,6 +105,11 @@ def unsqueeze(value: bytes, kinds: str) -> list[np.ndarray]:
     return found
 
 
+def freed() -> None:
+    """Give memory of arrays that are no longer used back to the machine; a worker would keep it for its next task."""
+    pa.default_memory_pool().release_unused()
+
+
 def _spelling(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(lengths, bytes) of a binary array."""
     joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(lists)], pa.int32()), lists), b"")
@@ -133,7 +139,8 @@ def word_blocks(docs: DataFrame, pattern: str, buckets: int, block_bytes: int =
                 order = np.asarray(pc.sort_indices(pa.table({"b": bucket, "w": words}), sort_keys=[("b", "ascending"), ("w", "ascending")])).astype(np.int64)
                 place = np.empty(len(order), np.uint32)
                 place[order] = np.arange(len(order))
-                slots = place[np.asarray(encoded.indices, dtype=np.int64)]
+                slots = place[np.asarray(encoded.indices)]
+                del encoded
                 often = np.bincount(slots, minlength=len(order))
                 rank = np.empty(len(order), np.uint32)
                 rank[np.argsort(-often, kind="stable")] = np.arange(len(order))
@@ -141,14 +148,17 @@ def word_blocks(docs: DataFrame, pattern: str, buckets: int, block_bytes: int =
                 seq += 1
                 counts = np.asarray(pc.list_value_length(lists))
                 named = [batch.column(c).slice(start, stop - start).to_pylist() for c in ("doc_id", "place")]
-                out = [(number, -1, *named, squeeze(counts, often, rank[slots]))]
+                slots = rank[slots]
+                out = [(number, -1, *named, squeeze(counts, often, slots))]
+                del slots, lists
                 words, bucket = words.take(pa.array(order)), bucket[order]
                 cuts = np.concatenate([np.flatnonzero(np.diff(bucket, prepend=-1)), [len(bucket)]])
                 for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                     out.append((number, int(bucket[a]), None, None, squeeze(*_spelling(words.slice(a, b - a)))))
-                lists = pa.list_(pa.int64())
-                kinds = (pa.int64(), pa.int32(), lists, lists, pa.binary())
+                listed = pa.list_(pa.int64())
+                kinds = (pa.int64(), pa.int32(), listed, listed, pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["block", "bucket", "doc_ids", "places", "body"])
+                freed()
 
     text = F.coalesce(F.col("text"), F.lit(""))
     cut = docs.select(
@@ -182,6 +192,7 @@ def encode_words(packed: DataFrame, path: str) -> DataFrame:
                     current, known = bucket, pa.array([], pa.binary())
                 known = pc.unique(pa.concat_arrays([known, _strings(*unsqueeze(body.as_py(), "nb"))]))
         yield from coded(current, known)
+        freed()
 
     ordered = packed.select("bucket", "body").repartition("bucket").sortWithinPartitions("bucket")
     return staged(ordered.mapInArrow(encode, "bucket int, word binary, ids array<int>"), "bpe-words")
@@ -207,6 +218,8 @@ def decode_ids(spark: SparkSession, coded: DataFrame, path: str) -> DataFrame:
             held = [batch.slice(starts[-1])]
         if held:
             yield spelled(held)
+        held.clear()
+        freed()
 
     def spelled(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(rows).combine_chunks()
@@ -247,6 +260,7 @@ def answered(packed: DataFrame, lexicon: DataFrame) -> DataFrame:
                     words, spelled = _strings(lengths, raw), _strings(widths, decoded)
                     ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
                     lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
+                    held = []  # the arrays are joined in ``known``
                 bodies = []
                 for body in batch.column("body").slice(a, b - a):
                     at = pc.index_in(_strings(*unsqueeze(body.as_py(), "nb")), value_set=words)
@@ -256,6 +270,7 @@ def answered(packed: DataFrame, lexicon: DataFrame) -> DataFrame:
                     [batch.column("block").slice(a, b - a), batch.column("bucket").slice(a, b - a), pa.array(bodies, pa.binary())],
                     names=["block", "bucket", "body"],
                 )
+        freed()
 
     rows = lexicon.select("bucket", F.lit(0).alias("asks"), "body").unionByName(
         packed.select("bucket", F.lit(1).alias("asks"), "block", "body"), allowMissingColumns=True
@@ -266,9 +281,9 @@ def answered(packed: DataFrame, lexicon: DataFrame) -> DataFrame:
 
 
 def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list, list]]:
-    """(doc ids, places, id arrays, decoded bytes) of one block after the other; a block's documents come first."""
+    """(doc ids, places, id arrays, decoded bytes) of some documents after the others; a block's documents come first."""
 
-    def placed(doc_ids: list, places: list, body: bytes, bodies: list[bytes]) -> tuple[list, list, list, list]:
+    def placed(doc_ids: list, places: list, body: bytes, bodies: list[bytes]) -> Iterator[tuple[list, list, list, list]]:
         counts, often, ranks = unsqueeze(body, "nnn")
         found = list(zip(*[unsqueeze(x, "nnnb") for x in bodies])) or [[np.zeros(0, np.uint32)]] * 4
         sizes, flat, lengths, raw = (np.concatenate(x) for x in found)
@@ -277,16 +292,18 @@ def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, l
         ends = np.cumsum(lengths, dtype=np.int64).tolist()
         raw = raw.tobytes()
         spelled = [raw[a:b] for a, b in zip([0, *ends], ends)]
-        slots = np.argsort(-often.astype(np.int64), kind="stable")[ranks]
-        ids, texts, at = [], [], 0
-        for n in counts.tolist():
-            own = slots[at : at + n]
+        by_rank = np.argsort(-often.astype(np.int64), kind="stable")
+        ids, texts, at, first_doc = [], [], 0, 0
+        for number, n in enumerate(counts.tolist(), 1):
+            own = by_rank[ranks[at : at + n]]
             at += n
             width = sizes[own]
             first = np.repeat(starts[own] - (np.cumsum(width) - width), width)
             ids.append(flat[first + np.arange(int(width.sum()))])
             texts.append(b"".join([spelled[s] for s in own.tolist()]))
-        return doc_ids, places, ids, texts
+            if len(texts) == ASSEMBLED_DOCS or number == len(counts):
+                yield doc_ids[first_doc:number], places[first_doc:number], ids, texts
+                ids, texts, first_doc = [], [], number
 
     current, bodies = None, []
     for batch in batches:
@@ -296,10 +313,12 @@ def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, l
                 bodies.append(body)
                 continue
             if current:
-                yield placed(*current, bodies)
+                yield from placed(*current, bodies)
+                freed()
             current, bodies = (*[batch.column(c)[row].as_py() for c in ("doc_ids", "places")], body), []
     if current:
-        yield placed(*current, bodies)
+        yield from placed(*current, bodies)
+    freed()
 
 
 def encode_documents(
