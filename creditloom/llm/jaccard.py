@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import byte_slices, staged
@@ -35,8 +35,11 @@ from .shingles import mixed, shingle_sets
 
 GROUP_MEMBERS = 128
 _SLICE_BYTES = 2 << 20
+SPARE_PERCENT = 12  # of the parts two linked sets can differ in; sets of either neighbouring class have fewer empty parts
+TURNS = 8  # cuts into parts, for sets that have as many empty parts as spare ones in those before
 _PARTS_SALT, _SUM_SALT, _KEY_SALT, _CELL_SALT = 101, 102, 103, 104
 _U = np.uint64
+DOCUMENT = ["doc_id", "n", "same", "same2", "alike", "loose", "loose_next"]
 
 
 @lru_cache(maxsize=None)
@@ -56,20 +59,28 @@ def parts_of(size_class: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarr
     """
     largest = size_steps(percent)[size_class + 1] - 1
     differ = 2 * largest * (100 - percent) // (100 + percent)
-    spare = np.where(differ > 0, 1 + -(-differ * 6 // 100), 1)
+    spare = np.where(differ > 0, 1 + -(-differ * SPARE_PERCENT // 100), 1)
     return differ + spare, spare
 
 
-def part_keys(hashes: np.ndarray, text: np.ndarray, size_class: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key, text): a key per part and text, for sets counted as class ``size_class``.
+def part_keys(
+    hashes: np.ndarray, text: np.ndarray, size_class: np.ndarray, percent: int, turn: int = 0
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, text, loose): a key per part and text, for sets counted as class ``size_class``, in the cut ``turn``.
 
-    Parts without a shingle say little and are left out unless a text has as many as there are
-    spare parts: linked sets have as many equal parts as there are spare ones, so with fewer empty
-    parts in one of them an equal part is not empty; with more in both, both list theirs.
+    Linked sets have as many equal parts as there are spare ones or more.  Parts without a shingle say
+    nothing, all texts of a class would meet there, so they are left out; where one of two linked sets
+    has fewer empty parts than spare ones, an equal part is left.  Other texts (loose < 0) list the keys of
+    the next turn as well, and so on: two linked sets both list the first turn that suits one of them.
+    In the last turn empty parts are listed by texts that it does not suit either.
+
+    So linked sets have more than ``loose`` listed keys of that turn in common, for the one it suits.  In
+    one order of all keys the first of these has the others behind it, so it is not among the last
+    ``loose`` keys of that text: the text can do without its last ones, and one with loose < 0 keeps all.
     """
     parts, spare = parts_of(size_class, percent)
     first = np.concatenate([[0], np.cumsum(parts)])
-    part = (mixed(hashes, _PARTS_SALT) % parts[text].astype(np.uint64)).astype(np.int64)
+    part = (mixed(hashes, _PARTS_SALT + 1000 * turn) % parts[text].astype(np.uint64)).astype(np.int64)
     slot = first[text] + part
     value = mixed(hashes, _SUM_SALT)
     total = int(first[-1])
@@ -79,11 +90,12 @@ def part_keys(hashes: np.ndarray, text: np.ndarray, size_class: np.ndarray, perc
     filled = np.bincount(slot, minlength=total) > 0
     owner = np.repeat(np.arange(len(parts)), parts)
     empty = np.bincount(owner[~filled], minlength=len(parts))
-    listed = filled | (empty >= spare)[owner]
+    loose = spare - 1 - empty
+    listed = filled | ((loose < 0) & (turn == TURNS - 1))[owner]
     with np.errstate(over="ignore"):
         number = (np.arange(total) - first[owner]).astype(np.uint64)
         key = mixed(mixed(low + (high << _U(32)), _KEY_SALT) + number * _U(1_000_003) + size_class[owner].astype(np.uint64), _KEY_SALT)
-    return key[listed], owner[listed]
+    return key[listed], owner[listed], loose
 
 
 def _lists(values: np.ndarray, owner: np.ndarray, n: int) -> pa.Array:
@@ -101,16 +113,18 @@ def _sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[pa.RecordBatch, n
 def profiles(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
     """Packed part keys per slice (bucket from 0), and per slice (bucket -1) its documents.
 
-    A document has doc_id, n (set size), same and same2 (set digest) and alike (group hint).  The owner
-    of a part key is twice the document's place, plus 1 where the key is of the document's own class.
+    A document has doc_id, n (set size), same and same2 (set digest), alike (group hint), and the number of
+    keys it can spare of its own class (loose) and of the next one (loose_next).  The owner of a part key is
+    four times the document's place, plus 2 where the cut into parts suits it, plus 1 where the key is of its
+    own class.
     """
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
         steps = size_steps(percent)
         lists = pa.list_(pa.int64())
-        names = ["slice", "bucket", "prints", "owners", "doc_id", "n", "same", "same2", "alike"]
-        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), lists, lists, lists, lists, lists]
+        names = ["slice", "bucket", "prints", "owners", *DOCUMENT]
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), *[lists] * len(DOCUMENT)]
         for batch in batches:
             for own, hashes, text in _sets(batch, words):
                 n = own.num_rows
@@ -119,6 +133,7 @@ def profiles(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFra
                 filled = np.flatnonzero(size)
                 same = np.zeros((2, n), dtype=np.uint64)
                 alike = np.zeros(n, dtype=np.uint64)
+                loose = np.zeros((2, n), dtype=np.int64)
                 keys, owners = [], []
                 if len(filled):
                     begins = (np.cumsum(size) - size)[filled]
@@ -131,22 +146,26 @@ def profiles(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFra
                 for step in (0, 1):
                     # A class with one part links equal sets only, and these are one class already.
                     wanted = (size > 0) & (parts_of(level + step, percent)[0] > 1)
-                    kept = wanted[text]
-                    if kept.any():
-                        index = np.cumsum(wanted) - 1
-                        key, owner = part_keys(hashes[kept], index[text[kept]], (level + step)[wanted], percent)
+                    for turn in range(TURNS):
+                        kept = wanted[text]
+                        if not kept.any():
+                            break
+                        index, place = np.cumsum(wanted) - 1, np.flatnonzero(wanted)
+                        key, owner, left = part_keys(hashes[kept], index[text[kept]], (level + step)[wanted], percent, turn)
+                        loose[step, place] = np.maximum(left, 0)
                         keys.append(key)
-                        owners.append(2 * np.flatnonzero(wanted)[owner] + (1 - step))
+                        owners.append(4 * place[owner] + 2 * (left >= 0)[owner] + (1 - step))
+                        wanted[place[left >= 0]] = False
                 number = (part << 32) + seq
                 seq += 1
-                listed = [own.column("doc_id").to_pylist(), size.tolist(), *(x.view(np.int64).tolist() for x in (same[0], same[1], alike))]
+                listed = [own.column("doc_id").to_pylist(), size.tolist(), *(x.view(np.int64).tolist() for x in (same[0], same[1], alike)), *loose.tolist()]
                 out = [(number, -1, None, None, *listed)]
                 if keys:
-                    out += [(*r, *[None] * 5) for r in packed_rows(number, np.concatenate(keys), np.concatenate(owners), buckets)]
+                    out += [(*r, *[None] * len(DOCUMENT)) for r in packed_rows(number, np.concatenate(keys), np.concatenate(owners), buckets)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    lists = ", ".join(f"{c} array<long>" for c in ("doc_id", "n", "same", "same2", "alike"))
+    lists = ", ".join(f"{c} array<long>" for c in DOCUMENT)
     return text.mapInArrow(profile, f"{PACKED_KINDS}, {lists}")
 
 
@@ -300,8 +319,7 @@ def join_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
     # A word takes about 6 bytes; a set of n shingles has n * 2 * (100 - percent) / (100 + percent) parts, twice.
     per_key = max(1, 6 * (100 + percent) // (5 * (100 - percent) + 1))
     slices = staged(profiles(docs, words, percent, bucket_count(text_bytes(docs), per_key)), "jaccard-slices")
-    fields = ["doc_id", "n", "same", "same2", "alike"]
-    known = slices.where("bucket < 0").select("slice", F.posexplode(F.arrays_zip(*fields)).alias("place", "d")).select("slice", "place", *[F.col("d")[f].alias(f) for f in fields])
+    known = slices.where("bucket < 0").select("slice", F.posexplode(F.arrays_zip(*DOCUMENT)).alias("place", "d")).select("slice", "place", *[F.col("d")[f].alias(f) for f in DOCUMENT])
     sets = known.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     digest = ["n", "same", "same2"]
     first = sets.groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.min("alike").alias("alike"))
@@ -311,9 +329,13 @@ def join_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
     )
     # Keys of the larger set (own class) meet keys of the smaller one (own or next class); copies
     # of a class share all keys and count once.
-    home = sets.join(classes.select(F.col("rep").alias("doc_id"), "grp"), "doc_id").select("slice", "place", "grp")
-    found_keys = shared_keys(slices).select("slice", F.shiftright("owner", 1).cast("int").alias("place"), "key", (F.col("owner") % 2 == 1).alias("home"))
-    parts = staged(found_keys.join(home, ["slice", "place"]).groupBy("key", "grp").agg(F.max("home").alias("home")), "jaccard-keys")
+    home = sets.join(classes.select(F.col("rep").alias("doc_id"), "grp"), "doc_id").select("slice", "place", "grp", "loose", "loose_next")
+    found_keys = shared_keys(slices).select("slice", F.shiftright("owner", 2).cast("int").alias("place"), "key", (F.col("owner") % 2 == 1).alias("home"), (F.col("owner") % 4 > 1).alias("suits"), "many")
+    # The keys that a document can spare are its most frequent ones, those of common passages.
+    frequent = Window.partitionBy("slice", "place", "home", "suits").orderBy(F.desc("many"), "key")
+    spared = F.when(F.col("home"), F.col("loose")).otherwise(F.col("loose_next"))
+    telling = found_keys.join(home, ["slice", "place"]).withColumn("nth", F.row_number().over(frequent)).where(~F.col("suits") | (F.col("nth") > spared))
+    parts = staged(telling.groupBy("key", "grp").agg(F.max("home").alias("home")), "jaccard-keys")
     least = parts.groupBy("key").agg(F.min("grp").alias("least"), F.count(F.lit(1)).alias("many"), F.max("home").alias("any")).where("many > 1 and any")
     shared = staged(parts.join(least.select("key", "least", "many"), "key"), "jaccard-parts")
     tied = shared.where("grp <> least").select(F.col("least").alias("g"), F.col("grp").alias("h"))

@@ -1,6 +1,7 @@
 """Bounds that save work never lose a result."""
 
 import random
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -37,6 +38,50 @@ def test_union_sketches_never_refuse_a_link():
     assert jaccard.may_link(b"", 1, far[0], 300, 80)
 
 
+def kept_keys(sets, percent, many=None):
+    """Per set the keys of both classes; with ``many`` without the most frequent ones that it can spare."""
+    steps, found = jaccard.size_steps(percent), []
+    for own in sets:
+        level, listed = int(np.searchsorted(steps, len(own), side="right")) - 1, set()
+        for step in (0, 1):
+            if jaccard.parts_of(np.array([level + step]), percent)[0][0] < 2:
+                continue
+            for turn in range(jaccard.TURNS):
+                keys, _, loose = jaccard.part_keys(own, np.zeros(len(own), np.int64), np.array([level + step]), percent, turn)
+                keys = keys.tolist()
+                if many is not None and loose[0] > 0:
+                    keys = sorted(keys, key=lambda k: (-many[k], k))[int(loose[0]) :]
+                listed |= {(k, step) for k in keys}
+                if loose[0] >= 0:
+                    break
+        found.append(listed)
+    return found
+
+
+def test_linked_sets_keep_a_key_in_common_and_strangers_have_none():
+    draw = np.random.default_rng(8)
+    for percent in (80, 90):
+        sets = [np.unique(draw.integers(0, 2**63, int(draw.integers(200, 420)), dtype=np.uint64)) for _ in range(150)]
+        whole = kept_keys(sets, percent)
+        assert sum(map(len, whole)) == len({k for x in whole for k, _ in x})  # also where parts are empty
+        passage = draw.integers(0, 2**63, 60, dtype=np.uint64)
+        pairs = []
+        for n in [*range(1, 40), *draw.integers(40, 900, 150).tolist()]:
+            base = np.union1d(draw.integers(0, 2**63, n, dtype=np.uint64), passage[: n // 5])
+            most = int(len(base) * (100 - percent) / 100)
+            other = np.unique(np.concatenate([base[most // 2 :], draw.integers(0, 2**63, most // 3, dtype=np.uint64)]))
+            shared = len(np.intersect1d(base, other))
+            if 100 * shared >= percent * (len(base) + len(other) - shared):
+                pairs.append((base, other))
+        flat = [x for pair in pairs for x in pair]
+        many = Counter(k for x in kept_keys(flat, percent) for k, _ in x)
+        kept = kept_keys(flat, percent, many)
+        assert len(pairs) > 50 and sum(map(len, kept)) < sum(map(len, kept_keys(flat, percent)))
+        for a, b, x, y in zip(flat[::2], flat[1::2], kept[::2], kept[1::2]):
+            single = jaccard.parts_of(np.searchsorted(jaccard.size_steps(percent), [max(len(a), len(b))], side="right") - 1, percent)[0][0] < 2
+            assert single or {k for k, _ in x} & {k for k, _ in y}
+
+
 def test_documents_with_shared_passages_link_as_in_brute_force(spark):
     pick = random.Random(3)
     words = [f"w{i}" for i in range(4000)]
