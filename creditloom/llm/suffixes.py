@@ -7,7 +7,7 @@
    equal segments are one string with its least document.
 3. Transform.  The distinct segments of a task, some megabytes at a time, are one text.  From its
    Burrows-Wheeler order, intervals of suffixes with an equal prefix are extended backward, all of one
-   length at once: lengths 1, 2, 3, ... until the minimum length.  Suffixes that no boundary has
+   length at once: lengths 1, 2, 4, ... until the minimum length.  Suffixes that no boundary has
    parted by then start with an equal string, and the least document of each interval is its first.
 4. Every document takes out the strings whose first document is a smaller one.
 
@@ -123,7 +123,9 @@ def segments(text: DataFrame, shared: DataFrame, buckets: int, least: int) -> Da
         for batch in batches:
             for begin, stop in byte_slices(batch.column("text"), SLICE_BYTES):
                 own = batch.slice(begin, stop - begin)
-                columns: list[list] = [[], [], [], [], [], []]
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_())
+                columns: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in kinds]
+                strings: list[bytes] = []
                 ids = own.column("doc_id").to_pylist()
                 for row, data in _texts(own):
                     places, hashes = _long_anchor_places(data, least, ANCHOR_BYTES)
@@ -133,17 +135,33 @@ def segments(text: DataFrame, shared: DataFrame, buckets: int, least: int) -> Da
                     packed = packed_keys(prints, buckets)
                     wanted = np.isin(packed, np.asarray(own.column("anchors")[row].values))
                     hot = np.isin(packed, np.asarray(own.column("hot_anchors")[row].values))
-                    raw = data.tobytes()
-                    for s, n, a, h in zip(first[wanted].tolist(), runs[wanted].tolist(), prints[wanted].view(np.int64).tolist(), hot[wanted].tolist()):
-                        for c, v in zip(columns, (a, ids[row], s, n, raw[s : s + n + least - 1], h)):
-                            c.append(v)
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["anchor", "doc_id", "start", "n", "bytes", "hot"])
+                    raw, starts, n = data.tobytes(), first[wanted], runs[wanted]
+                    strings += [raw[a:b] for a, b in zip(starts.tolist(), (starts + n + (least - 1)).tolist())]
+                    for c, v in zip(columns, (prints[wanted].view(np.int64), np.full(len(n), ids[row]), starts, n, hot[wanted])):
+                        c.append(v)
+                anchor, doc_id, at, n, hot = (pa.array(np.concatenate(c).astype(k.to_pandas_dtype()), k) for c, k in zip(columns, kinds))
+                yield pa.RecordBatch.from_arrays([anchor, doc_id, at, n, pa.array(strings, pa.binary()), hot], names=["anchor", "doc_id", "start", "n", "bytes", "hot"])
 
     joined = text.join(shared, "doc_id").select("doc_id", "text", "anchors", "hot_anchors")
     return joined.mapInArrow(cut, "anchor long, doc_id long, start long, n int, bytes binary, hot boolean")
 
 
+def _sorted_keys(key: np.ndarray, key_bits: int, place_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys in order and their places; equal keys keep their order.
+
+    A key and its place share a number: plain sorting is several times faster than argsort.  Where they
+    do not fit, the lower half of the keys is sorted first.
+    """
+    if key_bits + place_bits <= 63:
+        both = np.sort((key << place_bits) | np.arange(len(key)))
+        return both >> place_bits, both & ((1 << place_bits) - 1)
+    half = key_bits // 2
+    _, order = _sorted_keys(key & ((1 << half) - 1), half, place_bits)
+    _, again = _sorted_keys(key[order] >> half, key_bits - half, place_bits)
+    order = order[again]
+    return key[order], order
+
+
 def suffix_order(text: np.ndarray) -> np.ndarray:
     """Positions in order of their suffixes; 0 ends a string, equal suffixes keep the text's order."""
     n = len(text)
@@ -152,53 +170,59 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
     used[0] = True
     codes = (np.cumsum(used) - 1).astype(np.int64)
     bits = max(1, int(codes[-1]).bit_length())
-    length = min(63 // bits, 32)
+    place_bits = max(1, (n - 1).bit_length())
+    length = max(1, min((63 - place_bits) // bits, 32))
     padded = np.concatenate([codes[text], np.zeros(length, np.int64)])
     key = np.zeros(n, dtype=np.int64)
     for i in range(length):
         key = (key << bits) | padded[i : i + n]
-    order = np.argsort(key)  # equal keys get one rank, so their order is open until the end
+    del padded
+    ranked, order = _sorted_keys(key, length * bits, place_bits)
     longest = int(np.diff(np.flatnonzero(np.append(text, 0) == 0), prepend=-1).max())
-    rank = np.zeros(n + 1, dtype=np.int64)
+    rank = np.zeros(n, dtype=np.int64)
     while True:
-        ranked = key[order]
         rank[order] = 1 + np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
-        most = int(rank.max())
+        most = int(rank[order[-1]])
         if length > longest or most == n:
-            break
-        # Three ranks in a key where they fit, else two.
-        times = 3 if (most + 1) ** 3 < 1 << 63 else 2
-        key = rank[:n]
-        for i in range(1, times):
-            key = key * (most + 1) + rank[np.minimum(np.arange(i * length, i * length + n), n)]
-        order = np.argsort(key)
-        length *= times
-    return order if most == n else np.argsort(rank[:n] * (n + 2) + np.arange(n))
+            return order
+        rank_bits = most.bit_length()
+        key = rank << rank_bits
+        key[: n - length] |= rank[length:]  # longest < n, so this is reached with length < n only
+        ranked, order = _sorted_keys(key, 2 * rank_bits, place_bits)
+        length *= 2
 
 
 def equal_prefix_intervals(text: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
     """Interval number of every suffix in order; suffixes of one interval agree in ``least`` bytes or more.
 
     The text ends its strings with 0.  The column before the sorted suffixes is the transform; its
-    stable order leads from a suffix to the one that is a byte shorter.  A boundary between two
-    suffixes at length k lies where their first bytes differ, or where one lies between the shorter
-    ones at length k - 1: all intervals of one length are extended backward at a time, and a
-    place whose common prefix is known is not looked at again.
+    stable order leads from a suffix to the one that is a byte shorter, and taken twice, four times and
+    so on to the one that is as many bytes shorter.  A boundary between two suffixes at length k + m
+    (m up to k) lies where one lies at length k, or at length k between the two that are m bytes shorter.
+    So all intervals of one length are extended at a time, to twice their length and at last to ``least``,
+    and a place whose common prefix is known is not looked at again.
     """
     n = len(order)
     before = text[order - 1]  # two bytes a symbol are sorted by counting
-    shorter = np.argsort(before, kind="stable")  # from a suffix, by the transform, to the next one
+    steps = [np.argsort(before, kind="stable").astype(np.int32 if n < 1 << 31 else np.int64)]
     head = text[order]
     boundary = np.ones(n, dtype=bool)
     boundary[1:] = (head[1:] != head[:-1]) | (head[1:] == 0)
     open_ = np.flatnonzero(~boundary)
-    here, above = shorter[open_], shorter[open_ - 1]
-    for _ in range(1, least):
+    length = 1
+    while length < least:
+        more = min(length, least - length)
+        while 1 << len(steps) <= more:
+            steps.append(steps[-1][steps[-1]])
+        here, above = open_, open_ - 1
+        for power, step in enumerate(steps):
+            if more >> power & 1:
+                here, above = step[here], step[above]
         interval = np.cumsum(boundary, dtype=np.int32)
         parted = interval[here] != interval[above]
         boundary[open_[parted]] = True
-        kept = ~parted
-        open_, here, above = open_[kept], here[kept], above[kept]
+        open_ = open_[~parted]
+        length += more
     return np.cumsum(boundary) - 1
 
 
