@@ -10,8 +10,8 @@ an opened group every member is compared exactly.
 Which pairs of groups are bounded at all comes from an exact filter: a set of up to n shingles is
 cut by hash into more parts than two linked sets can differ in, so linked sets have at least one
 equal part.  Parts are (part number, sum of its hashes); a part is an equality join key shared only by
-documents that agree in about a tenth (at 0.9) of their shingles, so neither frequent words nor
-passages in very many documents make it hot.  Group pairs that are already in one component need
+documents that agree in the shingles of a part.  Empty parts are no keys: a set with too many of them is
+cut anew, see part_keys().  A set leaves out as many of its most frequent keys as it can spare.  Group pairs that are already in one component need
 no further comparison, so a large set of near copies is first tied to the least group of each part and
 the rest is looked at between components only.
 """
