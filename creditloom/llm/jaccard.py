@@ -233,6 +233,39 @@ def group_rows(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return once.groupBy("grp").applyInArrow(unite, kinds)
 
 
+def rare_shingles(groups: DataFrame, percent: int) -> DataFrame:
+    """(grp, rep, key, rest, n): of each member's n shingles the rarest ones that another of the groups has too.
+
+    Shingles have one order, by the number of groups that have them.  Linked sets share percent of either
+    or more, so the first shingle that they share has as many behind it, itself included (``rest``): it is
+    among the first n - ceil(percent * n / 100) + 1 of both.
+    """
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[np.ndarray, ...]] = []
+            for i in range(batch.num_rows):
+                reps, union = (np.asarray(batch.column(c)[i].values) for c in ("reps", "union"))
+                bits = np.frombuffer(batch.column("marks")[i].as_buffer(), np.uint8).reshape(len(reps), -1)
+                shared = batch.column("shared")[i].values
+                many = np.ones(len(union), dtype=np.int64)
+                many[np.searchsorted(union, np.asarray(shared.field("key")))] = np.asarray(shared.field("many"))
+                order = np.lexsort((union, many))
+                for rep, marks in zip(reps.tolist(), bits):
+                    own = order[np.unpackbits(marks, count=len(union))[order] > 0]
+                    first = own[: len(own) + percent * len(own) // -100 + 1]
+                    place = np.flatnonzero(many[first] > 1)
+                    grp, whole = batch.column("grp")[i].as_py(), len(own)
+                    out.append((np.full(len(place), grp), np.full(len(place), rep), union[first[place]], whole - place, np.full(len(place), whole)))
+            columns = [np.concatenate(x) for x in zip(*out)] or [np.zeros(0, np.int64)] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["grp", "rep", "key", "rest", "n"])
+
+    shingles = groups.select("grp", F.explode("union").alias("key"))
+    common = shingles.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
+    shared = shingles.join(common, "key").groupBy("grp").agg(F.collect_list(F.struct("key", "many")).alias("shared"))
+    return groups.select("grp", "reps", "union", "marks").join(shared, "grp").mapInArrow(rarest, "grp long, rep long, key long, rest long, n long")
+
+
 def _group(batch: pa.RecordBatch, row: int, suffix: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(reps, union, marks) of one side of a pair, as views of the batch where possible."""
     reps, union = (np.asarray(batch.column(c + suffix)[row].values) for c in ("reps", "union"))
@@ -354,17 +387,24 @@ def join_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
         .agg(F.min(F.coalesce("component", "rep")).alias("low"), F.max(F.coalesce("component", "rep")).alias("high"))
         .select("grp", F.when(F.col("low") == F.col("high"), F.col("low")).alias("comp"))
     )
-    # Per key and component one row of groups; groups of one component are never paired.
     open_keys = shared.where("many > 2").join(whole, "grp")
     mixed_keys = open_keys.groupBy("key").agg(
         F.min(F.coalesce("comp", "grp")).alias("lo"), F.max(F.coalesce("comp", "grp")).alias("hi"), F.count(F.when(F.col("comp").isNull(), 1)).alias("split")
     ).where("lo <> hi or split > 0")
-    left = open_keys.join(mixed_keys.select("key"), "key")
-    right = left.select("key", F.col("grp").alias("h"), F.col("comp").alias("comp_h"), F.col("home").alias("home_h"))
+    # A link between components has both its groups here.  Variants of one text share part keys without
+    # being linked, as many pairs as the square of their number; their rarest shingles tell them apart.
+    wide = open_keys.join(mixed_keys.select("key"), "key").select("grp").distinct()
+    telling = rare_shingles(groups.join(wide, "grp"), percent).join(found, F.col("rep") == F.col("node"), "left")
+    units = telling.groupBy("key", F.coalesce("component", "rep").alias("comp"), "grp").agg(F.max("rest").alias("rest"), F.min("n").alias("least"))
+    several = units.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    near = staged(units.join(several, "key"), "jaccard-rare")
+    other = near.select("key", *[F.col(c).alias(f"{c}_h") for c in ("comp", "grp", "rest", "least")])
+    # Neither side has more shingles from this one on than its rest; a link needs so many in common.
+    enough = F.least("rest", "rest_h") * (100 + percent) >= percent * (F.col("least") + F.col("least_h"))
     more = (
-        left.join(right, "key")
-        .where((F.col("grp") < F.col("h")) & (F.col("home") | F.col("home_h")) & ~F.coalesce(F.col("comp") == F.col("comp_h"), F.lit(False)))
-        .select(F.col("grp").alias("g"), "h").distinct()
+        near.join(other, "key")
+        .where((F.col("comp") < F.col("comp_h")) & (F.col("grp") != F.col("grp_h")) & enough)
+        .select(F.least("grp", "grp_h").alias("g"), F.greatest("grp", "grp_h").alias("h")).distinct()
         .join(pairs, ["g", "h"], "left_anti")
     )
     opened = staged(qualifying(more, groups, percent), "jaccard-opened")

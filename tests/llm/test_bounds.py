@@ -123,3 +123,57 @@ def test_score_bound_loses_no_neighbour(spark, monkeypatch):
     assert with_bound == sorted(map(tuple, ann.search(df, every=20, k=20).collect()))
     assert len(with_bound) == 75 * 20
     assert ann.search(df.where(F.col("vec_id") < 12), every=5, k=20).count() == 3 * 11
+
+
+def test_variants_of_one_text_meet_by_their_rarest_shingles_only(spark, monkeypatch):
+    pick = random.Random(12)
+    words = [f"w{i}" for i in range(30_000)]
+    base = pick.choices(words, k=400)
+    texts = []
+    for _ in range(70):  # alike, not linked
+        copy = list(base)
+        for place in pick.sample(range(400), pick.randint(14, 26)):
+            copy[place] = pick.choice(words)
+        texts.append(copy)
+    for i in range(6):  # linked to one of them
+        copy = list(texts[7 * i])
+        for place in pick.sample(range(400), 5):
+            copy[place] = pick.choice(words)
+        texts.append(copy)
+    asked, whole = [], jaccard.qualifying
+    monkeypatch.setattr(jaccard, "qualifying", lambda pairs, *a: (asked.append(pairs.count()), whole(pairs, *a))[1])
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(df, 5, 80).collect()}
+    links = plain_links([{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts], 80)
+    root = list(range(len(texts)))
+    for _ in texts:
+        for i, j in links:
+            root[i] = root[j] = min(root[i], root[j])
+    assert [got[i] for i in range(len(texts))] == root
+    assert len(links) < 100 and len(asked) == 2 and asked[1] < 100  # of 2,850 pairs
+
+
+def test_linked_sets_share_a_rare_shingle_with_enough_behind_it(spark):
+    draw = np.random.default_rng(21)
+    common, sets = np.arange(40), []
+    for n in (1, 2, 3, 9, 10, 40, 200):
+        for changed in {0, n // 12, n // 9}:
+            first = np.union1d(draw.integers(100, 10**9, n), common[: n // 3])
+            second = np.union1d(first[changed:], draw.integers(100, 10**9, changed // 2))
+            sets += [first.tolist(), second.tolist()]
+    rows = []
+    for g in range(0, len(sets), 3):  # three members a group
+        union = np.unique(np.concatenate(sets[g : g + 3]))
+        marks = np.array([np.isin(union, s) for s in sets[g : g + 3]])
+        rows.append((g, list(range(g, min(g + 3, len(sets)))), union.tolist(), bytearray(np.packbits(marks, axis=1).tobytes())))
+    groups = spark.createDataFrame(rows, "grp long, reps array<long>, union array<long>, marks binary")
+    for percent in (80, 90):
+        rest = {}
+        for r in jaccard.rare_shingles(groups, percent).collect():
+            assert r["n"] == len(sets[r["rep"]]) and r["key"] in sets[r["rep"]] and r["grp"] == r["rep"] // 3 * 3
+            rest[r["rep"], r["key"]] = r["rest"]
+        assert len(rest) < sum(map(len, sets)) / 3
+        for i, j in plain_links([set(s) for s in sets], percent):
+            if i // 3 != j // 3:
+                both = [min(rest[i, k], rest[j, k]) for k in set(sets[i]) & set(sets[j]) if (i, k) in rest and (j, k) in rest]
+                assert both and max(both) * (100 + percent) >= percent * (len(sets[i]) + len(sets[j]))
