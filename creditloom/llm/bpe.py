@@ -24,14 +24,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import size_slices, staged
+from .common import size_slices, staged, staged_by
 from .packed import text_bytes
 
 BLOCK_BYTES = 20 << 20
 BUCKET_BYTES = 16 << 20  # text per bucket of words
+MOST_FILES = 10_000  # that blocks are dealt to; beyond that a file has several hundred megabytes of text
 ASSEMBLED_DOCS = 500  # documents whose ids and texts are held at a time
 
 
@@ -72,19 +73,21 @@ def byte_of_char() -> dict[str, int]:
 
 
 def piece_table(spark: SparkSession, path: str) -> DataFrame:
-    """(id, piece): the bytes of every id.  One row per vocabulary entry, whatever the corpus."""
-    vocabulary = load_tokenizer(path).get_vocab(with_added_tokens=True)
-    alphabet = byte_of_char()
-
-    def piece(token: str) -> bytes:
-        if all(c in alphabet for c in token):
-            return bytes(alphabet[c] for c in token)
-        return token.encode()
-
-    rows = [(i, piece(t)) for t, i in vocabulary.items()]
-    return spark.createDataFrame(
-        pa.table({"id": pa.array([r[0] for r in rows], pa.int32()), "piece": pa.array([r[1] for r in rows], pa.binary())})
-    )
+    """(id, piece): the bytes of every id.  One row per vocabulary entry, whatever the corpus; made by a task, not by the driver."""
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alphabet = byte_of_char()
+
+        def piece(token: str) -> bytes:
+            if all(c in alphabet for c in token):
+                return bytes(alphabet[c] for c in token)
+            return token.encode()
+
+        for _ in batches:
+            rows = [(i, piece(t)) for t, i in load_tokenizer(path).get_vocab(with_added_tokens=True).items()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["id", "piece"])
+
+    return spark.range(0, 1, 1, 1).mapInArrow(pieces, "id int, piece binary")
 
 
 def squeeze(*parts: np.ndarray) -> bytes:
@@ -121,11 +124,12 @@ def _strings(lengths: np.ndarray, raw: np.ndarray) -> pa.Array:
     return pa.BinaryArray.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(raw)])
 
 
-def word_blocks(docs: DataFrame, pattern: str, buckets: int, block_bytes: int = BLOCK_BYTES, place: str | None = None) -> DataFrame:
+def word_blocks(docs: DataFrame, pattern: str, buckets: int, files: int, block_bytes: int = BLOCK_BYTES, place: str | None = None) -> DataFrame:
     """(block, bucket, doc_ids, places, body): bucket -1 has a block's documents, the others its distinct words.
 
     Words are in order of bucket and spelling.  Documents name a word by its rank in frequency.
     ``places`` are the documents' values of ``place``, a column of ``docs`` (NULL without one).
+    Blocks are stored dealt to ``files``, where the documents wait for their words.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,7 +171,8 @@ def word_blocks(docs: DataFrame, pattern: str, buckets: int, block_bytes: int =
         F.octet_length(text).alias("size"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("words"),
     )
-    return staged(cut.mapInArrow(pack, "block long, bucket int, doc_ids array<long>, places array<long>, body binary"), "bpe-blocks")
+    packed = cut.mapInArrow(pack, "block long, bucket int, doc_ids array<long>, places array<long>, body binary")
+    return staged_by(packed, "bpe-blocks", "block", files)
 
 
 def encode_words(packed: DataFrame, path: str) -> DataFrame:
@@ -324,13 +329,25 @@ def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, l
 def encode_documents(
     spark: SparkSession, docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES, place: str | None = None
 ) -> DataFrame:
-    """(block, bucket, doc_ids, places, body) rows for assembled(): documents of a block, then its encoded words."""
-    buckets = 1 + text_bytes(docs) // BUCKET_BYTES
-    blocks = word_blocks(docs, word_pattern(special_strings(path)), buckets, block_bytes, place)
+    """(block, bucket, doc_ids, places, body) rows for assembled(): documents of a block, then its encoded words.
+
+    The documents, the larger part, stay where they were stored; the words are dealt to them.
+    """
+    size = text_bytes(docs)
+    files = min(1 + size // BLOCK_BYTES, MOST_FILES)
+    blocks = word_blocks(docs, word_pattern(special_strings(path)), 1 + size // BUCKET_BYTES, files, block_bytes, place)
     packed = blocks.where("bucket >= 0").select("block", "bucket", "body")
     lexicon = decode_ids(spark, encode_words(packed, path), path)
-    rows = blocks.where("bucket < 0").unionByName(answered(packed, lexicon), allowMissingColumns=True)
-    return rows.repartition("block").sortWithinPartitions("block", "bucket")
+    coded = answered(packed, lexicon).repartition(files, "block").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "body"))).alias("words"))
+
+    def row(bucket: Column, doc_ids: Column, places: Column, body: Column) -> Column:
+        return F.struct(bucket.alias("bucket"), doc_ids.alias("doc_ids"), places.alias("places"), body.alias("body"))
+
+    nothing = F.lit(None).cast("array<long>")
+    first = F.array(row(F.col("bucket"), F.col("doc_ids"), F.col("places"), F.col("body")))
+    further = F.transform("words", lambda x: row(x["bucket"], nothing, nothing, x["body"]))
+    whole = blocks.where("bucket < 0").join(coded, "block", "left")
+    return whole.select("block", F.inline(F.when(F.col("words").isNull(), first).otherwise(F.concat(first, further))))
 
 
 def token_table(spark: SparkSession, docs: DataFrame, path: str, place: str | None = None) -> DataFrame:
