@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -27,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import size_slices, staged, staged_by
+from .common import freed, size_slices, staged, staged_by
 from .packed import text_bytes
 
 BLOCK_BYTES = 20 << 20
@@ -37,6 +38,8 @@ ASSEMBLED_DOCS = 500  # documents whose ids and texts are held at a time
 
 
 def load_tokenizer(path: str):
+    """The tokenizer, on one thread: a task has one core, and each further thread would keep memory of its own."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -108,11 +111,6 @@ def unsqueeze(value: bytes, kinds: str) -> list[np.ndarray]:
     return found
 
 
-def freed() -> None:
-    """Give memory of arrays that are no longer used back to the machine; a worker would keep it for its next task."""
-    pa.default_memory_pool().release_unused()
-
-
 def _spelling(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(lengths, bytes) of a binary array."""
     joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(lists)], pa.int32()), lists), b"")

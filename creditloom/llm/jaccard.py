@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_slices, staged
+from .common import byte_slices, freed, staged
 from .components import components
 from .packed import PACKED_KINDS, bucket_count, packed_rows, shared_keys, text_bytes
 from .shingles import mixed, shingle_sets
@@ -163,6 +163,7 @@ def profiles(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFra
                 if keys:
                     out += [(*r, *[None] * len(DOCUMENT)) for r in packed_rows(number, np.concatenate(keys), np.concatenate(owners), buckets)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+        freed()
 
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     lists = ", ".join(f"{c} array<long>" for c in DOCUMENT)
@@ -209,6 +210,7 @@ def group_rows(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [own.column("grp"), own.column("rep"), _lists(hashes, text, own.num_rows)], names=["grp", "rep", "tokens"]
                 )
+        freed()
 
     def unite(key, table):
         tokens = table.column("tokens").combine_chunks()
@@ -259,6 +261,7 @@ def rare_shingles(groups: DataFrame, percent: int) -> DataFrame:
                     out.append((np.full(len(place), grp), np.full(len(place), rep), union[first[place]], whole - place, np.full(len(place), whole)))
             columns = [np.concatenate(x) for x in zip(*out)] or [np.zeros(0, np.int64)] * 5
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["grp", "rep", "key", "rest", "n"])
+        freed()
 
     shingles = groups.select("grp", F.explode("union").alias("key"))
     common = shingles.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
@@ -337,6 +340,7 @@ def links_between(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFram
                 out += spanning(opened_links(_group(batch, i, "_g"), _group(batch, i, "_h"), percent))
             out = [(a, b) for a, b in out if a != b]
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["src", "dst"])
+        freed()
 
     def side(s: str) -> DataFrame:
         return groups.select(F.col("grp").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("reps", "union", "marks")])
