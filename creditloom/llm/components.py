@@ -16,6 +16,15 @@ def _with_least(pairs: DataFrame) -> DataFrame:
     return pairs.join(least, F.col("u") == F.col("__u")).select("u", "v", "m")
 
 
+def _each_of(pairs: DataFrame, *ends: tuple[str, str]) -> DataFrame:
+    """(u, v): the named columns of every row, one pair after the other.
+
+    A union would hold the plan of ``pairs`` once per pair, and a round does so again and again.
+    """
+    made = F.array(*[F.struct(F.col(u).alias("u"), F.col(v).alias("v")) for u, v in ends])
+    return pairs.select(F.explode(made).alias("__pair")).select("__pair.u", "__pair.v")
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, component): the least node reachable, for every node of ``edges`` (src, dst; not NULL).
 
@@ -25,16 +34,10 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     current = staged(edges.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct(), "cc")
     seen = None
     for _ in range(most_rounds):
-        both = current.union(current.select("v", "u"))
+        both = _each_of(current, ("u", "v"), ("v", "u"))
         large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         small = _with_least(large)
-        current = staged(
-            small.select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .union(small.select("u", F.col("m").alias("v")))
-            .where("u <> v")
-            .distinct(),
-            "cc",
-        )
+        current = staged(_each_of(small, ("v", "m"), ("u", "m")).where("u <> v").distinct(), "cc")
         state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             break

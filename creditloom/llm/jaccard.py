@@ -397,9 +397,10 @@ def join_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
     ).where("lo <> hi or split > 0")
     # A link between components has both its groups here.  Variants of one text share part keys without
     # being linked, as many pairs as the square of their number; their rarest shingles tell them apart.
-    wide = open_keys.join(mixed_keys.select("key"), "key").select("grp").distinct()
+    # Stored, as each is read several times below: the plans would hold all that made them as often.
+    wide = staged(open_keys.join(mixed_keys.select("key"), "key").select("grp").distinct(), "jaccard-wide")
     telling = rare_shingles(groups.join(wide, "grp"), percent).join(found, F.col("rep") == F.col("node"), "left")
-    units = telling.groupBy("key", F.coalesce("component", "rep").alias("comp"), "grp").agg(F.max("rest").alias("rest"), F.min("n").alias("least"))
+    units = staged(telling.groupBy("key", F.coalesce("component", "rep").alias("comp"), "grp").agg(F.max("rest").alias("rest"), F.min("n").alias("least")), "jaccard-units")
     several = units.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     near = staged(units.join(several, "key"), "jaccard-rare")
     other = near.select("key", *[F.col(c).alias(f"{c}_h") for c in ("comp", "grp", "rest", "least")])

@@ -16,6 +16,7 @@ digest of their text, so copies of one text, however many, share one row.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -235,8 +236,17 @@ def draw(seed: Column, at: Column) -> Column:
     return F.conv(F.substring(block, (at % 16 * 4 + 1).cast("int"), F.lit(4)), 16, 10).cast("int")
 
 
-def pick(words: list[str], seed: Column, at: int) -> Column:
-    return F.element_at(F.array(*[F.lit(w) for w in words]), draw(seed, F.lit(at)) % len(words) + 1)
+def listed(words: list[str]) -> Column:
+    return F.array(*[F.lit(w) for w in words])
+
+
+def pick(words: Column, seed: Column, at: int) -> Column:
+    return F.element_at(words, draw(seed, F.lit(at)) % F.size(words) + 1)
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the expression of ``value`` in the plan once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def code_point(number: Column) -> Column:
@@ -272,7 +282,8 @@ def surrogate_of(kind: Column, canonical: Column, seed: Column) -> Column:
         """The places from ``first`` to ``last`` drawn anew, the others as they are."""
         def one(i: Column) -> Column:
             c = F.substring(canonical, i, F.lit(1))
-            return F.when((i >= first) & (i <= last), like_character(c, draw(seed, i), any_script)).otherwise(c)
+            other = bound(draw(seed, i), lambda number: like_character(c, number, any_script))
+            return F.when((i >= first) & (i <= last), other).otherwise(c)
         return F.array_join(F.transform(places, one), "")
 
     def signs(letters: str) -> Column:
@@ -283,28 +294,34 @@ def surrogate_of(kind: Column, canonical: Column, seed: Column) -> Column:
     tld = F.length(F.substring_index(canonical, ".", -1)) + 1
     country = F.when(canonical.startswith("+1"), 2).when(canonical.startswith("+"), 3).otherwise(0)
     head = F.substring(rewritten(F.lit(2), size - 1), F.lit(1), size - 1)
-    check = (10 - luhn_sum(F.concat(head, F.lit("0"))) % 10) % 10
+
+    def with_check(digits: Column) -> Column:
+        check = (10 - luhn_sum(F.concat(digits, F.lit("0"))) % 10) % 10
+        return F.concat(digits, check.cast("string"))
+
     octets = [F.concat_ws(".", *[(draw(seed, F.lit(i)) % 254 + 1).cast("string") for i in range(4)])]
     script = F.when(canonical.rlike(r" \p{IsCyrillic}"), "cyrillic").otherwise("latin")
     title = F.substring_index(canonical, " ", 1)
-    name = F.lit(None).cast("string")
-    for way, syllables in SYLLABLES.items():
-        for gender in ("male", "female", "any"):
-            own = title.isin([t.lower() for t in TITLES[gender]])
-            surname = F.concat(*[pick(syllables, seed, 2 + i) for i in range(5)])
-            given = F.lower(pick(GIVEN[f"{way}_{gender}"], seed, 1))
-            # A single name is a surname.
-            full = F.when(F.size(F.split(canonical, " ")) > 2, F.concat_ws(" ", title, given, surname)).otherwise(F.concat_ws(" ", title, surname))
-            name = F.when(own & (script == way), full).otherwise(name)
+    gender = F.lit(None).cast("string")
+    given, syllables = (F.lit(None).cast("array<string>") for _ in range(2))
+    for one in ("male", "female", "any"):
+        gender = F.when(title.isin([t.lower() for t in TITLES[one]]), one).otherwise(gender)
+    for way in SYLLABLES:
+        syllables = F.when(script == way, listed(SYLLABLES[way])).otherwise(syllables)
+        for one in ("male", "female", "any"):
+            given = F.when((script == way) & (gender == one), listed(GIVEN[f"{way}_{one}"])).otherwise(given)
+    surname = bound(syllables, lambda words: F.concat(*[pick(words, seed, 2 + i) for i in range(5)]))
+    called = bound(given, lambda words: F.lower(pick(words, seed, 1)))
+    # A single name is a surname.
+    full = F.when(F.size(F.split(canonical, " ")) > 2, F.concat_ws(" ", title, called, surname)).otherwise(F.concat_ws(" ", title, surname))
+    name = F.when(gender.isNotNull(), full)
     return (
         F.when(kind.isin(*_SECRETS) & canonical.rlike("^[0-9a-f]+$"), hexed)
         .when((kind == "password") & ~canonical.rlike(r"[\p{L}\p{N}]"), signs(SIGNS["password"]))
         .when((kind == "token") & ~canonical.rlike(r"[\p{L}\p{N}]"), signs(SIGNS["token"]))
-        .when(kind == "access", rewritten(F.lit(5), size))
-        .when(kind == "iban", rewritten(F.lit(3), size))
+        .when(kind.isin("access", "iban", "phone"), rewritten(F.when(kind == "access", 5).when(kind == "iban", 3).otherwise(country + 1), size))
         .when(kind == "ip", octets[0])
-        .when(kind == "phone", rewritten(country + 1, size))
-        .when(kind == "card", F.concat(head, check.cast("string")))
+        .when(kind == "card", bound(head, with_check))
         .when(kind == "name", name)
         .otherwise(rewritten(F.lit(1), F.when(kind == "email", size - tld).otherwise(size), any_script=True))
     )
