@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.storage import shuffles_freed
+
 BUCKET_KEYS = 1_000_000
 PACKED_KINDS = "slice long, bucket int, prints binary, owners binary"
 _U = np.uint64
@@ -36,6 +38,26 @@ def packed_rows(number: int, keys: np.ndarray, owners: np.ndarray, buckets: int)
     ]
 
 
+def packed_once(number: int, keys: np.ndarray, owners: np.ndarray, buckets: int) -> list[tuple]:
+    """packed_rows of the distinct pairs of key and owner, by plain sorting of numbers that hold both."""
+    packed, bits = packed_keys(keys, buckets), int(owners.max(initial=0)).bit_length()
+    if 32 + (buckets - 1).bit_length() + bits <= 63:
+        both = np.sort((packed << bits) | owners)
+        packed, owners = both >> bits, both & ((1 << bits) - 1)
+    else:
+        order = np.lexsort((owners, packed))
+        packed, owners = packed[order], owners[order]
+    once = np.flatnonzero(np.append(True, (packed[1:] != packed[:-1]) | (owners[1:] != owners[:-1]))[: len(packed)])
+    packed, owners = packed[once], owners[once].astype(np.uint32)
+    bucket, low = packed >> 32, (packed & 0xFFFFFFFF).astype(np.uint32)
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
+    return [
+        (number, int(bucket[a]), low[a:b].tobytes(), owners[a:b].tobytes())
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())
+        if b > a
+    ]
+
+
 def shared_keys(slices: DataFrame) -> DataFrame:
     """(slice, owner, key, many) for the keys with at least two rows; ``many`` is their number.
 
@@ -72,4 +94,5 @@ def bucket_count(total_bytes: int, bytes_per_key: int) -> int:
 
 
 def text_bytes(docs: DataFrame) -> int:
-    return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    with shuffles_freed(docs.sparkSession):
+        return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -1,7 +1,7 @@
 """Repeated byte strings across documents by interval expansion on a Burrows-Wheeler transform.
 
-1. Anchors.  Of every 50 bytes the 16-byte piece with the least hash is their anchor, so equal strings
-   have equal anchors.  Anchor fingerprints are packed per slice of documents and bucket, and each
+1. Anchors.  Of every 50 bytes the 24-byte piece with the least hash is their anchor, so equal strings
+   have equal anchors.  Shorter pieces meet by chance, the more the more documents there are.  Anchor fingerprints are packed per slice of documents and bucket, and each
    bucket finds those of two documents or more.  Only strings with such an anchor can repeat.
 2. Segments.  The bytes around a shared anchor (all strings that have it) go to that anchor's task;
    equal segments are one string with its least document.
@@ -28,13 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import byte_slices, staged
-from .packed import PACKED_KINDS, bucket_count, packed_keys, packed_rows, shared_keys, text_bytes
+from .packed import PACKED_KINDS, bucket_count, packed_keys, packed_once, shared_keys, text_bytes
 from .shingles import mixed
 
 MIN_BYTES = 50
-ANCHOR_BYTES = 16
+ANCHOR_BYTES = 24
 SLICE_BYTES = 2 << 20
-ANCHOR_STRIDE = 17
+ANCHOR_STRIDE = 14
+BLOCK_BYTES = 1 << 14  # bytes of text whose hashes and minima stay in the processor's cache
 HOT_DOCUMENTS = 500_000  # segments of one anchor then take about 40 MB at most
 TRANSFORM_BYTES = 2 << 20
 SOLVED_ROWS = 100_000  # rows whose starts are written out at a time
@@ -51,9 +52,10 @@ def anchor_places(data: np.ndarray, least: int, piece: int) -> tuple[np.ndarray,
     with np.errstate(over="ignore"):
         value = _CODES[data]
         width = 1
-        while width < piece:  # piece is a power of two
-            value = value[: len(value) - width] * _U(0x9E3779B97F4A7C15) + (value[width:] ^ (value[width:] >> _U(29)))
-            width *= 2
+        while width < piece:
+            more = min(width, piece - width)  # the last two parts of a piece may overlap
+            value = value[: len(value) - more] * _U(0x9E3779B97F4A7C15) + (value[more:] ^ (value[more:] >> _U(29)))
+            width += more
         hashes = mixed(value[:n])
     # Sliding minimum of (hash, place): the place sits in the low bits of a shortened hash.
     span = least - piece + 1
@@ -81,6 +83,28 @@ def _long_anchor_places(data: np.ndarray, least: int, piece: int, step: int = 1
     return np.concatenate(places), np.concatenate(hashes)
 
 
+def anchor_runs(texts: pa.Array, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, n, hash of the anchor): runs of strings with one anchor, by row and start.
+
+    The texts lie end to end and are worked on together; strings that would cross their ends are left out.
+    """
+    held = texts.cast(pa.large_binary())
+    bounds = np.frombuffer(held.buffers()[1], np.int64)[held.offset : held.offset + len(held) + 1]
+    data = np.frombuffer(held.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+    bounds = bounds - bounds[0]
+    if len(data) < least:
+        return (*[np.zeros(0, np.int64)] * 3, np.zeros(0, np.uint64))
+    places, hashes = _long_anchor_places(data, least, min(ANCHOR_BYTES, least), BLOCK_BYTES)
+    past = np.maximum(bounds[:-1], bounds[1:] - least + 1)  # where a text has no more strings
+    cuts = np.sort(np.concatenate([np.flatnonzero(places[1:] != places[:-1]) + 1, bounds[:-1], past]))
+    cuts = cuts[np.append(True, cuts[1:] != cuts[:-1]) & (cuts < len(places))]
+    row = np.searchsorted(bounds, cuts, side="right") - 1
+    own = cuts < past[row]
+    n = np.diff(np.append(cuts, len(places)))[own]
+    cuts, row = cuts[own], row[own]
+    return row, cuts - bounds[row], n, hashes[places[cuts]]
+
+
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
     for row, text in enumerate(batch.column("text")):
         yield row, np.frombuffer(text.as_buffer() or b"", dtype=np.uint8)
@@ -96,26 +120,29 @@ def anchor_slices(docs: DataFrame, buckets: int, least: int) -> DataFrame:
         for batch in batches:
             for start, stop in byte_slices(batch.column("text"), SLICE_BYTES):
                 own = batch.slice(start, stop - start)
-                prints, owners, sizes, digests = [], [], [], []
-                for row, data in _texts(own):
+                sizes, digests = [], []
+                for _, data in _texts(own):
                     sizes.append(len(data))
                     digests.append(hashlib.sha256(data).digest())
-                    if len(data) >= least:
-                        places, hashes = _long_anchor_places(data, least, ANCHOR_BYTES)
-                        found = np.unique(hashes[places[np.flatnonzero(np.diff(places, prepend=-1))]])
-                        prints.append(found)
-                        owners.append(np.full(len(found), row, dtype=np.uint32))
+                owners, _, _, prints = anchor_runs(own.column("text"), least)
                 number = (part << 32) + seq
                 seq += 1
                 out = [(number, -1, None, None, own.column("doc_id").to_pylist(), sizes, digests)]
-                if prints:
-                    out += [(*r, None, None, None) for r in packed_rows(number, np.concatenate(prints), np.concatenate(owners), buckets)]
+                out += [(*r, None, None, None) for r in packed_once(number, prints, owners, buckets)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     return text.mapInArrow(cut, f"{PACKED_KINDS}, doc_ids array<long>, sizes array<long>, digests array<binary>")
 
 
+def _among(keys: np.ndarray, wanted: pa.ListScalar) -> np.ndarray:
+    """Which of the keys are among the wanted ones."""
+    if not len(wanted):
+        return np.zeros(len(keys), dtype=bool)
+    ranked = np.sort(np.asarray(wanted.values))
+    return ranked[np.minimum(np.searchsorted(ranked, keys), len(ranked) - 1)] == keys
+
+
 def segments(text: DataFrame, shared: DataFrame, buckets: int, least: int) -> DataFrame:
     """(anchor, doc_id, start, n, bytes, hot): the strings around each shared anchor, as one segment each."""
 
@@ -127,17 +154,16 @@ def segments(text: DataFrame, shared: DataFrame, buckets: int, least: int) -> Da
                 columns: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in kinds]
                 strings: list[bytes] = []
                 ids = own.column("doc_id").to_pylist()
+                rows, firsts, runs, prints = anchor_runs(own.column("text"), least)
+                packed = packed_keys(prints, buckets)
+                ends = np.searchsorted(rows, np.arange(len(own) + 1))
                 for row, data in _texts(own):
-                    places, hashes = _long_anchor_places(data, least, ANCHOR_BYTES)
-                    first = np.flatnonzero(np.diff(places, prepend=-1))
-                    runs = np.diff(np.append(first, len(places)))
-                    prints = hashes[places[first]]
-                    packed = packed_keys(prints, buckets)
-                    wanted = np.isin(packed, np.asarray(own.column("anchors")[row].values))
-                    hot = np.isin(packed, np.asarray(own.column("hot_anchors")[row].values))
-                    raw, starts, n = data.tobytes(), first[wanted], runs[wanted]
+                    part = slice(ends[row], ends[row + 1])
+                    wanted = np.flatnonzero(_among(packed[part], own.column("anchors")[row])) + ends[row]
+                    hot = _among(packed[wanted], own.column("hot_anchors")[row])
+                    raw, starts, n = data.tobytes(), firsts[wanted], runs[wanted]
                     strings += [raw[a:b] for a, b in zip(starts.tolist(), (starts + n + (least - 1)).tolist())]
-                    for c, v in zip(columns, (prints[wanted].view(np.int64), np.full(len(n), ids[row]), starts, n, hot[wanted])):
+                    for c, v in zip(columns, (prints[wanted].view(np.int64), np.full(len(n), ids[row]), starts, n, hot)):
                         c.append(v)
                 anchor, doc_id, at, n, hot = (pa.array(np.concatenate(c).astype(k.to_pandas_dtype()), k) for c, k in zip(columns, kinds))
                 yield pa.RecordBatch.from_arrays([anchor, doc_id, at, n, pa.array(strings, pa.binary()), hot], names=["anchor", "doc_id", "start", "n", "bytes", "hot"])
